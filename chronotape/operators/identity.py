@@ -55,7 +55,8 @@ def holder_segments(history: DataFrame) -> DataFrame:
 
 def resolve_tickers(events: DataFrame, history: DataFrame, *, symbol: str = "symbol", at: str = "event_time") -> DataFrame:
     """Add ``instrument_id`` and ``holders`` (0 none, 1 resolved, more = ambiguous); every row kept."""
-    segments = broadcast_if_small(holder_segments(history)).alias("seg")
+    edges = history.select("end_time").unionByName(history.select("end_time"))  # two per row at most
+    segments = broadcast_if_small(holder_segments(history), sized_by=edges).alias("seg")
     match = (F.col("seg.ticker") == F.col(f"ev.{symbol}")) & covers(f"ev.{at}", "seg.start", "seg.end")
     return events.alias("ev").join(segments, match, "left").select(
         "ev.*", F.col("seg.instrument_id"), F.coalesce("seg.holders", F.lit(0)).alias("holders")

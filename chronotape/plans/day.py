@@ -65,8 +65,9 @@ def session_bars(
     prints = trades.withColumn("date", F.col("date").cast("string")).join(opens, "date")
     bars = build_bars(
         prints, window_ns=window_ns, origin_ns=SESSION_OPEN, as_of=as_of,
-        knowledge_lag_ns=clocks.publication_lag_ns, receive_time=clocks.receive_time,
-        process_time=clocks.process_time, keep=["date"], zero_volume=zero_volume,
+        knowledge_lag_ns=clocks.publication_lag_ns, keep=["date"], zero_volume=zero_volume,
+        # A per-row clock says nothing about a window: such bars are received when knowable.
+        **{n: c for n in ("receive_time", "process_time") if isinstance(c := getattr(clocks, n), int)},
     )
     stamped = bars.withColumns(
         {"raw_partition_id": F.lit(clocks.raw_partition_id), "event_time_source": F.lit(clocks.event_time_source)}

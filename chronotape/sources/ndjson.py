@@ -55,19 +55,19 @@ QUOTE_WIRE = (
 )
 
 
-def partition_files(spark: SparkSession, directory: str) -> list[str]:
+def partition_files(spark: SparkSession, directory: str, suffix: str = RAW_SUFFIX) -> list[str]:
     """Raw file names of a partition in lexicographic order; an empty partition is an error."""
-    names = Folder(spark, directory).names(RAW_SUFFIX)
+    names = Folder(spark, directory).names(suffix)
     if not names:
-        raise ContractError(f"no {RAW_SUFFIX} partition files in {directory}")
+        raise ContractError(f"no {suffix} partition files in {directory}")
     return names
 
 
-def read_lines(spark: SparkSession, directory: str) -> DataFrame:
+def read_lines(spark: SparkSession, directory: str, suffix: str = RAW_SUFFIX) -> DataFrame:
     """Non-blank raw lines with file, split and within-task position; no shuffle."""
-    partition_files(spark, directory)
+    partition_files(spark, directory, suffix)
     return (
-        spark.read.option("pathGlobFilter", f"*{RAW_SUFFIX}").text(directory)
+        spark.read.option("pathGlobFilter", f"*{suffix}").text(directory)
         .select(
             "value",
             F.col("_metadata.file_path").alias("raw_file"),
@@ -107,32 +107,46 @@ def parse(lines: DataFrame, wire: tuple[WireField, ...]) -> DataFrame:
     record = F.from_json("value", f"{schema}, _bad string", options).cast(f"struct<{renamed}, _bad: string>")
     parsed = lines.withColumn("__r", record)
 
-    columns: dict[str, Column] = {}
+    # Literals, then values, then defects, each in its own step: a step that is used more than once
+    # is computed once instead of being copied into every expression that reads it.
+    literals = {f"__{w.column}": _number_token(w.key) for w in wire if w.kind == "price"}
+    values = {w.column: _value(w) for w in wire}
     defects = [F.when(F.col("__r").isNull() | F.col("__r._bad").isNotNull(), F.lit("not a JSON object"))]
     for w in wire:
-        raw = F.col(f"__r.{w.column}")
-        if w.required:
-            defects.append(F.when(raw.isNull(), F.lit(f"missing {w.key}")))
-        if w.kind == "instant":
-            value = ns_from_rfc3339(raw)
-            defects.append(F.when(value.isNull(), F.lit(f"{w.key} is not an instant with an offset")))
-        elif w.kind == "price":
-            token = _number_token(w.key)
-            value = token.try_cast(EXACT_DOLLARS)
-            defects.append(F.when(value.isNull(), F.lit(f"{w.key} is not a decimal number")))
-            defects.append(F.when(_fraction_digits(token) > 9, F.lit(f"{w.key} has sub-nano-dollar precision")))
-            defects.append(F.when(~money.is_storable(money.whole_nanos(value)), F.lit(f"{w.key} exceeds the storable range")))
-        elif w.kind == "whole":
-            value = F.when(raw.rlike(r"^-?[0-9]+$"), raw.try_cast("bigint"))
-            defects.append(F.when(raw.isNotNull() & value.isNull(), F.lit(f"{w.key} is not a whole number")))
-            if w.default is not None:
-                value = F.coalesce(value, F.lit(w.default).cast("bigint"))
-        elif w.kind == "codes":
-            value = F.coalesce(raw, F.array().cast("array<string>"))
-        else:
-            value = raw if w.default is None else F.coalesce(raw, F.lit(w.default))
-        columns[w.column] = value
-    return parsed.withColumns({**columns, "defect": F.coalesce(*defects)}).drop("__r")
+        defects += _defects(w)
+    typed = parsed.withColumns(literals).withColumns(values)
+    return typed.withColumn("defect", F.coalesce(*defects)).drop("__r", *literals)
+
+
+def _value(w: WireField) -> Column:
+    raw = F.col(f"__r.{w.column}")
+    if w.kind == "instant":
+        return ns_from_rfc3339(raw)
+    if w.kind == "price":
+        return F.col(f"__{w.column}").try_cast(EXACT_DOLLARS)
+    if w.kind == "codes":
+        return F.coalesce(raw, F.array().cast("array<string>"))
+    if w.kind == "whole":
+        raw = F.when(raw.rlike(r"^-?[0-9]+$"), raw.try_cast("bigint"))
+    return raw if w.default is None else F.coalesce(raw, F.lit(w.default))
+
+
+def _defects(w: WireField) -> list[Column]:
+    raw, value = F.col(f"__r.{w.column}"), F.col(w.column)
+
+    def when(condition: Column, reason: str) -> Column:
+        return F.when(condition, F.lit(f"{w.key} {reason}"))
+
+    found = [when(raw.isNull(), "is missing")] if w.required else []
+    if w.kind == "instant":
+        found.append(when(value.isNull(), "is not an instant with an offset"))
+    elif w.kind == "price":
+        found.append(when(value.isNull(), "is not a decimal number"))
+        found.append(when(_fraction_digits(F.col(f"__{w.column}")) > 9, "has sub-nano-dollar precision"))
+        found.append(when(~money.is_storable(money.whole_nanos(value)), "exceeds the storable range"))
+    elif w.kind == "whole":
+        found.append(when(raw.isNotNull() & ~raw.rlike(r"^-?[0-9]{1,18}$"), "is not a whole number"))
+    return found
 
 
 def with_ingest_index(records: DataFrame, marks: DataFrame | None = None) -> DataFrame:
@@ -180,7 +194,9 @@ def _require_defect_free(df: DataFrame) -> DataFrame:
     )
 
 
-def read_raw(spark: SparkSession, directory: str, wire: tuple[WireField, ...], *, on_defect: str = "raise") -> DataFrame:
+def read_raw(
+    spark: SparkSession, directory: str, wire: tuple[WireField, ...], *, on_defect: str = "raise", suffix: str = RAW_SUFFIX
+) -> DataFrame:
     """Parsed records of a raw partition with ``ingest_index``.
 
     ``on_defect``: ``raise`` fails on the first refused record, ``keep`` returns every record with
@@ -189,19 +205,23 @@ def read_raw(spark: SparkSession, directory: str, wire: tuple[WireField, ...], *
     """
     if on_defect not in ("raise", "keep"):
         raise ValueError(f"on_defect must be raise or keep, got {on_defect!r}")
-    lines = read_lines(spark, directory)
+    lines = read_lines(spark, directory, suffix)
     records = with_ingest_index(parse(lines, wire), lines)
     if on_defect == "raise":
         return _require_defect_free(records).drop("value", "defect", "raw_mark", "raw_file", "raw_block")
     return records
 
 
-def read_trades(spark: SparkSession, directory: str, *, on_defect: str = "raise") -> DataFrame:
-    return read_raw(spark, directory, TRADE_WIRE, on_defect=on_defect)
+def read_trades(
+    spark: SparkSession, directory: str, *, on_defect: str = "raise", suffix: str = RAW_SUFFIX
+) -> DataFrame:
+    return read_raw(spark, directory, TRADE_WIRE, on_defect=on_defect, suffix=suffix)
 
 
-def read_quotes(spark: SparkSession, directory: str, *, on_defect: str = "raise") -> DataFrame:
-    return read_raw(spark, directory, QUOTE_WIRE, on_defect=on_defect)
+def read_quotes(
+    spark: SparkSession, directory: str, *, on_defect: str = "raise", suffix: str = RAW_SUFFIX
+) -> DataFrame:
+    return read_raw(spark, directory, QUOTE_WIRE, on_defect=on_defect, suffix=suffix)
 
 
 def accepted(records: DataFrame) -> DataFrame:
