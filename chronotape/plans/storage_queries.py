@@ -34,12 +34,18 @@ def _raw_events(spark: SparkSession, sf: str) -> DataFrame:
     return v.table(spark, sf, "events").join(ticks, "event_id").withColumn("symbol", F.expr("concat('SYM', user_id DIV 3)"))
 
 
-@query("raw_trades", f"""WITH {v.TICKS_SQL}
+_RESOLVED_TICKS = f"""WITH {v.TICKS_SQL}, {v.history_sql()},
+    resolved AS (SELECT t.* EXCLUDE (instrument_id), h.instrument_id FROM ticks t JOIN history h
+        ON h.ticker = 'SYM' || CAST(t.instrument_id // 3 AS VARCHAR) AND t.event_time >= h.effective_time
+        AND (h.end_time IS NULL OR t.event_time < h.end_time))"""
+
+
+@query("raw_trades", f"""{_RESOLVED_TICKS}
     SELECT event_time, event_time + {v.LAG} AS knowledge_time, 5 AS source_rank,
            CASE WHEN event_id % 4 = 0 THEN -1 ELSE event_id END AS vendor_sequence,
            row_number() OVER (ORDER BY event_id) - 1 AS ingest_index, instrument_id, price_nano, size_shares,
            'V' AS exchange, CASE WHEN event_id % 5 = 0 THEN '' ELSE event_type END AS conditions, 'tr-' || event_id AS trade_id,
-           CASE WHEN event_id % 6 = 0 THEN '' ELSE 'C' END AS tape FROM ticks""")
+           CASE WHEN event_id % 6 = 0 THEN '' ELSE 'C' END AS tape FROM resolved""")
 def raw_trades(spark: SparkSession, sf: str) -> DataFrame:
     """Events written as vendor NDJSON, read back, positioned, resolved and normalized.
 
@@ -60,10 +66,10 @@ def raw_trades(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("raw_quotes", f"""WITH {v.TICKS_SQL}
+@query("raw_quotes", f"""{_RESOLVED_TICKS}
     SELECT event_time, 4 AS source_rank, event_id AS vendor_sequence, row_number() OVER (ORDER BY event_id) - 1 AS ingest_index,
            instrument_id, price_nano AS bid_price_nano, size_shares AS bid_size_shares, '' AS bid_exchange,
-           price_nano + 1 AS ask_price_nano, size_shares + 1 AS ask_size_shares, 'V' AS ask_exchange, 'sip' AS venue_coverage FROM ticks""")
+           price_nano + 1 AS ask_price_nano, size_shares + 1 AS ask_size_shares, 'V' AS ask_exchange, 'sip' AS venue_coverage FROM resolved""")
 def raw_quotes(spark: SparkSession, sf: str) -> DataFrame:
     record = f"""concat('{{"S":"', symbol, '","t":"', {_INSTANT}, '","bp":', {_decimal_text('price_nano')}, ',"bs":', size_shares,
         ',"ap":', {_decimal_text('(price_nano + 1)')}, ',"as":', size_shares + 1, ',"ax":"V","q":', event_id, '}}') AS value"""
@@ -166,7 +172,7 @@ def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("stream_bars", f"""WITH {v.TICKS_SQL}, b AS ({bars_sql(v.HOUR)})
     SELECT * REPLACE (TRUE AS is_complete) FROM b
-    WHERE event_time // 1000 <= (SELECT max(event_time) // 1000 FROM b) - {(v.HOUR + v.LAG + 999) // 1000}""")
+    WHERE event_time + {v.HOUR} <= ((SELECT max(event_time) FROM ticks WHERE event_type <> 'error') // 1000000 - 1) * 1000000""")
 def stream_bars_query(spark: SparkSession, sf: str) -> DataFrame:
     """Hourly bars from a file stream in append mode: closed windows come out, open ones are withheld."""
     folder = work_folder(spark, "stream-bars")

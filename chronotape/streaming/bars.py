@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chronotape.contracts import vocab
-from chronotape.functions.instants import timestamp_from_ns, window_start
+from chronotape.functions.instants import timestamp_from_ns
 from chronotape.operators.bars import bar_aggregates, is_bar_eligible, vwap
 from chronotape.sources.ndjson import RAW_SUFFIX, WireField, parse
 
@@ -38,19 +38,24 @@ def stream_bars(
 ) -> DataFrame:
     """Bars of a streaming ``prints``; group state is one row per instrument and open window.
 
-    In append mode a window comes out once the watermark has passed its end plus the publication
-    lag, so every emitted bar is complete. For update mode pass ``complete=False``: the partial
-    bars it emits must not look closed. Windows keep nanosecond starts; the microsecond copy only
-    drives the watermark.
+    In append mode a window comes out once the newest print is a publication lag (in whole
+    milliseconds, Spark's watermark unit) past its end, so every emitted bar is complete. For
+    update mode pass ``complete=False``: the partial bars it emits must not look closed.
+
+    Microsecond windows hold the same prints as nanosecond ones because both window and origin must
+    be whole microseconds. Order inside a window still uses the nanosecond key.
     """
-    delay = f"{-(-(window_ns + lag_ns) // 1_000)} microseconds"
+    if window_ns % 1_000 or origin_ns % 1_000:
+        raise ValueError("streaming windows need a window and an origin in whole microseconds")
+    width, shift = (f"{ns // 1_000} microseconds" for ns in (window_ns, origin_ns % window_ns))
     windows = (
-        prints.where(is_bar_eligible(ineligible=ineligible))
-        .withColumn("__start", window_start("event_time", window_ns, origin_ns))
-        .withColumn("__start_ts", timestamp_from_ns("__start"))
-        .withWatermark("__start_ts", delay)
+        prints.withColumn("__at", timestamp_from_ns("event_time"))
+        .withWatermark("__at", f"{-(-lag_ns // 1_000_000)} milliseconds")
+        .where(is_bar_eligible(ineligible=ineligible))
     )
-    bars = windows.groupBy("instrument_id", "__start", "__start_ts").agg(*bar_aggregates(order))
+    window = F.window("__at", width, startTime=shift)
+    bars = windows.groupBy("instrument_id", window.alias("__window")).agg(*bar_aggregates(order))
+    bars = bars.withColumn("__start", F.unix_micros("__window.start") * 1_000)
     return bars.select(
         F.col("__start").alias("event_time"),
         (F.col("__start") + window_ns + lag_ns).alias("knowledge_time"),
