@@ -146,14 +146,16 @@ def percentile_lags(df: DataFrame, by: Sequence[str], lag: Column, percentiles:
     The lags become a histogram first (map-side combined), then ranks come from a chunked running
     count over distinct lags. Nothing holds a whole group's values, as ``percentile`` would.
     """
+    if not by:
+        everything = percentile_lags(df.withColumn("__all", F.lit(1)), ["__all"], lag, percentiles, chunk_ns)
+        return everything.drop("__all")
     histogram = df.groupBy(*by, lag.alias("__lag")).agg(F.count("*").alias("__n"))
     ranked = running(
         histogram, by, ["__lag"], F.call_function("div", F.col("__lag"), F.lit(chunk_ns)),
         [Running("__upto", "sum", F.col("__n"), inclusive=True)],
     )
     totals = histogram.groupBy(*by).agg(F.sum("__n").alias("__total"))
-    joined = ranked.join(totals, list(by)) if by else ranked.crossJoin(F.broadcast(totals))
-    return joined.groupBy(*by).agg(
+    return ranked.join(totals, list(by)).groupBy(*by).agg(
         F.max("__total").alias("rows"),
         *[
             F.min(F.when(F.col("__upto") * 100 >= F.col("__total") * p, F.col("__lag"))).alias(f"p{p}")

@@ -31,6 +31,7 @@ def asof_join(
     ``left_on`` and ``right_on`` pair up and compare left to right; the first pair is the instant.
     ``allow_exact=False`` asks for a strictly earlier right row. ``right_tie`` makes right rows with
     equal keys a total order. Both sides share one union and one shuffle on (``by``, time chunk).
+    Left rows of one instant are told apart by a hash, so that even a hot instant can be split.
     """
     keys = [f"__on{i}" for i in range(len(left_on))]
     ties = [f"__tie{i}" for i in range(len(right_tie))]
@@ -39,7 +40,8 @@ def asof_join(
     def keyed(df: DataFrame, on: Sequence[str], side: int) -> dict[str, Column]:
         return {**{k: F.col(c) for k, c in zip(keys, on, strict=True)}, "__side": F.lit(side)}
 
-    lefts = left.withColumns({**keyed(left, left_on, left_side), "__is_left": F.lit(True)})
+    hashed = F.xxhash64(*left.columns)
+    lefts = left.withColumns({**keyed(left, left_on, left_side), "__is_left": F.lit(True), "__spread": hashed})
     tie_columns = [F.col(c).alias(t) for c, t in zip(right_tie, ties, strict=True)]
     rights = right.select(
         *by,
@@ -52,7 +54,7 @@ def asof_join(
     matched = running(
         both,
         by,
-        [*keys, "__side", *ties],
+        [*keys, "__side", *ties, "__spread"],
         time_chunk(keys[0], chunk_ns),
         [Running("__found", "last", F.col(_MATCH), inclusive=True)],
     ).where("__is_left")
@@ -131,16 +133,20 @@ def _known_asof_join(
         *[F.col(c).alias(f"__value_{c}") for c in payload],
     )
     both = left.withColumns(
-        {"__at": F.col(decision), "__side": F.lit(left_side), "__is_left": F.lit(True)}
+        {
+            "__at": F.col(decision), "__side": F.lit(left_side), "__is_left": F.lit(True),
+            "__spread": F.xxhash64(*left.columns),
+        }
     ).unionByName(
         right.select(
             *by, F.greatest(F.col(knowledge_time), F.col(event_time)).alias("__at"),
             F.lit(right_side).alias("__side"), candidate.alias(_MATCH), F.lit(False).alias("__is_left"),
+            F.xxhash64(event_time, *right_tie).alias("__spread"),
         ),
         allowMissingColumns=True,
     )
     matched = running(
-        both, by, ["__at", "__side"], time_chunk("__at", chunk_ns),
+        both, by, ["__at", "__side", "__spread"], time_chunk("__at", chunk_ns),
         [Running("__found", "max", F.col(_MATCH), inclusive=True)],
     ).where("__is_left")
     return matched.select(

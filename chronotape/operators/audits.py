@@ -82,13 +82,15 @@ def duplicate_count(df: DataFrame, keys: Sequence[str], rule: str, where: Column
     )
 
 
-def contract_violations(df: DataFrame, shape: Contract, policy: str = vocab.BACKFILL) -> DataFrame:
+def contract_violations(
+    df: DataFrame, shape: Contract, policy: str = vocab.BACKFILL, *, unique_keys: bool = True
+) -> DataFrame:
     """Content audit of a contract table: null, clock, policy, money and key-uniqueness rules."""
     if policy not in vocab.KNOWLEDGE_POLICIES:
         raise ContractError(f"unknown knowledge policy {policy!r}")
     label = F.concat(F.lit("event_time="), F.coalesce(F.col("event_time").cast("string"), F.lit("null")))
     report = count_violations(df, row_rules(shape, policy), label)
-    if shape.is_ordered:
+    if shape.is_ordered and unique_keys:
         report = report.unionByName(
             duplicate_count(df, vocab.ORDER_KEY, "ordering keys are not strictly increasing: repeated key")
         )
@@ -132,9 +134,20 @@ def unsorted_rows(
 
 
 def file_order_violations(df: DataFrame, key: Sequence[str] = vocab.ORDER_KEY) -> DataFrame:
-    """Physical-order audit of a Parquet table, using each file's own row positions."""
-    located = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
-    return unsorted_rows(located, ["__file"], "__row", key)
+    """Physical-order audit of a Parquet table: rows within a file, then files against each other.
+
+    Returns ``file, position`` of rows that do not exceed their predecessor and of files that
+    begin at or below the end of the file before them. An empty result proves the keys unique.
+    """
+    located = df.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("position"), *key
+    )
+    within = unsorted_rows(located, ["file"], "position", key).select("file", "position")
+    folder = F.regexp_replace("file", r"/[^/]*$", "")
+    ends = located.groupBy("file").agg(F.min(F.struct(*key)).alias("low"), F.max(F.struct(*key)).alias("high"))
+    before = Window.partitionBy("folder").orderBy("low")
+    between = ends.withColumn("folder", folder).withColumn("previous", F.lag("high").over(before)).where("previous >= low")
+    return within.unionByName(between.select("file", F.lit(0).cast("bigint").alias("position")))
 
 
 def allowed_move(previous: Column, current: Column) -> Column:

@@ -34,13 +34,15 @@ def as_known(df: DataFrame, identity: Sequence[str], as_of: int | Column, tie: S
 def split_segments(actions: DataFrame, decision_time: int) -> DataFrame:
     """Cumulative split ratio per instrument as disjoint segments, from splits announced by then.
 
-    Ratios multiply as exact decimals and are reduced by nothing: a product past 38 digits fails
+    Ratios multiply as exact decimals and are never reduced: a product past 27 digits fails
     instead of rounding, which also bounds how many splits one instrument can usefully carry.
     """
     splits = actions.where(
         (F.col("action_type") == "split") & (F.col("announcement_time") <= decision_time)
-    ).where("split_numerator IS NOT NULL AND split_denominator IS NOT NULL").select(
-        "instrument_id", "effective_time", "split_numerator", "split_denominator")
+        & F.col("split_numerator").isNotNull() & F.col("split_denominator").isNotNull()
+    ).select(
+        "instrument_id", "effective_time", "split_numerator", "split_denominator"
+    ).distinct()
     so_far = (
         Window.partitionBy("instrument_id").orderBy("effective_time")
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)

@@ -8,7 +8,9 @@ key holds a large share of the table. Here the time line of every key is cut int
 3. carried values enter the data as one extra leading row per cell, so the final window partitions
    by (key, chunk) and no join is needed.
 
-The rows are shuffled once. The largest task holds one cell, or one key's summaries.
+The rows are shuffled once. The largest task holds one cell, or one key's summaries. A cell that
+is itself too large, because most of a hot key falls into one chunk, is cut further at quantiles
+of the full order key (:func:`split_hot_cells`).
 """
 
 from __future__ import annotations
@@ -19,10 +21,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronotape.contracts import vocab
 from chronotape.functions.instants import floor_div
+from chronotape.operators.sizing import broadcast_if_small
+from chronotape.sources.files import work_folder
 
 _CHUNK, _LIVE = "__chunk", "__live"
+MAX_CELL_ROWS = 4_000_000
+_MAX_PIECES, _SAMPLES_PER_PIECE = 1_000, 40
 
 
 @dataclass(frozen=True)
@@ -51,21 +56,68 @@ def time_chunk(column: str, chunk_ns: int) -> Column:
     return floor_div(F.col(column), chunk_ns)
 
 
+def split_hot_cells(df: DataFrame, by: Sequence[str], order: Sequence[str], max_rows: int) -> DataFrame:
+    """Refine the chunk column of cells with more than ``max_rows`` rows; all others stay as they are.
+
+    A table that fits one cell returns at once after a count. Otherwise cell sizes come from one
+    pre-aggregated pass; there are at most rows / ``max_rows`` hot cells. Their cut points are order
+    keys taken at even ranks of a sample, written to the shared folder so that every reader of the
+    result uses the same ones. The pieces follow ``order``, ties included, wherever keys differ.
+    """
+    spark = df.sparkSession
+    if df.count() <= max_rows:
+        return df
+    sizes = df.groupBy(*by, _CHUNK).agg(F.count("*").alias("__rows")).where(F.col("__rows") > max_rows)
+    folder = work_folder(spark, "hot-cells")
+    sizes.write.parquet(folder.at("sizes"))
+    hot = spark.read.schema(sizes.schema).parquet(folder.at("sizes"))
+    if hot.isEmpty():
+        return df
+
+    pieces = F.least(F.ceil(F.col("__rows") / max_rows), F.lit(_MAX_PIECES)).cast("int")
+    keep = F.rand(11) < pieces * _SAMPLES_PER_PIECE / F.col("__rows")
+    cell = [*by, _CHUNK]
+    sampled = _join_cells(df, hot.withColumn("__pieces", pieces), cell, "inner").where(keep)
+    ranked = sampled.groupBy(*cell, "__pieces").agg(F.array_sort(F.collect_list(F.struct(*order))).alias("__s"))
+    ranks = F.transform(
+        F.sequence(F.lit(1), F.greatest(F.col("__pieces") - 1, F.lit(1))),
+        lambda i: F.get("__s", F.floor(i * F.size("__s") / F.col("__pieces")).cast("int")),
+    )
+    cuts = ranked.select(*cell, F.array_distinct(ranks).alias("__cuts"))
+    cuts.write.parquet(folder.at("cuts"))
+    stored = spark.read.schema(cuts.schema).parquet(folder.at("cuts"))
+
+    key = F.struct(*order)
+    piece = F.coalesce(F.size(F.filter("__cuts", lambda cut: cut <= key)), F.lit(0))
+    refined = F.struct(F.col(_CHUNK).alias("chunk"), piece.alias("piece"))
+    return _join_cells(df, stored, cell, "left").withColumn(_CHUNK, refined).drop("__cuts")
+
+
+def _join_cells(df: DataFrame, cells: DataFrame, cell: Sequence[str], how: str) -> DataFrame:
+    """Join on cell columns, NULL keys included; the cell table is small by construction."""
+    marked = broadcast_if_small(cells.withColumnsRenamed({c: f"__c{i}" for i, c in enumerate(cell)}))
+    same = [F.col(c).eqNullSafe(F.col(f"__c{i}")) for i, c in enumerate(cell)]
+    return df.join(marked, same, how).drop(*[f"__c{i}" for i in range(len(cell))])
+
+
 def running(
     df: DataFrame,
     by: Sequence[str],
     order: Sequence[str],
     chunk: Column,
     items: Sequence[Running],
+    max_cell_rows: int = MAX_CELL_ROWS,
 ) -> DataFrame:
     """Add running values over each ``by`` group in ``order``.
 
-    ``chunk`` must not decrease along ``order``; its width bounds the size of a task. With
-    ``inclusive`` the row itself counts, otherwise only rows strictly before it do (NULL at first).
+    ``chunk`` must not decrease along ``order``; it is the first bound on the size of a task and
+    ``max_cell_rows`` the second. With ``inclusive`` the row itself counts, otherwise only rows
+    strictly before it do (NULL at first).
     """
     by, order = list(by), list(order)
     held = {item.name: f"__{item.name}" for item in items}
-    prepared = df.withColumns({_CHUNK: chunk, **{held[i.name]: i.value for i in items}})
+    chunked = split_hot_cells(df.withColumn(_CHUNK, chunk), by, order, max_cell_rows)
+    prepared = chunked.withColumns({held[i.name]: i.value for i in items})
     order_struct = F.struct(*order)
 
     cells = prepared.groupBy(*by, _CHUNK).agg(*[_summary(i, held[i.name], order_struct) for i in items])
@@ -92,33 +144,3 @@ def positions(df: DataFrame, order: Sequence[str], chunk: Column, name: str, by:
     one = Running(name, "sum", F.lit(1).cast("bigint"))
     numbered = running(df, by, order, chunk, [one])
     return numbered.withColumn(name, F.coalesce(name, F.lit(0).cast("bigint")))
-
-
-def widest_chunk_ns(
-    df: DataFrame,
-    by: Sequence[str],
-    time: str,
-    max_rows: int = 2_000_000,
-    widths: Sequence[int] = (
-        vocab.NS_PER_DAY,
-        vocab.NS_PER_HOUR,
-        vocab.NS_PER_MINUTE,
-        vocab.NS_PER_SECOND,
-        1_000_000,
-    ),
-) -> int:
-    """Widest chunk whose fullest cell stays within ``max_rows``: one pre-aggregated, column-pruned pass.
-
-    Widths must divide each other; the narrowest is returned when even its fullest cell is larger.
-    """
-    cells = df.groupBy(*by, time_chunk(time, widths[-1]).alias("__fine")).count()
-    fullest = []
-    for width in widths:
-        coarse = F.call_function("div", F.col("__fine") * widths[-1] - F.pmod(F.col("__fine") * widths[-1], F.lit(width)), F.lit(width))
-        grown = cells.groupBy(*by, coarse.alias("__cell")).agg(F.sum("count").alias("rows"))
-        fullest.append(grown.agg(F.max("rows").alias("rows")).withColumn("width", F.lit(width)))
-    report = fullest[0]
-    for part in fullest[1:]:
-        report = report.unionByName(part)
-    fitting = [r["width"] for r in report.collect() if (r["rows"] or 0) <= max_rows]  # one row per width
-    return max(fitting, default=widths[-1])

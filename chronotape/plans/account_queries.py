@@ -176,12 +176,12 @@ def limit_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("risk_reasons", f"""WITH {v.FILLS_SQL}, {_MARKED_SQL},
-    p AS (SELECT CASE WHEN abs(value) * 10000 > CAST(100000000000000000 AS HUGEINT) * 200 * 4 THEN 'position_limit' ELSE 'approved' END AS risk_reason
+    p AS (SELECT CASE WHEN abs(value) * 10000 > CAST(4000000000000000 AS HUGEINT) * 200 THEN 'position_limit' ELSE 'approved' END AS risk_reason
           FROM valued)
     SELECT risk_reason, count(*) AS events FROM p GROUP BY 1""")
 def risk_reasons(spark: SparkSession, sf: str) -> DataFrame:
     """Position limits against a fixed equity, counted by reason code."""
-    held = _marked_by_supplier(spark, sf).withColumn("equity_nano", F.lit(400_000_000_000_000_000))
+    held = _marked_by_supplier(spark, sf).withColumn("equity_nano", F.lit(4_000_000_000_000_000))
     return accounts.risk_reason_counts(accounts.position_limit_decision(held))
 
 

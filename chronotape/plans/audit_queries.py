@@ -197,7 +197,7 @@ def promotion_gate(spark: SparkSession, sf: str) -> DataFrame:
     return audits.promotion_report(v.ticks(spark, sf).withColumn("event_time_source", source))
 
 
-@query("duplicate_paths", "SELECT url AS path, count(*) AS copies FROM pages GROUP BY 1 HAVING count(*) > 1")
+@query("duplicate_paths", "SELECT split_part(url, '/', 3) AS path, count(*) AS copies FROM pages GROUP BY 1 HAVING count(*) > 1")
 def duplicate_paths(spark: SparkSession, sf: str) -> DataFrame:
-    """Page addresses stand in for manifest paths, which must be unique."""
-    return audits.duplicate_paths(v.table(spark, sf, "pages").select(F.col("url").alias("path")))
+    """Hosts of page addresses stand in for manifest paths, which must be unique."""
+    return audits.duplicate_paths(v.table(spark, sf, "pages").select(F.split_part("url", F.lit("/"), F.lit(3)).alias("path")))

@@ -144,13 +144,18 @@ def snapshot_build(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(rows, "path string, row_count bigint, contract string, contract_version int")
 
 
-@query("snapshot_verify", f"""{_BARS_BY_DAY} SELECT CAST(0 AS BIGINT) AS findings, count(*) AS readable_rows FROM d""")
+@query("snapshot_verify", f"""{_BARS_BY_DAY} SELECT 'findings' AS measure, CAST(0 AS BIGINT) AS amount
+    UNION ALL SELECT 'readable rows', count(*) FROM d""")
 def snapshot_verify(spark: SparkSession, sf: str) -> DataFrame:
     """A clean snapshot has no findings, and its bounded reader returns every bar."""
     root, manifest = _sealed(spark, sf, "verified")
-    findings = snap.verify_snapshot(spark, root, manifest).agg(F.count("*").alias("findings"))
-    readable = snap.SnapshotReader(spark, root, manifest).read_contract("normalized.bar").agg(F.count("*").alias("readable_rows"))
-    return findings.join(readable)  # one row each
+    reader = snap.SnapshotReader(spark, root, manifest)
+
+    def counted(df: DataFrame, measure: str) -> DataFrame:
+        return df.agg(F.lit(measure).alias("measure"), F.count("*").alias("amount"))
+
+    findings = counted(snap.verify_snapshot(spark, root, manifest), "findings")
+    return findings.unionByName(counted(reader.read_contract("normalized.bar"), "readable rows"))
 
 
 _LANE_SQL = ", ".join(f"sum(CAST('0x' || substr(h, {1 + 15 * i}, 15) AS HUGEINT)) AS l{i}" for i in range(4))

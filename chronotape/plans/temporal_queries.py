@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronotape.contracts import vocab
@@ -11,7 +11,9 @@ from chronotape.operators.history import FeeComponent, FeeSchedule
 from chronotape.plans import views as v
 from chronotape.plans.catalogue import query
 
-NONE = F.lit(-1).cast("bigint")
+def _or_none(column: str) -> Column:
+    """An absent match shows as -1."""
+    return F.coalesce(column, F.lit(-1).cast("bigint")).alias(column)
 
 
 def _decisions_and_quotes(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -25,10 +27,9 @@ def _decisions_and_quotes(spark: SparkSession, sf: str) -> tuple[DataFrame, Data
     return decisions, quotes
 
 
-def _matched(joined: DataFrame, *extra: str) -> DataFrame:
+def _matched(joined: DataFrame) -> DataFrame:
     return joined.select(
-        "event_id", F.coalesce("quote_event_id", NONE).alias("quote_event_id"),
-        F.coalesce("quote_price_nano", NONE).alias("quote_price_nano"), *extra,
+        "event_id", _or_none("quote_event_id"), _or_none("quote_price_nano")
     )
 
 
