@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from chronotape.contracts import vocab
 
-# Fixed value: accepted instant text, offset mandatory, one to nine fraction digits.
+# Fixed value: accepted instant text, offset mandatory, one to nine fraction digits, a real month.
 INSTANT_PATTERN = (
-    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt ][0-9]{2}:[0-9]{2}:[0-9]{2}"
+    r"^(?!0000)[0-9]{4}-(0[1-9]|1[0-2])-[0-9]{2}[Tt ][0-9]{2}:[0-9]{2}:[0-9]{2}"
     r"(\.[0-9]{1,9})?([Zz]|[+-][0-9]{2}:[0-9]{2})\z"
 )
 
@@ -24,40 +24,37 @@ def floor_div(value: Column, divisor: int | Column) -> Column:
     return F.call_function("div", value - F.pmod(value, by), by)
 
 
+def _div(value: Column, divisor: int) -> Column:
+    return F.call_function("div", value, F.lit(divisor))
+
+
 def ns_from_rfc3339(text: Column | str) -> Column:
     """Lossless RFC-3339 text to nanoseconds; NULL when malformed or without an offset.
 
-    One regular expression decides validity; all digits then sit at fixed positions, so the rest is
-    substring arithmetic. The day counts from the first of its month, so second 60 and day 31 of a
-    short month roll over.
+    One regular expression decides validity; all digits then sit at fixed positions. A malformed
+    text is NULL from there on, and NULL carries through. The day counts from the first of its
+    month, so second 60 and day 31 of a short month roll over.
     """
     text = _col(text)
+    text = F.when(text.rlike(INSTANT_PATTERN), text)
+    length = F.length(text)
 
-    def number(start: int, length: int) -> Column:
-        return F.substring(text, start, length).try_cast("bigint")
+    def digits(part: Column) -> Column:
+        return F.translate(part, ":", "").try_cast("bigint")
 
-    year, month = number(1, 4), number(6, 2)
-    length = F.length(text)
-    zulu = F.upper(F.substr(text, length, F.lit(1))) == "Z"
-    zone_width = F.when(zulu, F.lit(1)).otherwise(F.lit(6))
-    fraction = F.substr(text, F.lit(21), F.greatest(length - F.lit(20) - zone_width, F.lit(0)))
-    nanos = F.rpad(fraction, 9, "0").try_cast("bigint")
+    first_of_month = F.concat(F.substring(text, 1, 8), F.lit("01")).try_cast("date")
+    days = F.unix_date(first_of_month) + digits(F.substring(text, 9, 2)) - 1
+    hms = digits(F.substring(text, 12, 8))  # as the number hhmmss
+    seconds = days * 86_400 + hms - _div(hms, 100) * 40 - _div(hms, 10_000) * 2_400
 
-    zone_minutes = (
-        F.substr(text, length - 4, F.lit(2)).try_cast("bigint") * 60
-        + F.substr(text, length - 1, F.lit(2)).try_cast("bigint")
-    )
-    behind = F.substr(text, length - 5, F.lit(1)) == "-"
-    offset_minutes = F.when(zulu, F.lit(0)).when(behind, -zone_minutes).otherwise(zone_minutes)
-
-    valid = text.rlike(INSTANT_PATTERN) & month.between(1, 12) & (year >= 1)
-    first_of_month = F.when(valid, F.make_date(year.cast("int"), month.cast("int"), F.lit(1)))
-    days = F.unix_date(first_of_month).cast("bigint") + number(9, 2) - 1
-    seconds = (
-        days * 86_400 + number(12, 2) * 3_600 + number(15, 2) * 60 + number(18, 2)
-        - offset_minutes * 60
-    )
-    return F.when(valid, seconds * vocab.NS_PER_SECOND + nanos)
+    zulu = F.upper(F.substr(text, length, F.lit(1))) == "Z"
+    width = length - F.when(zulu, F.lit(21)).otherwise(F.lit(26))
+    nanos = digits(F.rpad(F.substr(text, F.lit(21), F.greatest(width, F.lit(0))), 9, "0"))
+    zone = digits(F.substr(text, length - 4, F.lit(5)))  # as the number hhmm, where there is one
+    minutes = zone - _div(zone, 100) * 40
+    ahead = F.when(F.substr(text, length - 5, F.lit(1)) == "-", -minutes).otherwise(minutes)
+    offset = F.when(zulu, F.lit(0).cast("bigint")).otherwise(ahead * 60)
+    return (seconds - offset) * vocab.NS_PER_SECOND + nanos
 
 
 def rfc3339_from_ns(ns: Column | str) -> Column:
@@ -67,7 +64,7 @@ def rfc3339_from_ns(ns: Column | str) -> Column:
     in_day = F.pmod(ns, F.lit(vocab.NS_PER_DAY))
 
     def part(unit: int, size: int, width: int = 2) -> Column:
-        amount = F.pmod(F.call_function("div", in_day, F.lit(unit)), F.lit(size))
+        amount = F.pmod(_div(in_day, unit), F.lit(size))
         return F.lpad(amount.cast("string"), width, "0")
 
     date = F.date_add(F.to_date(F.lit("1970-01-01")), day.cast("int")).cast("string")
@@ -88,7 +85,7 @@ def ns_from_timestamp_ntz(ts: Column | str) -> Column:
 
 def timestamp_from_ns(ns: Column | str) -> Column:
     """Microsecond timestamp for display and watermarks; never join or order on it."""
-    return F.timestamp_micros(F.call_function("div", _col(ns), F.lit(1_000)))
+    return F.timestamp_micros(_div(_col(ns), 1_000))
 
 
 def window_start(event_time: Column | str, window_ns: int, origin_ns: int | Column) -> Column:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,22 +22,10 @@ def _div(numerator: Column, denominator: Column | int) -> Column:
     return F.call_function("div", numerator, by)
 
 
-def whole_nanos(dollars: Column | str) -> Column:
-    """decimal(38,18) dollars to nano-dollars as decimal(38,9); fraction left means sub-nano input.
-
-    The integral and fractional parts are scaled apart so Spark never has to drop digits.
-    """
-    dollars = _col(dollars)
-    whole = F.floor(dollars).cast("decimal(20,0)")
-    fraction = (dollars - whole).cast("decimal(19,18)")
-    scale = F.lit(NANO).cast("decimal(10,0)")
-    return (whole * scale).cast("decimal(38,9)") + (fraction * scale).cast("decimal(20,9)")
-
-
-def is_sub_nano(dollars: Column | str) -> Column:
-    """True when an amount cannot be held at a billionth of a dollar."""
-    dollars = _col(dollars)
-    return dollars != dollars.cast("decimal(29,9)").cast("decimal(38,18)")
+def is_storable_dollars(dollars: Column | str) -> Column:
+    """Whether decimal dollars stay within the storable nano-dollar range."""
+    edge = Decimal(STORABLE_LIMIT).scaleb(-9)
+    return _col(dollars).between(F.lit(-edge), F.lit(edge))
 
 
 def is_storable(nanos: Column | str) -> Column:
@@ -44,11 +35,12 @@ def is_storable(nanos: Column | str) -> Column:
 def nano_from_dollars(dollars: Column | str, field: str = "price") -> Column:
     """Exact decimal dollars to a 64-bit nano-dollar count, or a task failure naming the field."""
     dollars = _col(dollars)
-    text = dollars.cast("string")
-    return F.when(
-        is_sub_nano(dollars),
-        F.raise_error(F.concat(F.lit(f"{field}="), text, F.lit(" has sub-nano-dollar precision"))).cast("bigint"),
-    ).otherwise(narrow(whole_nanos(dollars).cast(WIDE), field))
+    exact = dollars.try_cast("decimal(19,9)")  # rounds, so a difference shows sub-nano digits
+    nanos = (exact * F.lit(NANO).cast("decimal(10,0)")).cast("bigint")
+    storable = is_storable_dollars(dollars)
+    reason = F.when(storable, " has sub-nano-dollar precision").otherwise(" exceeds the storable range")
+    failure = F.raise_error(F.concat(F.lit(f"{field}="), dollars.cast("string"), reason)).cast("bigint")
+    return F.when(dollars.isNull() | (storable & (exact == dollars)), nanos).otherwise(failure)
 
 
 def narrow(value: Column | str, field: str = "value") -> Column:
@@ -76,39 +68,73 @@ def notional(price_nano: Column | str, quantity: Column | str) -> Column:
     return (_col(price_nano).cast("decimal(19,0)") * _col(quantity).cast("decimal(19,0)")).cast(WIDE)
 
 
-def _ledger(numerator: Column, denominator: Column, value: Column) -> Column:
-    """value + remainder / denominator == numerator / denominator, always."""
-    remainder = (numerator - value.cast("decimal(19,0)") * denominator.cast("decimal(19,0)")).cast("bigint")
-    return F.struct(
-        value.alias("value"), remainder.alias("remainder"), denominator.cast("bigint").alias("denominator")
+def _as_column(value: Column | str | int) -> Column:
+    return F.lit(value) if isinstance(value, int) else _col(value)
+
+
+def exact_product(*factors: Column | str | int) -> tuple[Column, Column]:
+    """The product of integer factors twice over: 64-bit (NULL when it overflows) and decimal.
+
+    Nearly every product fits 64 bits, where arithmetic is an order of magnitude cheaper; the
+    decimal form is only evaluated for rows where it does not.
+    """
+    columns = [_as_column(f) for f in factors]
+    narrow_product, wide_product = columns[0].cast("bigint"), columns[0].cast("decimal(19,0)")
+    for factor in columns[1:]:
+        narrow_product = F.try_multiply(narrow_product, factor.cast("bigint"))
+        wide_product = (wide_product * factor.cast("decimal(19,0)")).cast(WIDE)
+    return narrow_product, wide_product
+
+
+def _round_exact(numerator: Column, denominator: Column, away_from_zero: bool) -> tuple[Column, Column]:
+    """(rounded value, remainder numerator) of numerator / denominator; ``denominator`` positive."""
+    value, rest = _div(numerator, denominator), numerator % denominator
+    if not away_from_zero:
+        return value, rest
+    step = F.signum(rest).cast("bigint")  # the remainder is small: its sign survives the double
+    return value + step, rest - step * denominator
+
+
+def _rounded(product: tuple[Column, Column], denominator: Column | str | int, away_from_zero: bool) -> Column:
+    """struct(value, remainder, denominator) with value + remainder / denominator exact, always."""
+    narrow_product, wide_product = product
+    by = _as_column(denominator).cast("bigint")
+    fast = _round_exact(narrow_product, by, away_from_zero)
+    slow = _round_exact(wide_product, by, away_from_zero)
+    fits = narrow_product.isNotNull()
+    value, remainder = (
+        F.when(fits, f).otherwise(s.cast("bigint")) for f, s in zip(fast, slow, strict=True)
     )
+    return F.struct(value.alias("value"), remainder.alias("remainder"), by.alias("denominator"))
 
 
-def _as_column(value: Column | int) -> Column:
-    return F.lit(value) if isinstance(value, int) else value
+def _from_numerator(numerator: Column | str) -> tuple[Column, Column]:
+    numerator = _col(numerator)
+    return numerator.try_cast("bigint"), numerator.cast(WIDE)
 
 
-def round_credit(numerator: Column, denominator: Column | int) -> Column:
+def round_credit(numerator: Column | str, denominator: Column | int) -> Column:
     """Money received: toward zero. Returns struct(value, remainder, denominator)."""
-    numerator, denominator = numerator.cast(WIDE), _as_column(denominator)
-    return _ledger(numerator, denominator, _div(numerator, denominator))
+    return _rounded(_from_numerator(numerator), denominator, away_from_zero=False)
 
 
 round_statistic = round_credit  # a descriptive figure has no paying side: toward zero as well
 
 
-def round_cost(numerator: Column, denominator: Column | int) -> Column:
+def round_cost(numerator: Column | str, denominator: Column | int) -> Column:
     """Money paid: away from zero, exact values untouched. ``denominator`` must be positive."""
-    numerator, denominator = numerator.cast(WIDE), _as_column(denominator)
-    inexact = (numerator % denominator) != 0
-    step = F.when(inexact & (numerator > 0), 1).when(inexact & (numerator < 0), -1).otherwise(0)
-    return _ledger(numerator, denominator, _div(numerator, denominator) + step)
+    return _rounded(_from_numerator(numerator), denominator, away_from_zero=True)
+
 
+def apply_rate(
+    base: Column | str | Sequence[Column | str | int], rate_num: Column | int, rate_den: Column | int, *, credit: bool = False
+) -> Column:
+    """A rational rate on an exact base, rounded against us; struct(value, remainder, denominator).
 
-def apply_rate(base: Column | str, rate_num: Column | int, rate_den: Column | int, *, credit: bool = False) -> Column:
-    """A rational rate on an exact base, rounded against us; struct(value, remainder, denominator)."""
-    exact = _col(base).cast("decimal(28,0)") * _as_column(rate_num).cast("decimal(10,0)")
-    return (round_credit if credit else round_cost)(exact, rate_den)
+    ``base`` is a 64-bit amount, or factors such as price and quantity whose product need not fit.
+    """
+    factors = [base] if isinstance(base, (str, Column)) else list(base)
+    return _rounded(exact_product(*factors, rate_num), rate_den, away_from_zero=not credit)
 
 
 def ledger_total(ledger: str) -> list[Column]:
@@ -119,9 +145,12 @@ def ledger_total(ledger: str) -> list[Column]:
     return [rounded.alias("rounded_total"), remainder.alias("remainder_total")]
 
 
-def borrow_accrual(notional_nano: Column | str, fee_bps_num: Column | int, fee_bps_den: Column | int = 1) -> Column:
+def borrow_accrual(
+    price_nano: Column | str, quantity: Column | str, fee_bps_num: Column | int, fee_bps_den: Column | int = 1
+) -> Column:
     """One day of borrow cost: notional * bps / 10,000 / 360, rounded as a cost."""
-    return apply_rate(notional_nano, fee_bps_num, _as_column(fee_bps_den).cast("bigint") * (10_000 * 360))
+    year = F.lit(10_000 * 360).cast("bigint") * _as_column(fee_bps_den)
+    return apply_rate([price_nano, quantity], fee_bps_num, year)
 
 
 def rational_bps(fee_bps: Column | str, scale: int = 1_000_000) -> Column:
@@ -131,8 +160,9 @@ def rational_bps(fee_bps: Column | str, scale: int = 1_000_000) -> Column:
 
 def mid_price(bid_nano: Column | str, ask_nano: Column | str) -> Column:
     """(bid + ask) / 2 toward zero with its half-nano remainder kept."""
-    total = _col(bid_nano).cast("decimal(19,0)") + _col(ask_nano).cast("decimal(19,0)")
-    return round_statistic(total, 2)
+    bid, ask = _col(bid_nano), _col(ask_nano)
+    total = (F.try_add(bid, ask), (bid.cast("decimal(19,0)") + ask.cast("decimal(19,0)")).cast(WIDE))
+    return _rounded(total, 2, away_from_zero=False)
 
 
 def format_usd(nanos: Column | str) -> Column:

@@ -90,5 +90,9 @@ def build_bars(
 
 
 def with_bar_positions(bars: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """``ingest_index``: position in (window, instrument) order. A chunk is one window's bars."""
-    return scan.positions(bars, ["event_time", "instrument_id"], F.col("event_time"), "ingest_index", by)
+    """``ingest_index``: position in (window, instrument) order.
+
+    A chunk is one window, which holds at most one bar per instrument, so no cell can be hot.
+    """
+    order = ["event_time", "instrument_id"]
+    return scan.positions(bars, order, F.col("event_time"), "ingest_index", by, max_cell_rows=None)

@@ -76,13 +76,19 @@ def split_adjusted(
     num = F.coalesce("s.factor_num", F.lit(1).cast("decimal(27,0)"))
     den = F.coalesce("s.factor_den", F.lit(1).cast("decimal(27,0)"))
 
-    def scaled(column: str, up: Column, down: Column) -> Column:
-        return F.call_function("div", (F.col(f"p.{column}").cast("decimal(19,0)") * up).cast(money.WIDE), down)
+    small_num, small_den = num.try_cast("bigint"), den.try_cast("bigint")
+
+    def scaled(column: str, up: Column, down: Column, small_up: Column, small_down: Column) -> Column:
+        """value * up / down, in 64 bits wherever the product fits."""
+        value = F.col(f"p.{column}")
+        product = F.when(small_down.isNotNull(), F.try_multiply(value, small_up))
+        exact = F.call_function("div", (value.cast("decimal(19,0)") * up).cast(money.WIDE), down)
+        return F.when(product.isNotNull(), F.call_function("div", product, small_down)).otherwise(exact)
 
     return prints.alias("p").join(segments, on, "left").select(
         "p.*",
-        scaled(price, num, den).alias("adjusted_price_nano"),
-        scaled(size, den, num).alias("adjusted_size_shares"),
+        scaled(price, num, den, small_num, small_den).alias("adjusted_price_nano"),
+        scaled(size, den, num, small_den, small_num).alias("adjusted_size_shares"),
     )
 
 
@@ -112,39 +118,21 @@ class FeeSchedule:
     def names(self) -> list[str]:
         return list(dict.fromkeys(c.name for c in self.components))
 
-    def _in_force(self, name: str, at: str) -> list[tuple[Column, FeeComponent]]:
-        latest_first = sorted(
-            (c for c in self.components if c.name == name), key=lambda c: c.effective_from_ns, reverse=True
-        )
-        return [(F.col(at) >= c.effective_from_ns, c) for c in latest_first]
-
-    def rates(self, name: str, at: str = "event_time") -> tuple[Column, Column, Column]:
-        """(numerator, denominator, basis) in force at each row's instant; NULL before the first date."""
-        chains: list[Column | None] = [None, None, None]
-        for active, part in self._in_force(name, at):
-            values = (
-                F.lit(part.rate_numerator).cast("bigint"),
-                F.lit(part.rate_denominator).cast("bigint"),
-                F.lit(part.basis),
-            )
-            chains = [
-                F.when(active, v) if chain is None else chain.when(active, v)
-                for chain, v in zip(chains, values, strict=True)
-            ]
-        if chains[0] is None:
+    def cost(self, name: str, *, price: str, quantity: str, at: str = "event_time", part_of: str = "value") -> Column:
+        """Fee of one component per fill, rounded against us; NULL before its first effective date.
+
+        ``part_of`` picks the ledger field to compute: ``value``, ``remainder`` or ``denominator``.
+        """
+        factors = {"per_share": [quantity], "per_notional": [price, quantity], "per_order": [F.lit(1)]}
+        dated = [c for c in self.components if c.name == name]
+        if not dated:
             raise ContractError(f"the schedule has no component {name!r}")
-        return chains[0], chains[1], chains[2]  # type: ignore[return-value]
-
-    def cost(self, name: str, *, price: str, quantity: str, at: str = "event_time") -> Column:
-        """Fee of one component per fill, rounded against us: struct(value, remainder, denominator)."""
-        num, den, basis = self.rates(name, at)
-        quantity_wide = F.col(quantity).cast("decimal(28,0)")
-        base = (
-            F.when(basis == "per_share", quantity_wide)
-            .when(basis == "per_notional", money.notional(price, quantity).cast("decimal(28,0)"))
-            .otherwise(F.lit(1).cast("decimal(28,0)"))
-        )
-        return F.when(den.isNotNull(), money.apply_rate(base, num, F.coalesce(den, F.lit(1).cast("bigint"))))
+        fee: Column | None = None
+        for part in sorted(dated, key=lambda c: c.effective_from_ns, reverse=True):
+            in_force = F.col(at) >= part.effective_from_ns
+            amount = money.apply_rate(factors[part.basis], part.rate_numerator, part.rate_denominator)[part_of]
+            fee = F.when(in_force, amount) if fee is None else fee.when(in_force, amount)
+        return fee
 
 
 def with_fees(fills: DataFrame, schedule: FeeSchedule, *, price: str = "price_nano", quantity: str = "quantity_shares", at: str = "event_time") -> DataFrame:
@@ -152,7 +140,7 @@ def with_fees(fills: DataFrame, schedule: FeeSchedule, *, price: str = "price_na
     return fills.withColumns(
         {
             f"{name}_nano": F.coalesce(
-                schedule.cost(name, price=price, quantity=quantity, at=at)["value"], F.lit(0).cast("bigint")
+                schedule.cost(name, price=price, quantity=quantity, at=at), F.lit(0).cast("bigint")
             )
             for name in schedule.names
         }

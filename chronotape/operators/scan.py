@@ -106,17 +106,19 @@ def running(
     order: Sequence[str],
     chunk: Column,
     items: Sequence[Running],
-    max_cell_rows: int = MAX_CELL_ROWS,
+    max_cell_rows: int | None = MAX_CELL_ROWS,
 ) -> DataFrame:
     """Add running values over each ``by`` group in ``order``.
 
     ``chunk`` must not decrease along ``order``; it is the first bound on the size of a task and
-    ``max_cell_rows`` the second. With ``inclusive`` the row itself counts, otherwise only rows
+    ``max_cell_rows`` the second (None where the chunk alone already bounds a cell). With ``inclusive`` the row itself counts, otherwise only rows
     strictly before it do (NULL at first).
     """
     by, order = list(by), list(order)
     held = {item.name: f"__{item.name}" for item in items}
-    chunked = split_hot_cells(df.withColumn(_CHUNK, chunk), by, order, max_cell_rows)
+    chunked = df.withColumn(_CHUNK, chunk)
+    if max_cell_rows is not None:
+        chunked = split_hot_cells(chunked, by, order, max_cell_rows)
     prepared = chunked.withColumns({held[i.name]: i.value for i in items})
     order_struct = F.struct(*order)
 
@@ -139,8 +141,11 @@ def running(
     return rows.select(*df.columns, _LIVE, *results).where(F.col(_LIVE)).drop(_LIVE)
 
 
-def positions(df: DataFrame, order: Sequence[str], chunk: Column, name: str, by: Sequence[str] = ()) -> DataFrame:
+def positions(
+    df: DataFrame, order: Sequence[str], chunk: Column, name: str, by: Sequence[str] = (),
+    max_cell_rows: int | None = MAX_CELL_ROWS,
+) -> DataFrame:
     """Dense 0-based position in ``order``, across the whole table or within ``by``."""
     one = Running(name, "sum", F.lit(1).cast("bigint"))
-    numbered = running(df, by, order, chunk, [one])
+    numbered = running(df, by, order, chunk, [one], max_cell_rows)
     return numbered.withColumn(name, F.coalesce(name, F.lit(0).cast("bigint")))

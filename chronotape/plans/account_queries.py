@@ -72,7 +72,7 @@ def borrow_accrual(spark: SparkSession, sf: str) -> DataFrame:
     """One day of borrow on every short sale at discount * 25 basis points a year."""
     shorts = v.fills(spark, sf).where(F.col("side") == "sell")
     fee_bps = money.rational_bps(F.col("discount_percent") * F.lit(25.0), 1)
-    accrued = money.borrow_accrual(money.notional("price_nano", "quantity_shares"), fee_bps)["value"]
+    accrued = money.borrow_accrual("price_nano", "quantity_shares", fee_bps)["value"]
     return shorts.groupBy("instrument_id").agg(F.sum(accrued.cast(money.WIDE)).cast("string").alias("accrued_nano"))
 
 

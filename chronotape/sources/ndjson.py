@@ -142,8 +142,10 @@ def _defects(w: WireField) -> list[Column]:
         found.append(when(value.isNull(), "is not an instant with an offset"))
     elif w.kind == "price":
         found.append(when(value.isNull(), "is not a decimal number"))
-        found.append(when(_fraction_digits(F.col(f"__{w.column}")) > 9, "has sub-nano-dollar precision"))
-        found.append(when(~money.is_storable(money.whole_nanos(value)), "exceeds the storable range"))
+        literal = F.col(f"__{w.column}")
+        suspect = (F.length(literal) > 11) | literal.rlike("[eE]")  # a short plain literal cannot hide digits
+        found.append(when(suspect & (_fraction_digits(literal) > 9), "has sub-nano-dollar precision"))
+        found.append(when(~money.is_storable_dollars(value), "exceeds the storable range"))
     elif w.kind == "whole":
         found.append(when(raw.isNotNull() & ~raw.rlike(r"^-?[0-9]{1,18}$"), "is not a whole number"))
     return found

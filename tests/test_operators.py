@@ -127,7 +127,7 @@ def test_fee_schedule(spark):
     got = {r.event_time: (r.share_nano, r.value_nano, r.ticket_nano) for r in history.with_fees(df, schedule).collect()}
     assert got == {9: (0, 11, 4), 10: (4, 11, 4), 20: (20, 11, 4)}
     with pytest.raises(ContractError):
-        schedule.rates("absent")
+        schedule.cost("absent", price="price_nano", quantity="quantity_shares")
 
 
 FILLS = "instrument_id bigint, side string, quantity_shares bigint, price_nano bigint, t bigint, commission_nano bigint, " \
