@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from chronotape.contracts import vocab
 from chronotape.operators.scan import Running, running, time_chunk
@@ -13,6 +14,11 @@ from chronotape.operators.scan import Running, running, time_chunk
 _MATCH = "__match"
 
 
+def _row_hash(df: DataFrame) -> Column:
+    """A hash that tells rows of one instant apart; maps cannot be hashed and are left out."""
+    return F.xxhash64(*[f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)])
+
+
 def asof_join(
     left: DataFrame,
     right: DataFrame,
@@ -40,10 +46,11 @@ def asof_join(
     def keyed(df: DataFrame, on: Sequence[str], side: int) -> dict[str, Column]:
         return {**{k: F.col(c) for k, c in zip(keys, on, strict=True)}, "__side": F.lit(side)}
 
-    hashed = F.xxhash64(*left.columns)
-    lefts = left.withColumns({**keyed(left, left_on, left_side), "__is_left": F.lit(True), "__spread": hashed})
+    lefts = left.withColumns(
+        {**keyed(left, left_on, left_side), "__is_left": F.lit(True), "__spread": _row_hash(left)}
+    )
     tie_columns = [F.col(c).alias(t) for c, t in zip(right_tie, ties, strict=True)]
-    rights = right.select(
+    rights = right.where(F.col(right_on[0]).isNotNull()).select(
         *by,
         *[c.alias(name) for name, c in keyed(right, right_on, right_side).items()],
         *tie_columns,
@@ -123,8 +130,8 @@ def _known_asof_join(
 ) -> DataFrame:
     """Running maximum by event order over a time line laid out by knowledge time.
 
-    A row can only be known at or after its event, so every row known by the decision has also
-    happened; with ``allow_exact=False`` it must have been known strictly before.
+    A right row becomes usable once it has both happened and become known; with
+    ``allow_exact=False`` that must be strictly before the decision.
     """
     right_side, left_side = (0, 1) if allow_exact else (1, 0)
     candidate = F.struct(
@@ -135,7 +142,7 @@ def _known_asof_join(
     both = left.withColumns(
         {
             "__at": F.col(decision), "__side": F.lit(left_side), "__is_left": F.lit(True),
-            "__spread": F.xxhash64(*left.columns),
+            "__spread": _row_hash(left),
         }
     ).unionByName(
         right.select(

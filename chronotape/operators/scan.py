@@ -3,14 +3,15 @@
 A plain ``Window.partitionBy(key)`` sorts all rows of a key in a single task, which fails when one
 key holds a large share of the table. Here the time line of every key is cut into chunks:
 
-1. each (key, chunk) cell is reduced to one summary row, with map-side partial aggregation;
+1. each (key, chunk) cell is reduced to one summary row, with map-side partial aggregation, and
+   the summaries are stored in the shared folder, so that pass over the data runs exactly once;
 2. a small window over the summaries gives the value carried into every cell;
 3. carried values enter the data as one extra leading row per cell, so the final window partitions
    by (key, chunk) and no join is needed.
 
-The rows are shuffled once. The largest task holds one cell, or one key's summaries. A cell that
-is itself too large, because most of a hot key falls into one chunk, is cut further at quantiles
-of the full order key (:func:`split_hot_cells`).
+The data is read twice and its rows are shuffled once. The largest task holds one cell, or one
+key's summaries. The summaries also count rows: a cell that is itself too large, because most of a
+hot key falls into one chunk, is cut further at quantiles of the full order key.
 """
 
 from __future__ import annotations
@@ -56,41 +57,36 @@ def time_chunk(column: str, chunk_ns: int) -> Column:
     return floor_div(F.col(column), chunk_ns)
 
 
-def split_hot_cells(df: DataFrame, by: Sequence[str], order: Sequence[str], max_rows: int) -> DataFrame:
-    """Refine the chunk column of cells with more than ``max_rows`` rows; all others stay as they are.
+def _stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a small result to the shared folder and go on from the copy."""
+    path = work_folder(df.sparkSession, purpose).root
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    A table that fits one cell returns at once after a count. Otherwise cell sizes come from one
-    pre-aggregated pass; there are at most rows / ``max_rows`` hot cells. Their cut points are order
-    keys taken at even ranks of a sample, written to the shared folder so that every reader of the
-    result uses the same ones. The pieces follow ``order``, ties included, wherever keys differ.
-    """
-    spark = df.sparkSession
-    if df.count() <= max_rows:
-        return df
-    sizes = df.groupBy(*by, _CHUNK).agg(F.count("*").alias("__rows")).where(F.col("__rows") > max_rows)
-    folder = work_folder(spark, "hot-cells")
-    sizes.write.parquet(folder.at("sizes"))
-    hot = spark.read.schema(sizes.schema).parquet(folder.at("sizes"))
-    if hot.isEmpty():
-        return df
 
-    pieces = F.least(F.ceil(F.col("__rows") / max_rows), F.lit(_MAX_PIECES)).cast("int")
-    keep = F.rand(11) < pieces * _SAMPLES_PER_PIECE / F.col("__rows")
+def split_cells(df: DataFrame, hot: DataFrame, by: Sequence[str], order: Sequence[str], max_rows: int) -> DataFrame:
+    """Refine the chunk column of the ``hot`` cells (at most rows / ``max_rows`` of them).
+
+    Cut points are order keys at even ranks of a sample. They are stored, so every reader of the
+    result uses the same ones. The pieces follow ``order``, ties included, wherever keys differ;
+    no row is dropped or capped.
+    """
     cell = [*by, _CHUNK]
-    sampled = _join_cells(df, hot.withColumn("__pieces", pieces), cell, "inner").where(keep)
+    pieces = F.least(F.ceil(F.col("__rows") / max_rows), F.lit(_MAX_PIECES)).cast("int")
+    keep = F.rand(11) < F.col("__pieces") * _SAMPLES_PER_PIECE / F.col("__rows")
+    wanted = hot.select(*cell, "__rows", pieces.alias("__pieces"))
+    sampled = _join_cells(df, wanted, cell, "inner").where(keep)
     ranked = sampled.groupBy(*cell, "__pieces").agg(F.array_sort(F.collect_list(F.struct(*order))).alias("__s"))
     ranks = F.transform(
         F.sequence(F.lit(1), F.greatest(F.col("__pieces") - 1, F.lit(1))),
         lambda i: F.get("__s", F.floor(i * F.size("__s") / F.col("__pieces")).cast("int")),
     )
-    cuts = ranked.select(*cell, F.array_distinct(ranks).alias("__cuts"))
-    cuts.write.parquet(folder.at("cuts"))
-    stored = spark.read.schema(cuts.schema).parquet(folder.at("cuts"))
+    cuts = _stored(ranked.select(*cell, F.array_distinct(ranks).alias("__cuts")), "cell-cuts")
 
     key = F.struct(*order)
     piece = F.coalesce(F.size(F.filter("__cuts", lambda cut: cut <= key)), F.lit(0))
     refined = F.struct(F.col(_CHUNK).alias("chunk"), piece.alias("piece"))
-    return _join_cells(df, stored, cell, "left").withColumn(_CHUNK, refined).drop("__cuts")
+    return _join_cells(df, cuts, cell, "left").withColumn(_CHUNK, refined).drop("__cuts")
 
 
 def _join_cells(df: DataFrame, cells: DataFrame, cell: Sequence[str], how: str) -> DataFrame:
@@ -116,13 +112,19 @@ def running(
     """
     by, order = list(by), list(order)
     held = {item.name: f"__{item.name}" for item in items}
-    chunked = df.withColumn(_CHUNK, chunk)
+    prepared = df.withColumns({_CHUNK: chunk, **{held[i.name]: i.value for i in items}})
+
+    def summaries(rows: DataFrame) -> DataFrame:
+        parts = [_summary(i, held[i.name], F.struct(*order)) for i in items]
+        return _stored(rows.groupBy(*by, _CHUNK).agg(*parts, F.count("*").alias("__rows")), "cells")
+
+    cells = summaries(prepared)
     if max_cell_rows is not None:
-        chunked = split_hot_cells(chunked, by, order, max_cell_rows)
-    prepared = chunked.withColumns({held[i.name]: i.value for i in items})
-    order_struct = F.struct(*order)
+        hot = cells.where(F.col("__rows") > max_cell_rows)
+        if not hot.isEmpty():
+            prepared = split_cells(prepared, hot, by, order, max_cell_rows)
+            cells = summaries(prepared)
 
-    cells = prepared.groupBy(*by, _CHUNK).agg(*[_summary(i, held[i.name], order_struct) for i in items])
     earlier = Window.partitionBy(*by).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carried = cells.select(
         *by, _CHUNK, *[_over_cells(i.kind, held[i.name], earlier).alias(held[i.name]) for i in items]

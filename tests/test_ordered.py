@@ -58,7 +58,8 @@ def test_running_values(spark, width, max_cell):
 def test_hot_cells_really_split(spark):
     rows = [(1, 50, i, 1) for i in range(1_000)] + [(2, 50, i, 1) for i in range(10)]
     df = spark.createDataFrame(rows, SCHEMA).withColumn("__chunk", F.lit(0))
-    sizes = scan.split_hot_cells(df, ["k"], ["t", "i"], 100).groupBy("k", "__chunk").count().collect()
+    hot_cells = df.groupBy("k", "__chunk").agg(F.count("*").alias("__rows")).where("__rows > 100")
+    sizes = scan.split_cells(df, hot_cells, ["k"], ["t", "i"], 100).groupBy("k", "__chunk").count().collect()
     hot = [r["count"] for r in sizes if r.k == 1]
     assert sum(hot) == 1_000 and len(hot) == 10 and max(hot) < 250
     assert [r["count"] for r in sizes if r.k == 2] == [10]
