@@ -13,7 +13,13 @@ from chronotape.plans.catalogue import query
 from chronotape.plans.market_queries import AS_OF, BAR_COLUMNS, CLOCKS, bars_sql, tick_bars
 from chronotape.sources import ndjson, tables
 from chronotape.sources.files import Folder, work_folder
-from chronotape.streaming import dedupe_order_event_stream, stream_bars, write_stream
+from chronotape.streaming import (
+    dedupe_order_event_stream,
+    raw_print_stream,
+    split_late_rows,
+    stream_bars,
+    write_stream,
+)
 
 
 def _decimal_text(nanos: str) -> str:
@@ -200,3 +206,50 @@ def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
     once = dedupe_order_event_stream(events, within="60 days").select("account_id", "broker_event_id")
     write_stream(once, folder.at("events"), folder.at("state")).awaitTermination()
     return spark.read.schema(once.schema).parquet(folder.at("events"))
+
+
+_LATE_DELAY = 5 * v.DAY
+
+
+@query("stream_late_rows", f"""WITH {v.TICKS_SQL},
+    first_batch AS (SELECT max(event_time) AS high FROM ticks WHERE event_id % 2 = 0),
+    r AS (SELECT event_id, event_time, event_id % 2 = 1 AND event_time < high - {_LATE_DELAY} AS is_late, high FROM ticks, first_batch)
+    SELECT event_id, event_time, is_late, CASE WHEN is_late THEN high ELSE -1 END AS revision_time FROM r""")
+def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Two arrivals of the feed: what comes behind the high-water mark turns into revisions."""
+    folder = work_folder(spark, "stream-late")
+    ticks = v.ticks(spark, sf).select("event_id", "event_time")
+    for remainder in (0, 1):
+        # The second half lands after the stream has seen the first.
+        ticks.where(F.col("event_id") % 2 == remainder).write.mode("append").parquet(folder.at("feed"))
+        feed = spark.readStream.schema(ticks.schema).parquet(folder.at("feed"))
+        split_late_rows(feed, folder.at("out"), folder.at("state"), delay_ns=_LATE_DELAY).awaitTermination()
+    columns = "event_id bigint, event_time bigint, revision_time bigint"
+    parts = [
+        spark.read.schema(columns).parquet(folder.at(f"out/{name}")).select(
+            "event_id", "event_time", F.lit(late).alias("is_late"),
+            F.coalesce("revision_time", F.lit(-1).cast("bigint")).alias("revision_time"),
+        )
+        for name, late in (("ontime", False), ("revisions", True))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query("stream_capture", f"""{_RESOLVED_TICKS}
+    SELECT event_time, instrument_id, price_nano, size_shares, 'tr-' || event_id AS trade_id, TRUE AS known_on_receipt FROM resolved""")
+def stream_capture(spark: SparkSession, sf: str) -> DataFrame:
+    """Live capture: raw lines parsed and resolved as they land; a row is known when it is received."""
+    record = f"""concat('{{"S":"', symbol, '","t":"', {_INSTANT}, '","p":', {_decimal_text('price_nano')},
+        ',"s":', size_shares, ',"x":"V","i":"tr-', event_id, '"}}') AS value"""
+    raw = _write_raw(_raw_events(spark, sf).select("event_id", F.expr(record)), "event_id", work_folder(spark, "capture-raw"))
+    clocks = normalize.Clocks("receive_time", "receive_time", "live/000", "sip", knowledge_policy=vocab.LIVE_CAPTURE)
+    landed = raw_print_stream(spark, raw, ndjson.TRADE_WIRE, suffix=".txt").withColumn(
+        "ingest_index", F.lit(vocab.MISSING_SEQUENCE).cast("bigint")
+    )
+    rows = normalize.normalize_trades(landed, v.ticker_history(spark, sf), clocks).select(
+        "event_time", "instrument_id", "price_nano", "size_shares", "trade_id",
+        (F.col("knowledge_time") == F.col("receive_time")).alias("known_on_receipt"),
+    )
+    folder = work_folder(spark, "capture")
+    write_stream(rows, folder.at("trades"), folder.at("state")).awaitTermination()
+    return spark.read.schema(rows.schema).parquet(folder.at("trades"))

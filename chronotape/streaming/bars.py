@@ -14,13 +14,15 @@ from chronotape.operators.bars import bar_aggregates, is_bar_eligible, vwap
 from chronotape.sources.ndjson import RAW_SUFFIX, WireField, parse
 
 
-def raw_print_stream(spark: SparkSession, directory: str, wire: Sequence[WireField]) -> DataFrame:
+def raw_print_stream(
+    spark: SparkSession, directory: str, wire: Sequence[WireField], suffix: str = RAW_SUFFIX
+) -> DataFrame:
     """Raw records as they land, with a receive time; live capture knows a row on receipt.
 
     ``defect`` marks refused records. There is no ``ingest_index``: a position is a property of a
     finished raw partition, never of arrival order.
     """
-    lines = spark.readStream.option("pathGlobFilter", f"*{RAW_SUFFIX}").text(directory)
+    lines = spark.readStream.option("pathGlobFilter", f"*{suffix}").text(directory)
     received = F.unix_micros(F.current_timestamp()) * 1_000
     return parse(lines.where(F.col("value").rlike(r"\S")), tuple(wire)).withColumn("receive_time", received)
 
