@@ -157,3 +157,9 @@ def test_row_count_mismatch_is_refused(spark, result):
     wrong = snap.Manifest(tuple(snap.Entry(**e) for e in body), files_sha256=result.manifest.files_sha256)
     with pytest.raises(snap.SnapshotError, match="manifest says 34 rows"):
         snap.SnapshotReader(spark, result.root, wrong).read_contract("normalized.bar")
+
+
+def test_repeated_manifest_paths_are_refused(result):
+    entry = result.manifest.files[0]
+    with pytest.raises(snap.SnapshotError, match="duplicate paths"):
+        snap.Manifest((entry, entry))
