@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
 from chronotape.contracts import vocab
-from chronotape.operators.scan import Running, running, time_chunk
+from chronotape.operators.scan import MAX_CELL_ROWS, Running, running, time_chunk
 
 _MATCH = "__match"
 
@@ -31,13 +31,14 @@ def asof_join(
     allow_exact: bool = True,
     prefix: str = "",
     chunk_ns: int = vocab.NS_PER_DAY,
+    max_cell_rows: int = MAX_CELL_ROWS,
 ) -> DataFrame:
     """Left outer as-of join: every left row, with the last right row at or before it.
 
     ``left_on`` and ``right_on`` pair up and compare left to right; the first pair is the instant.
     ``allow_exact=False`` asks for a strictly earlier right row. ``right_tie`` makes right rows with
-    equal keys a total order. Both sides share one union and one shuffle on (``by``, time chunk).
-    Left rows of one instant are told apart by a hash, so that even a hot instant can be split.
+    equal keys a total order. Both sides share one union and one row shuffle; see
+    :func:`chronotape.operators.scan.running` for hot keys. Left rows of one instant are told apart by a hash, so that even a hot instant can be split.
     """
     keys = [f"__on{i}" for i in range(len(left_on))]
     ties = [f"__tie{i}" for i in range(len(right_tie))]
@@ -64,6 +65,7 @@ def asof_join(
         [*keys, "__side", *ties, "__spread"],
         time_chunk(keys[0], chunk_ns),
         [Running("__found", "last", F.col(_MATCH), inclusive=True)],
+        max_cell_rows,
     ).where("__is_left")
     return matched.select(
         *left.columns, *[F.col("__found")[c].alias(prefix + c) for c in payload]
@@ -84,6 +86,7 @@ def usable_asof_join(
     allow_exact: bool = True,
     prefix: str = "",
     chunk_ns: int = vocab.NS_PER_DAY,
+    max_cell_rows: int = MAX_CELL_ROWS,
 ) -> DataFrame:
     """As-of join guarded against look-ahead.
 
@@ -96,7 +99,7 @@ def usable_asof_join(
         return _known_asof_join(
             left, right, by=by, decision=decision, payload=payload, event_time=event_time,
             knowledge_time=knowledge_time, right_tie=right_tie, allow_exact=allow_exact,
-            prefix=prefix, chunk_ns=chunk_ns,
+            prefix=prefix, chunk_ns=chunk_ns, max_cell_rows=max_cell_rows,
         )
     if look_ahead not in ("raise", "flag"):
         raise ValueError(f"look_ahead must be raise, flag or known, got {look_ahead!r}")
@@ -105,7 +108,7 @@ def usable_asof_join(
     joined = asof_join(
         left, guarded, by=by, left_on=[decision], right_on=[event_time],
         payload=[*payload, "__known_at"], right_tie=right_tie, allow_exact=allow_exact,
-        prefix=prefix, chunk_ns=chunk_ns,
+        prefix=prefix, chunk_ns=chunk_ns, max_cell_rows=max_cell_rows,
     )
     leaked = F.coalesce(F.col(prefix + "__known_at") > F.col(decision), F.lit(False))
     if look_ahead == "flag":
@@ -126,7 +129,7 @@ def usable_asof_join(
 def _known_asof_join(
     left: DataFrame, right: DataFrame, *, by: Sequence[str], decision: str, payload: Sequence[str],
     event_time: str, knowledge_time: str, right_tie: Sequence[str], allow_exact: bool, prefix: str,
-    chunk_ns: int,
+    chunk_ns: int, max_cell_rows: int,
 ) -> DataFrame:
     """Running maximum by event order over a time line laid out by knowledge time.
 
@@ -155,6 +158,7 @@ def _known_asof_join(
     matched = running(
         both, by, ["__at", "__side", "__spread"], time_chunk("__at", chunk_ns),
         [Running("__found", "max", F.col(_MATCH), inclusive=True)],
+        max_cell_rows,
     ).where("__is_left")
     return matched.select(
         *left.columns, *[F.col("__found")[f"__value_{c}"].alias(prefix + c) for c in payload]

@@ -1,17 +1,18 @@
-"""Ordered running values that never put one whole key into one task.
+"""Ordered running values that never put a hot key into one task.
 
-A plain ``Window.partitionBy(key)`` sorts all rows of a key in a single task, which fails when one
-key holds a large share of the table. Here the time line of every key is cut into chunks:
+A plain ``Window.partitionBy(key)`` sorts all rows of a key in a single task. That is the cheapest
+plan while every key is small, which one pre-aggregated count decides. For keys with more rows than
+``max_cell_rows`` the time line is cut into chunks instead:
 
-1. each (key, chunk) cell is reduced to one summary row, with map-side partial aggregation, and
-   the summaries are stored in the shared folder, so that pass over the data runs exactly once;
+1. each (key, chunk) cell is reduced to one summary row, with map-side partial aggregation, and the
+   summaries are stored in the shared folder;
 2. a small window over the summaries gives the value carried into every cell;
 3. carried values enter the data as one extra leading row per cell, so the final window partitions
-   by (key, chunk) and no join is needed.
+   by (key, chunk) and no row is joined or shuffled a second time.
 
-The data is read twice and its rows are shuffled once. The largest task holds one cell, or one
-key's summaries. The summaries also count rows: a cell that is itself too large, because most of a
-hot key falls into one chunk, is cut further at quantiles of the full order key.
+Small keys stay whole in the same final window. The summaries also count rows: a cell that is
+itself too large, because most of a hot key falls into one chunk, is cut further at quantiles of
+the full order key.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from chronotape.functions.instants import floor_div
 from chronotape.operators.sizing import broadcast_if_small
 from chronotape.sources.files import work_folder
 
-_CHUNK, _LIVE = "__chunk", "__live"
+_CHUNK, _LIVE, _HOT = "__chunk", "__live", "__hot"
 MAX_CELL_ROWS = 4_000_000
 _MAX_PIECES, _SAMPLES_PER_PIECE = 1_000, 40
 
@@ -106,23 +107,45 @@ def running(
 ) -> DataFrame:
     """Add running values over each ``by`` group in ``order``.
 
-    ``chunk`` must not decrease along ``order``; it is the first bound on the size of a task and
-    ``max_cell_rows`` the second (None where the chunk alone already bounds a cell). With ``inclusive`` the row itself counts, otherwise only rows
+    ``chunk`` must not decrease along ``order``; keys with more than ``max_cell_rows`` rows are cut
+    by it, and cells still larger are cut again. None cuts every key by its chunk alone, for chunks
+    that bound a cell themselves; without ``by`` the table is always cut. With ``inclusive`` the row itself counts, otherwise only rows
     strictly before it do (NULL at first).
     """
     by, order = list(by), list(order)
     held = {item.name: f"__{item.name}" for item in items}
-    prepared = df.withColumns({_CHUNK: chunk, **{held[i.name]: i.value for i in items}})
+    prepared = df.withColumns({held[i.name]: i.value for i in items})
+
+    def results(cell: Sequence[str], leading: Sequence[str]) -> list[Column]:
+        window = Window.partitionBy(*cell).orderBy(*leading, *order)
+        upto = {
+            True: window.rowsBetween(Window.unboundedPreceding, Window.currentRow),
+            False: window.rowsBetween(Window.unboundedPreceding, -1),
+        }
+        return [_over_cells(i.kind, held[i.name], upto[i.inclusive]).alias(i.name) for i in items]
+
+    hot_keys: DataFrame | None = None
+    if by and max_cell_rows is not None:
+        hot_keys = prepared.groupBy(*by).agg(F.count("*").alias("__rows")).where(F.col("__rows") > max_cell_rows)
+        if hot_keys.isEmpty():
+            return prepared.select(*df.columns, *results(by, []))
+        hot_keys = _stored(hot_keys.select(*by), "hot-keys")
+    if hot_keys is None:
+        prepared = prepared.withColumn(_CHUNK, chunk)
+    else:
+        marked = _join_cells(prepared, hot_keys.withColumn(_HOT, F.lit(True)), by, "left")
+        prepared = marked.withColumn(_CHUNK, F.when(F.col(_HOT), chunk))
 
     def summaries(rows: DataFrame) -> DataFrame:
+        chunked = rows if hot_keys is None else rows.where(F.col(_HOT))
         parts = [_summary(i, held[i.name], F.struct(*order)) for i in items]
-        return _stored(rows.groupBy(*by, _CHUNK).agg(*parts, F.count("*").alias("__rows")), "cells")
+        return _stored(chunked.groupBy(*by, _CHUNK).agg(*parts, F.count("*").alias("__rows")), "cells")
 
     cells = summaries(prepared)
     if max_cell_rows is not None:
-        hot = cells.where(F.col("__rows") > max_cell_rows)
-        if not hot.isEmpty():
-            prepared = split_cells(prepared, hot, by, order, max_cell_rows)
+        hot_cells = cells.where(F.col("__rows") > max_cell_rows)
+        if not hot_cells.isEmpty():
+            prepared = split_cells(prepared, hot_cells, by, order, max_cell_rows)
             cells = summaries(prepared)
 
     earlier = Window.partitionBy(*by).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
@@ -133,14 +156,9 @@ def running(
     rows = prepared.withColumn(_LIVE, F.lit(True)).unionByName(
         carried.withColumn(_LIVE, F.lit(False)), allowMissingColumns=True
     )
-    cell = Window.partitionBy(*by, _CHUNK).orderBy(_LIVE, *order)
-    spans = {
-        True: cell.rowsBetween(Window.unboundedPreceding, Window.currentRow),
-        False: cell.rowsBetween(Window.unboundedPreceding, -1),
-    }
-    results = [_over_cells(i.kind, held[i.name], spans[i.inclusive]).alias(i.name) for i in items]
     # Results are computed before carried rows are dropped: the filter cannot move below a window.
-    return rows.select(*df.columns, _LIVE, *results).where(F.col(_LIVE)).drop(_LIVE)
+    found = results([*by, _CHUNK], [_LIVE])
+    return rows.select(*df.columns, _LIVE, *found).where(F.col(_LIVE)).drop(_LIVE)
 
 
 def positions(

@@ -46,7 +46,7 @@ def expected(rows):
     return out
 
 
-@pytest.mark.parametrize("width, max_cell", [(1_000, 10_000), (25, 10_000), (1_000, 40), (25, 40)])
+@pytest.mark.parametrize("width, max_cell", [(1_000, 10_000), (25, 300), (1_000, 40), (25, 40)])
 def test_running_values(spark, width, max_cell):
     rows = hot_rows(4)
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
@@ -65,10 +65,11 @@ def test_hot_cells_really_split(spark):
     assert [r["count"] for r in sizes if r.k == 2] == [10]
 
 
-def test_positions_are_dense_and_global(spark):
+@pytest.mark.parametrize("max_cell", [None, 50, 10_000])
+def test_positions_are_dense_and_global(spark, max_cell):
     rows = hot_rows(5)
     df = spark.createDataFrame(rows, SCHEMA)
-    got = scan.positions(df, ["t", "i"], scan.time_chunk("t", 30), "p")
+    got = scan.positions(df, ["t", "i"], scan.time_chunk("t", 30), "p", max_cell_rows=max_cell)
     order = sorted(rows, key=lambda r: (r[1], r[2]))
     assert {r.i: r.p for r in got.collect()} == {r[2]: n for n, r in enumerate(order)}
 
@@ -86,12 +87,13 @@ LEFT, RIGHT = "k int, at bigint, id bigint, unused bigint", "k int, t bigint, ri
 
 
 @pytest.mark.parametrize("exact", [True, False])
-@pytest.mark.parametrize("chunk", [7, 1_000])
-def test_asof_matches_brute_force(spark, exact, chunk):
+@pytest.mark.parametrize("chunk, max_cell", [(7, 200), (7, 30), (1_000, 10_000)])
+def test_asof_matches_brute_force(spark, exact, chunk, max_cell):
     lefts, rights = ticks(6, 200), ticks(7, 150)
     got = asof.asof_join(
         spark.createDataFrame(lefts, LEFT), spark.createDataFrame(rights, RIGHT), by=["k"], left_on=["at"],
         right_on=["t"], payload=["rid", "t"], right_tie=["rid"], allow_exact=exact, prefix="r_", chunk_ns=chunk,
+        max_cell_rows=max_cell,
     )
     want = {}
     for k, at, i, _ in lefts:
@@ -107,12 +109,13 @@ def test_asof_keeps_copies_of_left_rows(spark):
     assert [r.rid for r in got.collect()] == [3] * 5
 
 
-@pytest.mark.parametrize("chunk", [7, 1_000])
-def test_known_rows_only(spark, chunk):
+@pytest.mark.parametrize("chunk, max_cell", [(7, 200), (7, 30), (1_000, 10_000)])
+def test_known_rows_only(spark, chunk, max_cell):
     lefts, rights = ticks(8, 200), ticks(9, 150, lag=30)
     got = asof.usable_asof_join(
         spark.createDataFrame(lefts, LEFT), spark.createDataFrame(rights, RIGHT), by=["k"], decision="at",
         payload=["rid"], event_time="t", knowledge_time="known", right_tie=["rid"], look_ahead="known", chunk_ns=chunk,
+        max_cell_rows=max_cell,
     )
     want = {}
     for k, at, i, _ in lefts:
