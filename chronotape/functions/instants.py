@@ -78,9 +78,15 @@ def rfc3339_from_ns(ns: Column | str) -> Column:
 
 
 def ns_from_timestamp_ntz(ts: Column | str) -> Column:
-    """Zone-free timestamp column to nanoseconds, independent of the session time zone."""
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_diff("MICROSECOND", epoch, _col(ts)) * 1_000
+    """Zone-free timestamp column to nanoseconds.
+
+    Built from its parts, because differences of zone-free timestamps pass through the session
+    zone, where a clock change swallows an hour.
+    """
+    ts = _col(ts)
+    second = (F.date_part(F.lit("SECOND"), ts) * 1_000_000).cast("bigint")  # decimal, microseconds kept
+    minutes = (F.unix_date(ts.cast("date")).cast("bigint") * 24 + F.hour(ts)) * 60 + F.minute(ts)
+    return (minutes * 60_000_000 + second) * 1_000
 
 
 def timestamp_from_ns(ns: Column | str) -> Column:

@@ -9,7 +9,7 @@ from chronotape.functions.instants import covers
 from chronotape.operators.sizing import broadcast_if_small
 
 
-def _sweep(edges: DataFrame, keys: list[str]) -> Window:
+def _sweep(keys: list[str]) -> Window:
     return Window.partitionBy(*keys).orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
@@ -21,16 +21,15 @@ def holder_segments(history: DataFrame) -> DataFrame:
     there is exactly one. Segments never overlap, so joining events to them adds no rows.
     """
     valid = history.where(F.col("end_time").isNull() | (F.col("end_time") > F.col("effective_time")))
-    edges = valid.select("ticker", "instrument_id", F.col("effective_time").alias("at"), F.lit(1).alias("step"))
-    edges = edges.unionByName(
-        valid.where("end_time IS NOT NULL").select(
-            "ticker", "instrument_id", F.col("end_time").alias("at"), F.lit(-1).alias("step")
-        )
+    both_ends = F.array(
+        F.struct(F.col("effective_time").alias("at"), F.lit(1).alias("step")),
+        F.struct(F.col("end_time").alias("at"), F.lit(-1).alias("step")),
     )
+    edges = valid.select("ticker", "instrument_id", F.inline(both_ends)).where("at IS NOT NULL")
     per_instrument = ["ticker", "instrument_id"]
     depth = (
         edges.groupBy(*per_instrument, "at").agg(F.sum("step").alias("step"))
-        .withColumn("depth", F.sum("step").over(_sweep(edges, per_instrument)))
+        .withColumn("depth", F.sum("step").over(_sweep(per_instrument)))
         .withColumn(
             "change",
             (F.col("depth") > 0).cast("int") - ((F.col("depth") - F.col("step")) > 0).cast("int"),
@@ -41,7 +40,7 @@ def holder_segments(history: DataFrame) -> DataFrame:
         F.sum("change").alias("change"),
         F.sum(F.col("change") * F.col("instrument_id").cast("decimal(20,0)")).alias("id_change"),
     )
-    along = _sweep(changes, ["ticker"])
+    along = _sweep(["ticker"])
     holders = F.sum("change").over(along)
     id_sum = F.sum("id_change").over(along)
     return changes.select(

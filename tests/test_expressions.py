@@ -7,6 +7,7 @@ import random
 from decimal import Decimal
 from fractions import Fraction
 
+import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -60,6 +61,14 @@ def test_instant_text_round_trip_ignores_the_session_zone(spark):
     assert {ns: t for ns, _, t in got}[-1] == "1969-12-31T23:59:59.999999999Z"
 
 
+def test_zone_free_timestamps_ignore_clock_changes(spark):
+    """02:30 does not exist on this day in the session's zone."""
+    times = ["2001-04-01 02:30:00.123456", "2001-10-28 01:30:00", "1969-12-31 23:59:59.999999", "2026-07-01 00:00:00"]
+    df = spark.createDataFrame([(t,) for t in times], "t string").select(F.col("t").cast("timestamp_ntz").alias("ts"))
+    want = [np.datetime64(t.replace(" ", "T"), "ns").astype("int64") for t in times]
+    assert [r[0] for r in df.select(instants.ns_from_timestamp_ntz("ts")).collect()] == want
+
+
 def test_window_start_floors_before_the_origin(spark):
     got = values(spark, [(t,) for t in (-11, -10, -1, 0, 9, 10)], "t bigint", w=instants.window_start("t", 10, 0))
     assert [w for (w,) in got] == [-20, -10, -10, 0, 0, 10]
