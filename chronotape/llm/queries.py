@@ -31,6 +31,12 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronotape.llm.language_model import score_language
+
+    return score_language(table(spark, sf_dir, "documents"))
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chronotape.llm.extraction import extract_text
 
@@ -68,6 +74,7 @@ QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_toxicity": op2_toxicity,
     "op3_source_mixing": op3_source_mixing,
+    "op4_lm_scoring": op4_lm_scoring,
     "op6_html_extraction": op6_html_extraction,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_quality_rules": op8_quality_rules,
