@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from chronotape.sources.files import work_folder
 
@@ -52,11 +53,8 @@ def numbered(df: DataFrame, keys: list[Column], purpose: str, partitions: int |
     held = stored(
         ordered.withColumn("__part", F.shiftright(at, 33)).withColumn("__row", at.bitwiseAND(F.lit((1 << 33) - 1))).drop("__read"), purpose
     )
-    counts = held.groupBy("__part").count().orderBy("__part").collect()  # one row per partition
-    total, offsets = 0, []
-    for part, count in counts:
-        offsets.append((part, total))
-        total += count
-    starts = df.sparkSession.createDataFrame(offsets or [(0, 0)], "__part long, __start long")
+    # one row per partition passes this window
+    before = F.sum("count").over(W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1))
+    starts = held.groupBy("__part").count().select("__part", F.coalesce(before, F.lit(0)).alias("__start"))
     out = held.join(F.broadcast(starts), "__part").withColumn("row_number", F.col("__start") + F.col("__row"))
-    return out.drop("__part", "__row", "__start"), total
+    return out.drop("__part", "__row", "__start"), held.count()

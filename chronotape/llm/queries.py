@@ -37,6 +37,36 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_language(table(spark, sf_dir, "documents"))
 
 
+def op5_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations read as tool traffic: a user's turn calls a tool and the assistant's next turn is its result.
+
+    Short questions call ``lookup``, others ``write``; a third of the later questions also refer to the
+    result of the question before, and some lack a required argument or give one of the wrong type.
+    """
+    from chronotape.llm.tool_calls import link_tool_calls
+
+    messages = table(spark, sf_dir, "conversations")
+    text = F.coalesce("text", F.lit(""))
+
+    def call_id(turn):
+        return F.concat_ws("-", F.lit("call"), F.col("conv_id"), turn)
+
+    mark = F.crc32(text.cast("binary"))
+    short = F.char_length(text) < 200
+    before = F.when((mark % 3 == 0) & (F.col("turn") >= 2), F.struct(call_id(F.col("turn") - 2).alias("$ref")))
+    lookup = F.to_json(F.struct(F.when(mark % 7 != 0, F.col("text")).alias("query"), (mark % 10).alias("limit"), before.alias("context")))
+    write = F.to_json(F.struct(F.col("text").alias("prompt"), F.when(mark % 5 == 0, F.lit("long")).alias("words"), before.alias("context")))
+    calls = messages.where("role = 'user'").select(
+        "conv_id", "turn", call_id(F.col("turn")).alias("call_id"), F.when(short, "lookup").otherwise("write").alias("name"), F.when(short, lookup).otherwise(write).alias("arguments")
+    )
+    results = messages.where("role = 'assistant'").select("conv_id", "turn", call_id(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
+    schemas = spark.sql(
+        "VALUES ('lookup', 'query', 'string', true), ('lookup', 'limit', 'integer', false), ('lookup', 'context', 'object', false),"
+        " ('write', 'prompt', 'string', true), ('write', 'words', 'integer', false), ('write', 'context', 'object', false) AS t(name, param, type, required)"
+    )
+    return link_tool_calls(messages.where("role NOT IN ('user', 'assistant')"), calls, results, schemas)
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chronotape.llm.extraction import extract_text
 
@@ -75,6 +105,7 @@ QUERIES: dict[str, Query] = {
     "op2_toxicity": op2_toxicity,
     "op3_source_mixing": op3_source_mixing,
     "op4_lm_scoring": op4_lm_scoring,
+    "op5_tool_call_linking": op5_tool_call_linking,
     "op6_html_extraction": op6_html_extraction,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_quality_rules": op8_quality_rules,
