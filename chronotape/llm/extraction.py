@@ -18,7 +18,7 @@ from chronotape.llm.html_blocks import best_container, outermost, read_page
 from chronotape.operators.sizing import broadcast_if_small
 
 #: A winning path must give at least this share of the text that the page's own best container has.
-AGREEMENT = 0.5
+AGREEMENT = 0.25
 #: Winners are broadcast up to this many hosts; beyond it, pages and winners meet in a shuffle.
 MAX_HOSTS = 200_000
 

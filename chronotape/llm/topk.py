@@ -72,9 +72,10 @@ def _ranked(rows: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np
 
 
 def _entries(block: Block, rows: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> pd.DataFrame:
-    best = _ranked(rows, ids, scores.astype(object) if block.kind is object else scores, k)
-    long = np.clip(scores[best].astype(object), -(2**63), 2**63 - 1) if block.kind is object else scores[best]
-    return pd.DataFrame({"query_id": block.query_ids[rows[best]], "vec_id": ids[best], "score": pd.Series(long, dtype="int64")})
+    if block.kind is object:
+        scores = np.clip(scores.astype(object), -(2**63), 2**63 - 1)
+    best = _ranked(rows, ids, scores, k)
+    return pd.DataFrame({"query_id": block.query_ids[rows[best]], "vec_id": ids[best], "score": pd.Series(scores[best], dtype="int64")})
 
 
 def local_lists(block: Block, k: int) -> pd.DataFrame:
