@@ -4,8 +4,8 @@ Candidates come from banded consistent weighted samples of TF-IDF weighted five-
 every link is verified on the texts themselves. Exact copies are one node. Buckets are never expanded
 into all pairs. First every member of a bucket meets the bucket's hub, its most connected member; what
 that joins is known to be one class. Only members that are still in another class than their hub then
-meet the rest of the bucket, by sketches, and only pairs whose estimate leaves a link possible are
-verified. No bucket, member or pair is dropped for its group's size.
+meet the rest of the bucket, block by block: sketches tell where a link is possible, and those pairs are
+verified until the classes are joined. No bucket, member or pair is dropped for its group's size.
 
 At similarity 0.8 a pair shares no band with probability 2e-4 (16 bands of 4 samples), and an estimate
 from 64 samples falls below ``POSSIBLE`` with probability below 1 %.
@@ -30,8 +30,8 @@ from chronotape.llm.weighted_sets import (
 THRESHOLD = 0.8
 #: The least share of equal samples at which a pair is verified.
 POSSIBLE = 0.68
-#: Members of one bucket that travel together when the rest of the bucket meets them.
-BLOCK = 128
+#: Members of a bucket outside its hub's class, and any members, that meet in one group.
+BLOCK, REST_BLOCK = 128, 512
 _NO_ID = -(1 << 63)
 
 
@@ -114,40 +114,89 @@ def _verified(pairs: DataFrame, keyed: DataFrame, nodes: DataFrame, idf: np.ndar
     return found.dropDuplicates(["a", "b"])
 
 
-def _agreement(one: bytes, many: np.ndarray) -> np.ndarray:
-    """For each row of sketches: which samples equal those of ``one``."""
-    return many == np.frombuffer(one, dtype="<u2")
+class _Group:
+    """A block of nodes with their sketches, and their weighted shingles on demand."""
 
+    def __init__(self, frame: pd.DataFrame, shingler: Shingler, idf: np.ndarray) -> None:
+        self.ids = frame["node"].to_numpy(dtype=np.int64)
+        self.component = frame["component"].to_numpy(dtype=np.int64)
+        self.sketch = np.frombuffer(b"".join(bytes(x) for x in frame["sketch"]), dtype="<u2").reshape(-1, SAMPLES)
+        self._texts, self._sets, self._shingler, self._idf = frame["text"].tolist(), {}, shingler, idf
 
-def _rest(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) in different classes that some bucket holds and whose estimate leaves a link possible.
+    def set(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        if k not in self._sets:
+            s, n = self._shingler(self._texts[k])
+            self._sets[k] = (s, weights(s, n, self._idf))
+        return self._sets[k]
 
-    ``members`` has band, key, node, component, hub_component and sketch. Members outside the hub's class
-    travel in blocks and meet every member of their bucket. A pair is reported by the first band it shares.
+
+def _links_between(band: int, apart: _Group, rest: _Group) -> list[tuple[int, int, float]]:
+    """Verified links between two blocks of one bucket that join classes not yet joined by links found here.
+
+    Candidates are met in the order of their estimates, so most classes are joined at the first try. A
+    pair belongs to the first band it shares.
+    """
+    found, root = [], {}
+
+    def top(c: int) -> int:
+        while (up := root.get(c, c)) != c:
+            c = up
+        return c
+
+    pairs = []
+    for k in range(len(apart.ids)):
+        equal = rest.sketch == apart.sketch[k]
+        shared = equal.reshape(-1, BANDS, ROWS).all(axis=2)
+        share = equal.mean(axis=1)
+        wanted = (rest.component != apart.component[k]) & (share >= POSSIBLE) & shared.any(axis=1) & (shared.argmax(axis=1) == band)
+        pairs += [(-share[j], k, j) for j in np.flatnonzero(wanted).tolist()]
+    for _, k, j in sorted(pairs):
+        one, two = top(int(apart.component[k])), top(int(rest.component[j]))
+        if one != two:
+            s = similarity(apart.set(k), rest.set(j))
+            if s >= THRESHOLD:
+                root[one] = two
+                a, b = sorted((int(apart.ids[k]), int(rest.ids[j])))
+                found.append((a, b, s))
+    return found
+
+
+def _rest(members: DataFrame, keyed: DataFrame, nodes: DataFrame, idf: np.ndarray) -> DataFrame:
+    """Further links (a, b, similarity) between classes that meet in some bucket.
+
+    ``members`` has band, key, n, node, component, hub_component and sketch. In buckets with members
+    outside the hub's class, those members are cut into blocks of ``BLOCK`` and all members into blocks
+    of ``REST_BLOCK``; each pair of blocks is one group, so groups are small whatever a bucket's size, and
+    pairs of nodes are never rows.
     """
-    apart = members.where(F.col("component") != F.col("hub_component"))
-    held = F.struct("node", "component", "sketch")
-    blocks = (
-        apart.withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)).cast("int"))
-        .groupBy(F.col("key").alias("block_key"), "block").agg(F.collect_list(held).alias("others"))  # about BLOCK rows each
+    outside = members.where(F.col("component") != F.col("hub_component"))
+    counts = outside.groupBy("key").agg(F.count("*").alias("n_apart"))
+    cut = {"blocks": F.ceil(F.col("n_apart") / BLOCK).cast("int"), "rest_blocks": F.ceil(F.col("n") / REST_BLOCK).cast("int")}
+    meeting = stored(members.join(counts, "key").withColumns(cut), "near-meeting")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    own_rest = F.pmod(F.xxhash64("node"), F.col("rest_blocks")).cast("int")
+    held = ["band", "key", "node", "component", "sketch"]
+    apart = meeting.where(F.col("component") != F.col("hub_component")).select(
+        *held, own.alias("block"), F.explode(F.sequence(F.lit(0), F.col("rest_blocks") - 1)).alias("rest_block")
     )
-    met = members.select("band", "key", "node", "component", "sketch").join(blocks, F.col("key") == F.col("block_key"))
+    rest = meeting.select(*held, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), own_rest.alias("rest_block"))
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found_a, found_b = [], []
-            for band, node, component, sketch, others in zip(*(batch[c] for c in ("band", "node", "component", "sketch", "others")), strict=True):
-                ids = np.array([o["node"] for o in others], dtype=np.int64)
-                classes = np.array([o["component"] for o in others], dtype=np.int64)
-                many = np.frombuffer(b"".join(bytes(o["sketch"]) for o in others), dtype="<u2").reshape(len(ids), SAMPLES)
-                equal = _agreement(bytes(sketch), many)
-                shared = equal.reshape(len(ids), BANDS, ROWS).all(axis=2)
-                wanted = (classes != component) & (equal.mean(axis=1) >= POSSIBLE) & (shared.argmax(axis=1) == band)
-                found_a += np.minimum(ids, node)[wanted].tolist()
-                found_b += np.maximum(ids, node)[wanted].tolist()
-            yield pd.DataFrame({"a": found_a, "b": found_b}, dtype="int64")
+    where = meeting.select("node").distinct().join(nodes.select("node", "th", "did"), "node")
+    texts = keyed.join(where, ["th", "did"]).groupBy("node").agg(F.min("text").alias("text"))
+    texts = stored(texts, "near-texts")
+    by = ["key", "block", "rest_block"]
+
+    def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        links = []
+        if len(left) and len(right):
+            shingler = Shingler()
+            links = _links_between(int(left["band"].iloc[0]), _Group(left, shingler, idf), _Group(right, shingler, idf))
+        return pd.DataFrame(links, columns=["a", "b", "similarity"]).astype({"a": "int64", "b": "int64", "similarity": float})
 
-    return met.select("band", "node", "component", "sketch", "others").mapInPandas(compare, "a long, b long").distinct()
+    other = rest.join(texts, "node")
+    other = other.select(*[F.col(c).alias(f"r_{c}") if c in by else F.col(c).alias(c) for c in other.columns])
+    both = apart.join(texts, "node").groupBy(*by).cogroup(other.groupBy(*[f"r_{c}" for c in by]))
+    return both.applyInPandas(meet, "a long, b long, similarity double").dropDuplicates(["a", "b"])
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -180,9 +229,9 @@ def classes(docs: DataFrame) -> DataFrame:
     grouped = members.join(label, "node").join(
         hubs.select("key", "hub").join(label.select(F.col("node").alias("hub"), F.col("component").alias("hub_component")), "hub").drop("hub"), "key"
     )
-    more = stored(_rest(grouped), "near-pairs")
+    more = stored(_rest(grouped, keyed, nodes, idf), "near-links")
     if not more.isEmpty():
-        links = stored(links.unionAll(_verified(more, keyed, nodes, idf)), "near-links")
+        links = stored(links.unionAll(more), "near-links")
         label = stored(components(nodes.select("node"), links.select("a", "b")), "near-classes")
     return nodes.drop("bands", "sketch").join(label, "node")
 

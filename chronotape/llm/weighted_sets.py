@@ -7,14 +7,9 @@ documents that depends on their length and not on how many there are.
 
 from __future__ import annotations
 
-import math
-import re
-
 import numpy as np
 import xxhash
 
-from chronotape.llm.common import WORD
-
 SHINGLE = 5
 #: Buckets of the document-frequency table, as a power of two.
 FREQUENCY_BITS = 14
@@ -26,7 +21,6 @@ DRAW_BITS, GROUP = 14, 16
 MEMORY = 400_000
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_FIND = re.compile(WORD).findall
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -40,17 +34,17 @@ class Shingler:
     """Hashes of a text's runs of five words and their counts. Shorter texts are one shingle; texts without words have none."""
 
     def __init__(self) -> None:
-        self._words: dict[str, int] = {}
+        self._words: dict[bytes, int] = {}
 
     def _hashes(self, text: str) -> np.ndarray:
-        known, out = self._words, []
-        for word in _FIND(text):
-            h = known.get(word)
+        # white space of bytes is exactly space, tab, newline, VT, FF and CR
+        words, known = text.encode("utf-8", "surrogatepass").split(), self._words
+        out = list(map(known.get, words))
+        for k, h in enumerate(out):
             if h is None:
-                h = xxhash.xxh3_64_intdigest(word)
-                if len(known) < MEMORY and len(word) < 64:
-                    known[word] = h
-            out.append(h)
+                out[k] = h = xxhash.xxh3_64_intdigest(words[k])
+                if len(known) < MEMORY and len(words[k]) < 64:
+                    known[words[k]] = h
         return np.array(out, dtype=np.uint64)
 
     def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -59,11 +53,12 @@ class Shingler:
             return words, np.zeros(0, dtype=np.int64)
         size = min(SHINGLE, len(words))
         n = len(words) - size + 1
-        with np.errstate(over="ignore"):
-            h = np.full(n, size, dtype=np.uint64)
-            for k in range(size):
-                h = mixed(h * _GOLDEN + words[k : k + n])
-        return np.unique(h, return_counts=True)
+        h = np.full(n, size, dtype=np.uint64)
+        for k in range(size):
+            h = h * _GOLDEN + words[k : k + n]
+        h = np.sort(mixed(h))
+        starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+        return h[starts], np.diff(np.r_[starts, n])
 
 
 def buckets(shingles: np.ndarray) -> np.ndarray:
@@ -100,41 +95,35 @@ class ConsistentSampler:
     def __init__(self, seed: int = 0) -> None:
         random = np.random.default_rng(seed)
         shape = (SAMPLES // GROUP, 1 << DRAW_BITS, GROUP)
-        self.r = random.gamma(2.0, 1.0, shape).astype(np.float32)
-        self.inverse = (1.0 / self.r).astype(np.float32)
-        self.beta = random.random(shape, dtype=np.float32)
-        self.log_c = np.log(random.gamma(2.0, 1.0, shape)).astype(np.float32)
+        r, log_c = random.gamma(2.0, 1.0, shape), np.log(random.gamma(2.0, 1.0, shape))
+        #: By group and row: the draws r, beta and log c of the group's samples.
+        self.draws = np.concatenate([r, random.random(shape), log_c], axis=2).astype(np.float32)
 
     def samples(self, shingles: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """One 64-bit identifier per sample."""
         log_w = np.log(weight).astype(np.float32)[:, None]
         out = []
-        for g in range(SAMPLES // GROUP):
-            at = ((shingles >> np.uint64(DRAW_BITS * g)) & np.uint64((1 << DRAW_BITS) - 1)).astype(np.int64)
-            r, beta = self.r[g][at], self.beta[g][at]
-            t = np.floor(log_w * self.inverse[g][at] + beta)
-            first = (self.log_c[g][at] - r * (t - beta + np.float32(1.0))).argmin(axis=0)
+        for g, draws in enumerate(self.draws):
+            at = ((shingles >> np.uint64(DRAW_BITS * g)) & np.uint64((1 << DRAW_BITS) - 1)).astype(np.intp)
+            drawn = draws.take(at, axis=0)
+            r, beta, log_c = drawn[:, :GROUP], drawn[:, GROUP : 2 * GROUP], drawn[:, 2 * GROUP :]
+            t = np.floor(log_w / r + beta)
+            log_a = log_c - r * (t - beta + np.float32(1.0))
+            first = np.ascontiguousarray(log_a.T).argmin(axis=1)
             step = t[first, np.arange(GROUP)].astype(np.int64).astype(np.uint64)
-            with np.errstate(over="ignore"):
-                out.append(mixed(shingles[first] + step * _GOLDEN))
+            out.append(mixed(shingles[first] + step * _GOLDEN))
         return np.concatenate(out)
 
     @staticmethod
     def bands(samples: np.ndarray) -> np.ndarray:
         """One signed 64-bit key per band; keys of different bands differ."""
         rows = samples.reshape(BANDS, ROWS)
-        with np.errstate(over="ignore"):
-            key = np.arange(1, BANDS + 1, dtype=np.uint64)
-            for k in range(ROWS):
-                key = mixed(key * _GOLDEN + rows[:, k])
+        key = np.arange(1, BANDS + 1, dtype=np.uint64)
+        for k in range(ROWS):
+            key = mixed(key * _GOLDEN + rows[:, k])
         return key.view(np.int64)
 
     @staticmethod
     def sketch(samples: np.ndarray) -> bytes:
         """16 bits of every sample, to estimate similarities."""
         return (samples & np.uint64(0xFFFF)).astype("<u2").tobytes()
-
-
-def error_of_estimate(share: float) -> float:
-    """Standard deviation of the share of equal samples at a given similarity."""
-    return math.sqrt(share * (1 - share) / SAMPLES)
