@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from chronotape.contracts import vocab
 from chronotape.functions import money
 from chronotape.operators.asof import usable_asof_join
-from chronotape.operators.scan import Running, running
+from chronotape.operators.scan import Running, positions, running, written_copy
+
+#: Fills of one instrument that are folded at once.
+FILLS_PER_ROUND = 100_000
 
 
 def signed_quantity(quantity: str = "quantity_shares", side: str = "side") -> Column:
@@ -21,30 +24,61 @@ def _wide_sum(value: Column) -> Column:
     return F.sum(value.cast(money.WIDE))
 
 
-def positions_from_fills(fills: DataFrame, by: Sequence[str] = ("instrument_id",)) -> DataFrame:
-    """Signed quantity, cash flow and entry totals per instrument; all sums combine map-side.
+def positions_from_fills(
+    fills: DataFrame, order: Sequence[str], by: Sequence[str] = ("instrument_id",), per_round: int = FILLS_PER_ROUND
+) -> DataFrame:
+    """Signed quantity, cash flow, fill count and average cost per instrument.
 
-    ``average_cost_nano`` is the share-weighted price of every entry on the open side (buys when
-    long, sells when short), toward zero. It needs sums only, so no ordered per-instrument state.
+    ``average_cost_nano`` is that of the open position: a fill that opens or adds moves it to the
+    share-weighted mean, toward zero; one that reduces leaves it; one that crosses flat starts again at
+    its own price; a flat position has none. ``order`` orders an instrument's fills.
     """
     is_buy = F.col("side") == "buy"
     value = money.notional("price_nano", "quantity_shares")
     totals = fills.groupBy(*by).agg(
         F.sum(signed_quantity()).alias("quantity_shares"),
         _wide_sum(F.when(is_buy, -value).otherwise(value)).alias("cash_nano"),
-        F.sum(F.when(is_buy, F.col("quantity_shares")).otherwise(0)).alias("__bought"),
-        F.sum(F.when(is_buy, 0).otherwise(F.col("quantity_shares"))).alias("__sold"),
-        F.coalesce(_wide_sum(F.when(is_buy, value)), F.lit(0).cast(money.WIDE)).alias("__paid"),
-        F.coalesce(_wide_sum(F.when(~is_buy, value)), F.lit(0).cast(money.WIDE)).alias("__received"),
         F.count("*").alias("fills"),
     )
-    long, short = F.col("quantity_shares") > 0, F.col("quantity_shares") < 0
-    entry = F.when(long, F.call_function("div", F.col("__paid"), F.when(long, F.col("__bought")))).when(
-        short, F.call_function("div", F.col("__received"), F.when(short, F.col("__sold")))
-    )
-    return totals.withColumn("average_cost_nano", F.coalesce(entry, F.lit(0).cast("bigint"))).drop(
-        "__bought", "__sold", "__paid", "__received"
+    costs = _average_costs(fills, order, by, per_round).withColumnsRenamed({c: f"__k{i}" for i, c in enumerate(by)})
+    same = [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(by)]
+    return totals.join(costs, same).drop(*[f"__k{i}" for i in range(len(by))])
+
+
+def _average_costs(fills: DataFrame, order: Sequence[str], by: Sequence[str], per_round: int) -> DataFrame:
+    """Each rounded mean depends on the one before, so an instrument's fills are folded in order.
+
+    A fold takes at most ``per_round`` fills; an instrument with more goes through further rounds, which
+    receive the state the one before left. The rounds are as many as the busiest instrument needs.
+    """
+    by = list(by)
+    moves = fills.select(*by, *[c for c in order if c not in by], signed_quantity().alias("__move"), F.col("price_nano").alias("__price"))
+    placed = positions(moves, list(order), F.lit(0), "__at", by)
+    packed = (
+        placed.withColumn("__round", F.call_function("div", F.col("__at"), F.lit(per_round)))
+        .groupBy(*by, "__round").agg(F.sort_array(F.collect_list(F.struct("__at", "__move", "__price"))).alias("__moves"))
     )
+    fold = """aggregate(__moves, coalesce(__state, named_struct('held', 0L, 'cost', 0L)), (s, m) -> named_struct(
+        'held', s.held + m.__move,
+        'cost', CASE
+            WHEN s.held = 0 OR signum(s.held) = signum(m.__move) THEN CAST(
+                (CAST(s.cost AS DECIMAL(19,0)) * CAST(abs(s.held) AS DECIMAL(18,0)) + CAST(m.__price AS DECIMAL(19,0)) * CAST(abs(m.__move) AS DECIMAL(18,0)))
+                div CAST(greatest(abs(s.held) + abs(m.__move), 1) AS DECIMAL(19,0)) AS BIGINT)
+            WHEN abs(m.__move) < abs(s.held) THEN s.cost
+            WHEN abs(m.__move) = abs(s.held) THEN 0L
+            ELSE m.__price END))"""
+    last = placed.agg(F.max("__at")).first()[0]  # one row
+    if last is None or last < per_round:
+        folded = packed.withColumn("__state", F.lit(None).cast("struct<held:bigint,cost:bigint>")).withColumn("__state", F.expr(fold))
+        return folded.select(*by, F.col("__state.cost").alias("average_cost_nano"))
+    packed = written_copy(packed, "fill-rounds")
+    state = written_copy(packed.select(*by).distinct().withColumn("__state", F.lit(None).cast("struct<held:bigint,cost:bigint>")), "fill-state")
+    for round_ in range(last // per_round + 1):
+        now = packed.where(F.col("__round") == round_).withColumnsRenamed({c: f"__r{i}" for i, c in enumerate(by)})
+        same = [F.col(c).eqNullSafe(F.col(f"__r{i}")) for i, c in enumerate(by)]
+        met = state.join(now, same, "left").withColumn("__state", F.when(F.col("__moves").isNull(), F.col("__state")).otherwise(F.expr(fold)))
+        state = written_copy(met.select(*by, "__state"), "fill-state")
+    return state.select(*by, F.col("__state.cost").alias("average_cost_nano"))
 
 
 def with_profit(positions: DataFrame, mark: str = "mark_price_nano") -> DataFrame:

@@ -91,7 +91,7 @@ def usable_asof_join(
     """As-of join guarded against look-ahead.
 
     The candidate is the latest right row by event time. If it was not yet known at the decision
-    instant the row is a defect: ``raise`` fails the task that reads the value, ``flag`` adds a
+    instant the row is a defect: ``raise`` fails the task that meets the row, ``flag`` adds a
     boolean ``look_ahead`` column. ``known`` is the explicit filtering option: it considers only
     rows already known and takes the latest of those by event time.
     """
@@ -117,13 +117,9 @@ def usable_asof_join(
         F.lit("look-ahead: matched row known at "), F.col(prefix + "__known_at").cast("string"),
         F.lit(" after decision "), F.col(decision).cast("string"),
     )
-    checked = {
-        prefix + c: F.when(leaked, F.raise_error(message).cast(right.schema[c].dataType)).otherwise(
-            F.col(prefix + c)
-        )
-        for c in payload
-    }
-    return joined.withColumns(checked).drop(prefix + "__known_at")
+    # a row filter, so that no choice of columns leaves the check out
+    sound = F.when(leaked, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return joined.where(sound).drop(prefix + "__known_at")
 
 
 def _known_asof_join(

@@ -16,18 +16,16 @@ from chronotape.operators.sizing import broadcast_if_small
 
 
 def check_shape(df: DataFrame, shape: Contract) -> None:
-    """Exact names, order and types; nullability is not compared because Parquet reads drop it."""
-    expected = [(f.name, f.data_type.simpleString()) for f in shape.fields]
-    actual = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
-    if actual == expected:
-        return
-    if [n for n, _ in actual] != [n for n, _ in expected]:
-        raise ContractError(
-            f"{shape.name}: column names or order differ from the contract: "
-            f"expected {[n for n, _ in expected]}, got {[n for n, _ in actual]}"
-        )
-    wrong = [f"{n}: contract {e}, table {a}" for (n, a), (_, e) in zip(actual, expected, strict=True) if a != e]
-    raise ContractError(f"{shape.name}: types do not match the contract and nothing is cast: {wrong}")
+    """Refuse a table that is not column for column the contract's; nullability, which Parquet drops, aside."""
+    wanted = {f.name: f.data_type.simpleString() for f in shape.fields}
+    held = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    if list(wanted) != df.columns:
+        lacking, extra = [n for n in wanted if n not in held], [n for n in held if n not in wanted]
+        what = f"lacks {lacking}, adds {extra}" if lacking or extra else f"has the order {df.columns}"
+        raise ContractError(f"{shape.name}: the table's columns are not the contract's: it {what}")
+    other = [f"{n} is {held[n]} where {t} is due" for n, t in wanted.items() if held[n] != t]
+    if other:
+        raise ContractError(f"{shape.name}: {', '.join(other)}; tables are never converted silently")
 
 
 def row_rules(shape: Contract, policy: str = vocab.BACKFILL) -> dict[str, Column]:
@@ -112,24 +110,26 @@ def unsorted_rows(
     key: Sequence[str] = vocab.ORDER_KEY,
     block: int = 1_000_000,
 ) -> DataFrame:
-    """Rows whose key does not exceed that of the physically preceding row.
+    """Rows whose key does not exceed that of the physically preceding row; positions may have gaps.
 
-    Rows are compared inside blocks of ``block`` positions, so no task sorts a whole file. The last
-    row of a block is also sent to the next one, where it serves only as the predecessor.
+    Rows are compared inside blocks of ``block`` positions, so no task sorts a whole file. Into each
+    block comes the last row present in the nearest block before it that has any, as a predecessor only.
     """
-    cell = F.call_function("div", F.col(position), F.lit(block))
-    is_last = F.pmod(F.col(position), F.lit(block)) == block - 1
-    homes = F.when(is_last, F.array(cell, cell + 1)).otherwise(F.array(cell))
-    spread = df.select(
-        *within, F.col(position).alias("__pos"), F.struct(*key).alias("__key"), cell.alias("__home"),
-        F.explode(homes).alias("__cell"),
+    rows = df.select(
+        *within, F.col(position).alias("__pos"), F.struct(*key).alias("__key"),
+        F.call_function("div", F.col(position), F.lit(block)).alias("__cell"),
     )
+    # one row per block from here to the join
+    ends = rows.groupBy(*within, "__cell").agg(F.max("__pos").alias("__last"))
+    following = F.lead("__cell").over(Window.partitionBy(*within).orderBy("__cell"))
+    carried = ends.withColumn("__next", following).where("__next IS NOT NULL").drop("__cell")
+    marks = [F.col(c).eqNullSafe(F.col(f"__w{i}")) for i, c in enumerate(within)] + [F.col("__pos") == F.col("__last")]
+    named = carried.withColumnsRenamed({c: f"__w{i}" for i, c in enumerate(within)})
+    entering = rows.join(broadcast_if_small(named), marks).select(*within, "__pos", "__key", F.col("__next").alias("__cell"), F.lit(False).alias("__own"))
     order = Window.partitionBy(*within, "__cell").orderBy("__pos")
-    previous = F.lag("__key").over(order)
-    return (
-        spread.withColumn("__previous", previous)
-        .where((F.col("__cell") == F.col("__home")) & (F.col("__previous") >= F.col("__key")))
-        .select(*within, F.col("__pos").alias(position), "__key.*")
+    compared = rows.withColumn("__own", F.lit(True)).unionByName(entering).withColumn("__previous", F.lag("__key").over(order))
+    return compared.where(F.col("__own") & (F.col("__previous") >= F.col("__key"))).select(
+        *within, F.col("__pos").alias(position), "__key.*"
     )
 
 

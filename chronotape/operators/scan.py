@@ -58,7 +58,7 @@ def time_chunk(column: str, chunk_ns: int) -> Column:
     return floor_div(F.col(column), chunk_ns)
 
 
-def _stored(df: DataFrame, purpose: str) -> DataFrame:
+def written_copy(df: DataFrame, purpose: str) -> DataFrame:
     """Write a small result to the shared folder and go on from the copy."""
     path = work_folder(df.sparkSession, purpose).root
     df.write.parquet(path)
@@ -82,7 +82,7 @@ def split_cells(df: DataFrame, hot: DataFrame, by: Sequence[str], order: Sequenc
         F.sequence(F.lit(1), F.greatest(F.col("__pieces") - 1, F.lit(1))),
         lambda i: F.get("__s", F.floor(i * F.size("__s") / F.col("__pieces")).cast("int")),
     )
-    cuts = _stored(ranked.select(*cell, F.array_distinct(ranks).alias("__cuts")), "cell-cuts")
+    cuts = written_copy(ranked.select(*cell, F.array_distinct(ranks).alias("__cuts")), "cell-cuts")
 
     key = F.struct(*order)
     piece = F.coalesce(F.size(F.filter("__cuts", lambda cut: cut <= key)), F.lit(0))
@@ -129,7 +129,7 @@ def running(
         hot_keys = prepared.groupBy(*by).agg(F.count("*").alias("__rows")).where(F.col("__rows") > max_cell_rows)
         if hot_keys.isEmpty():
             return prepared.select(*df.columns, *results(by, []))
-        hot_keys = _stored(hot_keys.select(*by), "hot-keys")
+        hot_keys = written_copy(hot_keys.select(*by), "hot-keys")
     if hot_keys is None:
         prepared = prepared.withColumn(_CHUNK, chunk)
     else:
@@ -139,7 +139,7 @@ def running(
     def summaries(rows: DataFrame) -> DataFrame:
         chunked = rows if hot_keys is None else rows.where(F.col(_HOT))
         parts = [_summary(i, held[i.name], F.struct(*order)) for i in items]
-        return _stored(chunked.groupBy(*by, _CHUNK).agg(*parts, F.count("*").alias("__rows")), "cells")
+        return written_copy(chunked.groupBy(*by, _CHUNK).agg(*parts, F.count("*").alias("__rows")), "cells")
 
     cells = summaries(prepared)
     if max_cell_rows is not None:

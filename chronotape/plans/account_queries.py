@@ -76,30 +76,37 @@ def borrow_accrual(spark: SparkSession, sf: str) -> DataFrame:
     return shorts.groupBy("instrument_id").agg(F.sum(accrued.cast(money.WIDE)).cast("string").alias("accrued_nano"))
 
 
-_POSITION_SQL = f"""totals AS (
-    SELECT instrument_id, CAST(sum({_SIGNED}) AS BIGINT) AS quantity_shares,
-           sum(CASE WHEN side = 'buy' THEN -({_VALUE}) ELSE {_VALUE} END) AS cash_nano,
-           sum(CASE WHEN side = 'buy' THEN quantity_shares ELSE 0 END) AS bought,
-           sum(CASE WHEN side = 'buy' THEN 0 ELSE quantity_shares END) AS sold,
-           sum(CASE WHEN side = 'buy' THEN {_VALUE} ELSE 0 END) AS paid,
-           sum(CASE WHEN side = 'buy' THEN 0 ELSE {_VALUE} END) AS received, count(*) AS fills
-    FROM fills GROUP BY 1),
+_FILL_ORDER = ("event_time", "l_orderkey", "l_linenumber", "l_suppkey", "side", "quantity_shares", "price_nano")
+# Average cost fill by fill: a recursion over each part's fills in order.
+_POSITION_SQL = f"""numbered AS (
+    SELECT instrument_id, row_number() OVER (PARTITION BY instrument_id ORDER BY {', '.join(_FILL_ORDER)}) AS k,
+           CAST({_SIGNED} AS HUGEINT) AS move, CAST(price_nano AS HUGEINT) AS price FROM fills),
+walk AS (
+    SELECT instrument_id, k, move AS held, price AS cost FROM numbered WHERE k = 1
+    UNION ALL
+    SELECT n.instrument_id, n.k, w.held + n.move,
+           CASE WHEN w.held = 0 THEN n.price
+                WHEN (w.held > 0) = (n.move > 0) THEN (w.cost * abs(w.held) + n.price * abs(n.move)) // abs(w.held + n.move)
+                WHEN abs(n.move) > abs(w.held) THEN n.price WHEN n.move = -w.held THEN 0 ELSE w.cost END
+    FROM walk w JOIN numbered n ON n.instrument_id = w.instrument_id AND n.k = w.k + 1),
 positions AS (
-    SELECT *, CAST(CASE WHEN quantity_shares > 0 THEN paid // bought WHEN quantity_shares < 0 THEN received // sold
-              ELSE 0 END AS BIGINT) AS average_cost_nano FROM totals)"""
+    SELECT f.*, CAST(w.cost AS BIGINT) AS average_cost_nano FROM (
+        SELECT instrument_id, CAST(sum({_SIGNED}) AS BIGINT) AS quantity_shares,
+               sum(CASE WHEN side = 'buy' THEN -({_VALUE}) ELSE {_VALUE} END) AS cash_nano, count(*) AS fills
+        FROM fills GROUP BY 1) f JOIN walk w ON w.instrument_id = f.instrument_id AND w.k = f.fills)"""
 
 
-@query("positions", f"""WITH {v.FILLS_SQL}, {_POSITION_SQL}
+@query("positions", f"""WITH RECURSIVE {v.FILLS_SQL}, {_POSITION_SQL}
     SELECT instrument_id, quantity_shares, CAST(cash_nano AS VARCHAR) AS cash_nano, average_cost_nano, fills FROM positions""")
 def positions(spark: SparkSession, sf: str) -> DataFrame:
-    held = accounts.positions_from_fills(v.fills(spark, sf))
+    held = accounts.positions_from_fills(v.fills(spark, sf), _FILL_ORDER)
     return held.withColumn("cash_nano", F.col("cash_nano").cast("string"))
 
 
 _MARK_AT = 978_307_200 * vocab.NS_PER_SECOND  # 2001-01-01
 
 
-@query("position_profit", f"""WITH {v.FILLS_SQL}, {_POSITION_SQL},
+@query("position_profit", f"""WITH RECURSIVE {v.FILLS_SQL}, {_POSITION_SQL},
     marks AS (SELECT instrument_id, last(price_nano ORDER BY event_time, l_orderkey, l_linenumber, l_suppkey, price_nano) AS mark
               FROM fills WHERE event_time + {v.LAG} <= {_MARK_AT} GROUP BY 1)
     SELECT p.instrument_id, coalesce(mark, -1) AS mark_price_nano,
@@ -115,7 +122,7 @@ def position_profit(spark: SparkSession, sf: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_suppkey", F.col("price_nano").alias("tie_price"),
     )
     marked = accounts.mark_positions(
-        accounts.positions_from_fills(fills), prices, _MARK_AT,
+        accounts.positions_from_fills(fills, _FILL_ORDER), prices, _MARK_AT,
         right_tie=["l_orderkey", "l_linenumber", "l_suppkey", "tie_price"],
     )
     return marked.select(
@@ -124,9 +131,6 @@ def position_profit(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-_FILL_ORDER = ("event_time", "l_orderkey", "l_linenumber", "l_suppkey", "side", "quantity_shares", "price_nano")
-
-
 @query("running_position", f"""WITH {v.FILLS_SQL}
     SELECT instrument_id, event_time, l_orderkey, l_linenumber, l_suppkey,
            CAST(sum({_SIGNED}) OVER w AS BIGINT) AS position_shares,

@@ -26,7 +26,7 @@ def _decimal_text(nanos: str) -> str:
     return f"concat({nanos} DIV 1000000000, '.', lpad({nanos} % 1000000000, 9, '0'))"
 
 
-_INSTANT = "concat(date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), '000Z')"
+_INSTANT = "concat(date_format(to_utc_timestamp(ts, current_timezone()), \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), '000Z')"
 
 
 def _write_raw(lines: DataFrame, order: str, folder: Folder) -> str:
@@ -36,8 +36,10 @@ def _write_raw(lines: DataFrame, order: str, folder: Folder) -> str:
 
 
 def _raw_events(spark: SparkSession, sf: str) -> DataFrame:
-    ticks = v.ticks(spark, sf).select("event_id", "price_nano", "size_shares")
-    return v.table(spark, sf, "events").join(ticks, "event_id").withColumn("symbol", F.expr("concat('SYM', user_id DIV 3)"))
+    """Ticks with what their raw lines say, from one read of the events."""
+    ticks = v.ticks(spark, sf)
+    moment = F.expr("timestamp_micros(event_time DIV 1000)").alias("ts")
+    return ticks.select("event_id", "event_type", "price_nano", "size_shares", moment, F.expr("concat('SYM', instrument_id DIV 3)").alias("symbol"))
 
 
 _RESOLVED_TICKS = f"""WITH {v.TICKS_SQL}, {v.history_sql()},
@@ -48,20 +50,24 @@ _RESOLVED_TICKS = f"""WITH {v.TICKS_SQL}, {v.history_sql()},
 
 @query("raw_trades", f"""{_RESOLVED_TICKS}
     SELECT event_time, event_time + {v.LAG} AS knowledge_time, 5 AS source_rank,
-           CASE WHEN event_id % 4 = 0 THEN -1 ELSE event_id END AS vendor_sequence,
+           CASE WHEN event_id % 4 = 0 THEN -1 ELSE 1789738202523646945 + event_id END AS vendor_sequence,
            row_number() OVER (ORDER BY event_id) - 1 AS ingest_index, instrument_id, price_nano, size_shares,
            'V' AS exchange, CASE WHEN event_id % 5 = 0 THEN '' ELSE event_type END AS conditions, 'tr-' || event_id AS trade_id,
            CASE WHEN event_id % 6 = 0 THEN '' ELSE 'C' END AS tape FROM resolved""")
 def raw_trades(spark: SparkSession, sf: str) -> DataFrame:
     """Events written as vendor NDJSON, read back, positioned, resolved and normalized.
 
-    Optional keys are left out of some records and blank lines are mixed in.
+    Optional keys are left out of some records, blank lines are mixed in, sequences have nineteen
+    digits, and some records repeat the price key or hold it in nested objects and texts as well.
     """
-    record = f"""concat('{{"T":"t","S":"', symbol, '","t":"', {_INSTANT}, '","p":', {_decimal_text('price_nano')},
+    record = f"""concat('{{"T":"t",',
+        CASE event_id % 7 WHEN 1 THEN '"m":{{"p":1.25}},' WHEN 2 THEN '"p":2.5,' WHEN 3 THEN '"n":[{{"p":3}}],"note":"{{\\\\"p\\\\":4}}",' ELSE '' END,
+        '"S":"', symbol, '","t":"', {_INSTANT}, '","p":', {_decimal_text('price_nano')},
         ',"s":', size_shares, ',"x":"V","i":"tr-', event_id, '"',
         CASE WHEN event_id % 5 = 0 THEN '' ELSE concat(',"c":["', event_type, '"]') END,
         CASE WHEN event_id % 6 = 0 THEN '' ELSE ',"z":"C"' END,
-        CASE WHEN event_id % 4 = 0 THEN '' ELSE concat(',"q":', event_id) END, '}}',
+        CASE WHEN event_id % 4 = 0 THEN '' ELSE concat(',"q":', 1789738202523646945 + event_id) END,
+        CASE event_id % 11 WHEN 5 THEN ',"meta":{{"p":7.5,"s":{{"p":8}}}}' ELSE '' END, '}}',
         CASE WHEN event_id % 9 = 0 THEN '\\n   ' ELSE '' END) AS value"""
     lines = _raw_events(spark, sf).select("event_id", F.expr(record))
     raw = _write_raw(lines, "event_id", work_folder(spark, "raw-trades"))
@@ -91,16 +97,18 @@ def raw_quotes(spark: SparkSession, sf: str) -> DataFrame:
 @query("raw_quarantine", f"""WITH {v.TICKS_SQL}, d AS (SELECT CASE event_id % 40
         WHEN 1 THEN 'p is missing' WHEN 2 THEN 'p is not a decimal number' WHEN 3 THEN 'p has sub-nano-dollar precision'
         WHEN 4 THEN 's is not a whole number' WHEN 5 THEN 't is not an instant with an offset' WHEN 6 THEN 'not a JSON object'
-        WHEN 7 THEN 'i is missing' WHEN 8 THEN 'p exceeds the storable range' END AS defect, event_id FROM ticks)
+        WHEN 7 THEN 'i is missing' WHEN 8 THEN 'p exceeds the storable range' WHEN 9 THEN 'p is not a decimal number'
+        WHEN 10 THEN 'p is not a decimal number' WHEN 11 THEN 'q is not a whole number' END AS defect, event_id FROM ticks)
     SELECT defect, count(*) AS records, min(event_id) AS first_index FROM d WHERE defect IS NOT NULL GROUP BY 1""")
 def raw_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     """Malformed records are refused with a reason and keep their position."""
     record = f"""CASE event_id % 40 WHEN 6 THEN 'not json' ELSE concat('{{"S":"', symbol, '","t":"', {_INSTANT},
         CASE event_id % 40 WHEN 5 THEN ' ' ELSE '' END, '"',
         CASE event_id % 40 WHEN 1 THEN '' WHEN 2 THEN ',"p":"50.03"' WHEN 3 THEN ',"p":1.00000000010000000001'
-             WHEN 8 THEN ',"p":4611686019' ELSE concat(',"p":', {_decimal_text('price_nano')}) END,
+             WHEN 8 THEN ',"p":4611686019' WHEN 9 THEN ',"p":"oops","meta":{{"p":7.5}}' WHEN 10 THEN ',"p":1.5,"p":"late"' ELSE concat(',"p":', {_decimal_text('price_nano')}) END,
         ',"s":', size_shares, CASE event_id % 40 WHEN 4 THEN '.5' ELSE '' END, ',"x":"V"',
-        CASE event_id % 40 WHEN 7 THEN '' ELSE concat(',"i":"tr-', event_id, '"') END, '}}') END AS value"""
+        CASE event_id % 40 WHEN 7 THEN '' ELSE concat(',"i":"tr-', event_id, '"') END,
+        CASE event_id % 40 WHEN 11 THEN ',"q":99999999999999999999' ELSE '' END, '}}') END AS value"""
     lines = _raw_events(spark, sf).select("event_id", F.expr(record))
     raw = _write_raw(lines, "event_id", work_folder(spark, "raw-flawed"))
     refused = ndjson.quarantine(ndjson.read_trades(spark, raw, suffix=".txt", on_defect="keep"))

@@ -79,12 +79,35 @@ def read_lines(spark: SparkSession, directory: str, suffix: str = RAW_SUFFIX) ->
 
 
 def _number_token(key: str) -> Column:
-    """The literal text of a numeric value; empty when the value is quoted or absent.
+    """The literal text of a numeric member of the record itself; empty when it is quoted, nested or absent.
 
     ``from_json`` passes numbers through binary doubles when asked for text, and rounds when asked
-    for decimals, so exactness is judged on the literal itself.
+    for decimals, so exactness is judged on the literal. A key that stands once in a line with one
+    brace can only be the record's own; any other line is read token by token, minding depth, and the
+    last of repeated members counts.
     """
-    return F.regexp_extract("value", rf'"{key}"\s*:\s*(-?[0-9][0-9.eE+-]*)', 1)
+    member = rf'"{key}"\s*:'
+    plain = (F.regexp_count("value", F.lit(member)) <= 1) & (F.length(F.replace("value", F.lit("{"))) >= F.length("value") - 1)
+    first = F.regexp_extract("value", member + r"\s*(-?[0-9][0-9.eE+-]*)", 1)
+    return F.when(plain, first).otherwise(F.expr(_walk(key)))
+
+
+#: Strings, punctuation, and everything else of a JSON text.
+_JSON_TOKENS = r'"(?:[^"\\\\]|\\\\.)*"|[{}\\[\\]:,]|[^\\s{}\\[\\]:,"]+'
+
+
+def _walk(key: str) -> str:
+    """SQL: the number given to ``key`` at depth one of the line's JSON object, or the empty text."""
+    return f"""aggregate(
+        regexp_extract_all(value, '{_JSON_TOKENS}', 0),
+        named_struct('depth', 0, 'last', '', 'wanted', false, 'found', ''),
+        (s, t) -> CASE
+            WHEN t IN ('{{', '[') THEN named_struct('depth', s.depth + 1, 'last', '', 'wanted', false, 'found', if(s.wanted, '', s.found))
+            WHEN t IN ('}}', ']') THEN named_struct('depth', s.depth - 1, 'last', '', 'wanted', false, 'found', s.found)
+            WHEN t = ':' THEN named_struct('depth', s.depth, 'last', s.last, 'wanted', s.depth = 1 AND s.last = '"{key}"', 'found', s.found)
+            WHEN t = ',' THEN named_struct('depth', s.depth, 'last', '', 'wanted', false, 'found', s.found)
+            ELSE named_struct('depth', s.depth, 'last', t, 'wanted', false, 'found', if(s.wanted, t, s.found)) END,
+        s -> if(s.found RLIKE '^-?[0-9][0-9.eE+-]*$', s.found, ''))"""
 
 
 def _fraction_digits(token: Column) -> Column:
@@ -147,7 +170,8 @@ def _defects(w: WireField) -> list[Column]:
         found.append(when(suspect & (_fraction_digits(literal) > 9), "has sub-nano-dollar precision"))
         found.append(when(~money.is_storable_dollars(value), "exceeds the storable range"))
     elif w.kind == "whole":
-        found.append(when(raw.isNotNull() & ~raw.rlike(r"^-?[0-9]{1,18}$"), "is not a whole number"))
+        whole = raw.rlike(r"^-?[0-9]+$") & raw.try_cast("bigint").isNotNull()
+        found.append(when(raw.isNotNull() & ~whole, "is not a whole number"))
     return found
 
 
@@ -185,15 +209,13 @@ def with_ingest_index(records: DataFrame, marks: DataFrame | None = None) -> Dat
 def _require_defect_free(df: DataFrame) -> DataFrame:
     """Fail the task that meets a refused record, naming its file and text.
 
-    The check sits in the symbol column, which identity resolution always reads.
+    The check is a row filter: no choice of columns, not even a bare count, can leave it out.
     """
     message = F.concat(
         F.col("raw_file"), F.lit(" split "), F.col("raw_block").cast("string"), F.lit(": "), F.col("defect"),
         F.lit(": "), F.substring("value", 1, 120),
     )
-    return df.withColumn(
-        "symbol", F.when(F.col("defect").isNotNull(), F.raise_error(message).cast("string")).otherwise(F.col("symbol"))
-    )
+    return df.where(F.when(F.col("defect").isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
 
 
 def read_raw(

@@ -177,11 +177,11 @@ def test_text_is_normalized_and_no_row_is_lost(spark):
     assert got == {1: "café", 2: "plain", 3: None, 4: "café"}
 
 
-def test_canonical_documents():
-    one = encoding.canonical_document({"b": [1, None, True], "a": "café"})
-    assert one == '{"a":"café","b":[1,null,true]}'
-    assert encoding.document_digest({"a": 1, "b": 2}) == encoding.document_digest({"b": 2, "a": 1})
-    with pytest.raises(ValueError, match="floats"):
-        encoding.canonical_document({"rate": 0.1})
-    with pytest.raises(ValueError, match="no canonical encoding"):
-        encoding.canonical_document({"x": {1, 2}})
+def test_documents_have_one_encoding():
+    assert encoding.document_lines({"b": [7, None], "a": "cafe\u0301/x"}) == ["\tmap\t2", "/a\ttext\tcaf\u00e9\\sx", "/b\tlist\t2", "/b/0\tint\t7", "/b/1\tNoneType\tNone"]
+    assert encoding.document_digest({"a": 1, "b": {"c": True}}) == encoding.document_digest({"b": {"c": True}, "a": 1})
+    different = [{}, {"a": 1}, {"a": "1"}, {"a": True}, {"a": None}, {"a": []}, {"a": {}}, {"a/b": 1}, {"a": {"b": 1}}, {"a": "x\ty"}, {"a": "x\\ty"}]
+    assert len({encoding.document_digest(d) for d in different}) == len(different)
+    for refused in ({"rate": 0.1}, {"x": {1, 2}}, {"deep": [{"y": b""}]}):
+        with pytest.raises(TypeError, match="cannot be part"):
+            encoding.document_digest(refused)

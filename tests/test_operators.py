@@ -142,7 +142,7 @@ def fills(spark):
 
 
 def test_positions_and_profit_reconcile(spark):
-    held = accounts.with_profit(accounts.positions_from_fills(fills(spark)).withColumn("mark_price_nano", F.lit(160).cast("bigint")))
+    held = accounts.with_profit(accounts.positions_from_fills(fills(spark), ["t"]).withColumn("mark_price_nano", F.lit(160).cast("bigint")))
     got = {r.instrument_id: r for r in held.collect()}
     assert {i: (r.quantity_shares, int(r.cash_nano), r.average_cost_nano) for i, r in got.items()} == {
         1: (25, -2850, 120), 2: (-4, 200, 50), 3: (0, 2, 0)
@@ -154,6 +154,32 @@ def test_positions_and_profit_reconcile(spark):
     assert (total.gross_exposure_nano, total.net_exposure_nano) == (160 * 29, 160 * 21)
 
 
+def test_average_cost_follows_openings_and_closings(spark):
+    moves = [("buy", 100, 10), ("sell", 100, 12), ("buy", 100, 20)]
+    rows = [(1, side, q, p, t, 0, 0, 0) for t, (side, q, p) in enumerate(moves)]
+    held = accounts.with_profit(accounts.positions_from_fills(spark.createDataFrame(rows, FILLS), ["t"]).withColumn("mark_price_nano", F.lit(20).cast("bigint"))).first()
+    assert (held.average_cost_nano, int(held.realized_pnl_nano), int(held.unrealized_pnl_nano)) == (20, 200, 0)
+
+
+@pytest.mark.parametrize("per_round", [3, 100_000])
+def test_average_cost_equals_a_plain_walk(spark, per_round):
+    rng = random.Random(4)
+    rows = [(i, rng.choice(("buy", "sell")), rng.randrange(1, 40), rng.randrange(1, 10**14), t, 0, 0, 0) for i in range(6) for t in range(1 + 9 * i)]
+    want = {}
+    for i, side, q, p, *_ in rows:
+        held, cost = want.get(i, (0, 0))
+        move = q if side == "buy" else -q
+        if held * move >= 0:
+            cost = (cost * abs(held) + p * q) // (abs(held) + q)
+        elif q > abs(held):
+            cost = p
+        elif q == abs(held):
+            cost = 0
+        want[i] = (held + move, cost)
+    got = accounts.positions_from_fills(spark.createDataFrame(rows, FILLS).repartition(5), ["t"], per_round=per_round).collect()
+    assert {r.instrument_id: (r.quantity_shares, r.average_cost_nano) for r in got} == want
+
+
 def test_running_position_equals_signed_sum(spark):
     run = accounts.running_position(fills(spark), ["t"], scan.time_chunk("t", 2))
     got = {(r.instrument_id, r.t): (r.position_shares, int(r.cash_nano)) for r in run.collect()}
@@ -162,7 +188,7 @@ def test_running_position_equals_signed_sum(spark):
 
 def test_marks_are_causal(spark):
     prices = spark.createDataFrame([(1, 5, 6, 100), (1, 8, 12, 200)], "instrument_id bigint, event_time bigint, knowledge_time bigint, price_nano bigint")
-    held = accounts.positions_from_fills(fills(spark)).where("instrument_id = 1")
+    held = accounts.positions_from_fills(fills(spark), ["t"]).where("instrument_id = 1")
     assert accounts.mark_positions(held, prices, 10).first().mark_price_nano == 100
     assert accounts.mark_positions(held, prices, 12).first().mark_price_nano == 200
 

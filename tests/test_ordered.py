@@ -185,6 +185,12 @@ def test_unsorted_rows_across_blocks(spark, block):
     assert sorted(r.pos for r in got.collect()) == [i for i in range(1, 50) if keys[i] <= keys[i - 1]]
 
 
+@pytest.mark.parametrize("block", [4, 1_000])
+def test_unsorted_rows_with_gaps_in_the_positions(spark, block):
+    df = spark.createDataFrame([(1, 10), (2, 20), (5, 5), (6, 30), (47, 29), (80, 31)], "pos bigint, key bigint")
+    assert sorted(r.pos for r in audits.unsorted_rows(df, [], "pos", ["key"], block).collect()) == [5, 47]
+
+
 def test_operating_state_moves(spark):
     pairs = [(a, b) for a in vocab.OPERATING_STATES for b in vocab.OPERATING_STATES]
     got = {tuple(r[:2]): r[2] for r in spark.createDataFrame(pairs, "a string, b string").select("a", "b", audits.allowed_move(F.col("a"), F.col("b"))).collect()}
