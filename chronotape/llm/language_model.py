@@ -224,7 +224,7 @@ def train(encoded: DataFrame, vocabulary: Vocabulary) -> LogBilinear:
                     learn(64 * BATCH)
             learn(1)
             if trainer.seen:
-                flat = trainer.model.flat()
+                flat = trainer.model.flat().astype(np.float64)
                 yield pd.DataFrame({"i": np.arange(len(flat)), "v": flat * trainer.seen, "w": np.full(len(flat), float(trainer.seen))})
 
         found = sequences.mapInPandas(local, "i long, v double, w double").groupBy("i").agg((F.sum("v") / F.sum("w")).alias("v")).toPandas()

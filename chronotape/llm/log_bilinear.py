@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-DIMENSIONS, NOISE, BATCH, RATE = 32, 64, 1_024, 0.08
+DIMENSIONS, NOISE, BATCH, RATE = 32, 64, 1_024, 0.1
 CONTEXT = 2
 
 
@@ -26,9 +26,8 @@ class LogBilinear:
     @classmethod
     def fresh(cls, unigram: np.ndarray, seed: int = 0) -> LogBilinear:
         random, n = np.random.default_rng(seed), len(unigram)
-        return cls(
-            random.normal(0, 0.1, (n + 1, DIMENSIONS)), random.normal(0, 0.1, (n, DIMENSIONS)), np.ones((CONTEXT, DIMENSIONS)) * 0.5, np.log(unigram)
-        )
+        parts = random.normal(0, 0.1, (n + 1, DIMENSIONS)), random.normal(0, 0.1, (n, DIMENSIONS)), np.full((CONTEXT, DIMENSIONS), 0.5), np.log(unigram)
+        return cls(*[p.astype(np.float32) for p in parts])
 
     def flat(self) -> np.ndarray:
         return np.concatenate([a.ravel() for a in (self.inputs, self.outputs, self.gates, self.bias)])
@@ -42,8 +41,9 @@ class LogBilinear:
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Scores by (class before, class) and (class two before, class), the first with the bias, and the
         logarithm of the normaliser by both classes before: one product of two matrices."""
-        one = (self.inputs * self.gates[0]) @ self.outputs.T + self.bias
-        two = (self.inputs * self.gates[1]) @ self.outputs.T
+        inputs, outputs, gates, bias = (a.astype(np.float64) for a in (self.inputs, self.outputs, self.gates, self.bias))
+        one = (inputs * gates[0]) @ outputs.T + bias
+        two = (inputs * gates[1]) @ outputs.T
         m1, m2 = one.max(axis=1, keepdims=True), two.max(axis=1, keepdims=True)
         norm = np.log(np.exp(one - m1) @ np.exp(two - m2).T) + m1 + m2.T
         return one.astype(np.float32), two.astype(np.float32), norm.astype(np.float32)
@@ -60,10 +60,10 @@ class Trainer:
 
     def __init__(self, model: LogBilinear, unigram: np.ndarray, seed: int) -> None:
         self.model, self.random = model, np.random.default_rng(seed)
-        self.log_noise = np.log(NOISE * unigram)
+        self.log_noise = np.log(NOISE * unigram).astype(np.float32)
         self.cumulative = np.cumsum(unigram / unigram.sum())
         self.seen = 0
-        self._squares = [np.full(a.shape, 1e-2) for a in (model.inputs, model.outputs, model.gates, model.bias)]
+        self._squares = [np.full(a.shape, 1e-2, dtype=np.float32) for a in (model.inputs, model.outputs, model.gates, model.bias)]
 
     def step(self, before: np.ndarray, earlier: np.ndarray, target: np.ndarray) -> None:
         m, n = self.model, len(target)
@@ -75,24 +75,24 @@ class Trainer:
         # ascent directions of the log-likelihood of telling data from noise
         up = 1 / (1 + np.exp(np.clip(real, -30, 30)))
         down = -1 / (1 + np.exp(np.clip(-false, -30, 30)))
-        back = up[:, None] * m.outputs[target] + down @ m.outputs[noise]
-        rows = np.concatenate([target, noise])
-        g_out = _summed(rows, np.concatenate([up[:, None] * predicted, down.T @ predicted]), len(m.outputs))
-        g_bias = np.bincount(rows, np.concatenate([up, down.sum(axis=0)]), len(m.bias))
-        g_in = _summed(np.concatenate([before, earlier]), np.concatenate([back * m.gates[0], back * m.gates[1]]), len(m.inputs))
-        g_gate = np.stack([(back * x1).sum(axis=0), (back * x2).sum(axis=0)])
-        for a, g, s in zip((m.inputs, m.outputs, m.gates, m.bias), (g_in, g_out, g_gate, g_bias), self._squares, strict=True):
-            g = g / n
-            s += g * g
-            a += RATE * g / np.sqrt(s + 1e-8) * (s > 0)
+        back = up[:, None] * m.outputs[target] + down @ m.outputs[noise]  # taken before the outputs move
+        self._climb(m.outputs, 1, n, *_summed(np.concatenate([target, noise]), np.concatenate([up[:, None] * predicted, down.T @ predicted])))
+        self._climb(m.bias, 3, n, *_summed(np.concatenate([target, noise]), np.concatenate([up, down.sum(axis=0)])))
+        self._climb(m.inputs, 0, n, *_summed(np.concatenate([before, earlier]), np.concatenate([back * m.gates[0], back * m.gates[1]])))
+        self._climb(m.gates, 2, n, np.arange(CONTEXT), np.stack([(back * x1).sum(axis=0), (back * x2).sum(axis=0)]))
         self.seen += n
 
+    def _climb(self, parameter: np.ndarray, k: int, n: int, rows: np.ndarray, gradient: np.ndarray) -> None:
+        """Move the given rows uphill, each parameter at its own rate."""
+        gradient = gradient / n
+        squares = self._squares[k][rows] + gradient * gradient
+        self._squares[k][rows] = squares
+        parameter[rows] += RATE * gradient / np.sqrt(squares)
 
-def _summed(rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
-    """Sums of ``values`` by row number."""
+
+def _summed(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct row numbers, and the sums of ``values`` by them."""
     order = np.argsort(rows, kind="stable")
-    sorted_rows = rows[order]
-    starts = np.r_[0, np.flatnonzero(np.diff(sorted_rows)) + 1]
-    out = np.zeros((size, values.shape[1]))
-    out[sorted_rows[starts]] = np.add.reduceat(values[order], starts, axis=0)
-    return out
+    ordered = rows[order]
+    starts = np.r_[0, np.flatnonzero(np.diff(ordered)) + 1]
+    return ordered[starts], np.add.reduceat(values[order], starts, axis=0)

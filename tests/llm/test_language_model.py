@@ -48,7 +48,7 @@ def test_training_learns_what_follows_what():
     model = LogBilinear.fresh(unigram)
     trainer = Trainer(model, unigram, 1)
     before, earlier = contexts(sequence, 8)
-    for _ in range(6):
+    for _ in range(8):
         for s in range(0, len(sequence), 1_024):
             trainer.step(before[s : s + 1_024], earlier[s : s + 1_024], sequence[s : s + 1_024])
     one, two, norm = model.tables()
