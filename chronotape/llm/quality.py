@@ -219,7 +219,9 @@ def keep_quality(docs: DataFrame, labels: DataFrame, limit: RiskLimit = RiskLimi
 
     Cutoffs come from a first pass that keeps counts only, so no text is shuffled.
     """
-    cutoffs = fit_cutoffs(measure(docs.select("doc_id", "lang", "text")).drop("text"), labels, limit)
+    counted = stored(measure(docs.select("doc_id", "lang", "text")).drop("text"), "quality-measures")
+    cutoffs = fit_cutoffs(counted, labels, limit)
     work = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), "text", "lang")
-    passed = apply_rules(measure(work), cutoffs).where("kept")
-    return passed.select("__row.*")
+    # a filter would be pushed below the counts and repeat their expressions; it does not pass a row's place
+    placed = measure(work).withColumn("__place", F.monotonically_increasing_id())
+    return apply_rules(placed, cutoffs).where(F.col("kept") & (F.col("__place") >= 0)).select("__row.*")
