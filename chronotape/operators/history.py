@@ -136,12 +136,5 @@ class FeeSchedule:
 
 
 def with_fees(fills: DataFrame, schedule: FeeSchedule, *, price: str = "price_nano", quantity: str = "quantity_shares", at: str = "event_time") -> DataFrame:
-    """One ``<name>_nano`` column per schedule component; zero before its first effective date."""
-    return fills.withColumns(
-        {
-            f"{name}_nano": F.coalesce(
-                schedule.cost(name, price=price, quantity=quantity, at=at), F.lit(0).cast("bigint")
-            )
-            for name in schedule.names
-        }
-    )
+    """One ``<name>_nano`` column per schedule component; NULL before its first effective date, as no rate is known."""
+    return fills.withColumns({f"{name}_nano": schedule.cost(name, price=price, quantity=quantity, at=at) for name in schedule.names})

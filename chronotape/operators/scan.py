@@ -29,7 +29,7 @@ from chronotape.sources.files import work_folder
 
 _CHUNK, _LIVE, _HOT = "__chunk", "__live", "__hot"
 MAX_CELL_ROWS = 4_000_000
-_MAX_PIECES, _SAMPLES_PER_PIECE = 1_000, 40
+_SAMPLES_PER_PIECE = 40
 
 
 @dataclass(frozen=True)
@@ -73,7 +73,7 @@ def split_cells(df: DataFrame, hot: DataFrame, by: Sequence[str], order: Sequenc
     no row is dropped or capped.
     """
     cell = [*by, _CHUNK]
-    pieces = F.least(F.ceil(F.col("__rows") / max_rows), F.lit(_MAX_PIECES)).cast("int")
+    pieces = F.ceil(F.col("__rows") / max_rows).cast("int")
     keep = F.rand(11) < F.col("__pieces") * _SAMPLES_PER_PIECE / F.col("__rows")
     wanted = hot.select(*cell, "__rows", pieces.alias("__pieces"))
     sampled = _join_cells(df, wanted, cell, "inner").where(keep)

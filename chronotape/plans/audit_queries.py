@@ -160,14 +160,14 @@ def holdout_accesses(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("feature_audit", f"""WITH {v.KNOWN_SQL},
     f AS (SELECT *, CASE WHEN event_id % 31 = 0 THEN NULL ELSE price_nano // 10000000 END AS value,
-                 event_time + 30 * {vocab.NS_PER_MINUTE} AS decision_time FROM known WHERE event_type <> 'error')
+                 event_time + 30 * {vocab.NS_PER_MINUTE} AS decision_time FROM known)
     SELECT 'feature without a spec' AS rule, count(*) FILTER (WHERE event_type = 'signup') AS violations FROM f
     UNION ALL SELECT 'knowledge_time after decision_time', count(*) FILTER (WHERE knowledge_time > decision_time) FROM f
     UNION ALL SELECT 'value outside its valid range', count(*) FILTER (WHERE event_type <> 'signup' AND (value < 100 OR value > 20000)) FROM f
     UNION ALL SELECT 'null value where the policy forbids it', count(*) FILTER (WHERE value IS NULL AND event_type = 'view') FROM f""")
 def feature_audit(spark: SparkSession, sf: str) -> DataFrame:
     """Tick cents as feature values; signups have no spec, views must not be null."""
-    known = v.known_ticks(spark, sf).where("event_type <> 'error'")
+    known = v.known_ticks(spark, sf)
     cents = F.call_function("div", F.col("price_nano"), F.lit(v.NANOS_PER_CENT)).cast("double")
     values = known.select(
         F.col("event_type").alias("feature_id"), F.lit(1).alias("feature_version"), "instrument_id", "knowledge_time",

@@ -176,12 +176,13 @@ _LANE_SQL = ", ".join(f"sum(CAST('0x' || substr(h, {1 + 15 * i}, 15) AS HUGEINT)
 
 
 @query("content_digest", f"""WITH h AS (SELECT c_nationkey, sha256('{{"c_custkey":' || c_custkey || ',"c_name":"' || c_name ||
-        '","c_nationkey":' || c_nationkey || ',"c_mktsegment":"' || c_mktsegment || '"}}') AS h FROM customer),
+        '","c_nationkey":' || c_nationkey || ',"c_mktsegment":"' || c_mktsegment ||
+        '","cents":' || CAST(round(c_acctbal * 100) AS BIGINT) || '}}') AS h FROM customer),
     s AS (SELECT c_nationkey, count(*) AS rows, {_LANE_SQL} FROM h GROUP BY 1)
     SELECT c_nationkey, rows, sha256(concat_ws(',', rows, l0, l1, l2, l3)) AS content_sha256 FROM s""")
 def content_digest(spark: SparkSession, sf: str) -> DataFrame:
-    customers = v.table(spark, sf, "customer")
-    return snap.content_digest(customers, ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"], ["c_nationkey"])
+    customers = v.table(spark, sf, "customer").withColumn("cents", F.expr("CAST(round(c_acctbal * 100) AS BIGINT)"))
+    return snap.content_digest(customers, ["c_custkey", "c_name", "c_nationkey", "c_mktsegment", "cents"], ["c_nationkey"])
 
 
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:

@@ -191,7 +191,7 @@ SCHEDULE = FeeSchedule(
            CASE WHEN event_time >= {_FEE_CHANGE} THEN CAST((CAST(quantity_shares AS HUGEINT) * 10000001 + 2999) // 3000 AS BIGINT)
                 ELSE quantity_shares * 5100 END AS commission_nano,
            CASE WHEN event_time >= {_FEE_CHANGE} THEN
-                CAST((CAST(price_nano AS HUGEINT) * quantity_shares * 229 + 9999999) // 10000000 AS BIGINT) ELSE 0 END AS regulatory_nano,
+                CAST((CAST(price_nano AS HUGEINT) * quantity_shares * 229 + 9999999) // 10000000 AS BIGINT) END AS regulatory_nano,
            CAST(250000000 AS BIGINT) AS ticket_nano FROM fills""")
 def fee_asof(spark: SparkSession, sf: str) -> DataFrame:
     fills = v.fills(spark, sf).select(

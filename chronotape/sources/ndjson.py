@@ -11,6 +11,8 @@ from chronotape.contracts import vocab
 from chronotape.contracts.model import ContractError
 from chronotape.functions import money
 from chronotape.functions.instants import ns_from_rfc3339
+from chronotape.operators.scan import written_copy
+from chronotape.operators.sizing import broadcast_if_small
 from chronotape.sources.files import Folder
 
 RAW_SUFFIX = ".ndjson"
@@ -178,32 +180,24 @@ def _defects(w: WireField) -> list[Column]:
 def with_ingest_index(records: DataFrame, marks: DataFrame | None = None) -> DataFrame:
     """``ingest_index``: 0-based position over the concatenation of files in name order.
 
-    Position inside a split comes from a window over that split alone. Bases of splits come from
-    their row counts: a running sum over the splits of a file, plus one over files, both tiny next
-    to the rows. A split that matches no base fails rather than guesses. ``marks`` may be a
-    narrower DataFrame with the same lines to count from.
+    Marks of one split follow each other, so a row's place in its split is its mark less the split's
+    first; where a split starts comes from a running sum over the splits' row counts, one narrow row
+    each. That table is stored once and joined; records are neither sorted nor shuffled. It has to see
+    the same packing of splits into tasks as the records do, which holds for one session reading one
+    folder: a split whose marks lie in another task, or that is not counted, fails rather than guesses.
+    ``marks`` may be a narrower DataFrame with the same lines to count from.
     """
     name = F.element_at(F.split("raw_file", "/"), -1)
-    counts = (marks if marks is not None else records).groupBy("raw_file", "raw_block").agg(
-        F.count("*").alias("__rows")
+    counted = (marks if marks is not None else records).groupBy("raw_file", "raw_block").agg(
+        F.count("*").alias("__rows"), F.min("raw_mark").alias("__first")
     )
-    in_file = Window.partitionBy("raw_file").orderBy("raw_block").rowsBetween(Window.unboundedPreceding, -1)
-    over_files = Window.orderBy(name, "raw_file").rowsBetween(Window.unboundedPreceding, -1)
-    files = counts.groupBy("raw_file").agg(F.sum("__rows").alias("__file_rows"))
-    file_bases = files.select(
-        "raw_file", F.coalesce(F.sum("__file_rows").over(over_files), F.lit(0)).alias("__file_base")
-    )
-    bases = counts.withColumn("__block_base", F.coalesce(F.sum("__rows").over(in_file), F.lit(0))).join(
-        file_bases, "raw_file"
-    ).select("raw_file", "raw_block", (F.col("__file_base") + F.col("__block_base")).alias("__base"))
-
-    in_split = Window.partitionBy("raw_file", "raw_block").orderBy("raw_mark")
-    placed = records.withColumn("__offset", F.row_number().over(in_split) - 1).join(
-        bases, ["raw_file", "raw_block"], "left"
-    )
-    missing = F.raise_error(F.concat(F.lit("no base for a split of "), F.col("raw_file"))).cast("bigint")
-    index = F.when(F.col("__base").isNull(), missing).otherwise(F.col("__base") + F.col("__offset"))
-    return placed.withColumn("ingest_index", index.cast("bigint")).drop("__base", "__offset")
+    before = Window.orderBy(name, "raw_file", "raw_block").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counted.select("raw_file", "raw_block", "__first", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__base"))
+    placed = records.join(broadcast_if_small(written_copy(bases, "split-bases")), ["raw_file", "raw_block"], "left")
+    sound = F.shiftright("raw_mark", 33) == F.shiftright("__first", 33)
+    astray = F.raise_error(F.concat(F.lit("no base for a split of "), F.col("raw_file"))).cast("bigint")
+    index = F.when(sound, F.col("__base") + F.col("raw_mark") - F.col("__first")).otherwise(astray)
+    return placed.withColumn("ingest_index", index.cast("bigint")).drop("__base", "__first")
 
 
 def _require_defect_free(df: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -32,17 +33,17 @@ def split_late_rows(
     def route(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         progress = f"{folder}/progress"
-        high = None
-        if batch_id > 0:
-            earlier = spark.read.schema("high bigint, batch bigint").parquet(progress)
-            high = earlier.where(F.col("batch") < batch_id).agg(F.max("high")).first()[0]
+        # a batch's mark covers all batches before it, so only its predecessor's is read
+        high = spark.read.schema("high bigint").parquet(f"{progress}/batch={batch_id - 1}").first()[0] if batch_id > 0 else None
         mark = F.lit(high).cast("bigint")
         is_late = F.coalesce(F.col(time) < mark - delay_ns, F.lit(False))
+        batch = batch.persist(StorageLevel.DISK_ONLY)  # read three times; lost blocks are computed again
         batch.where(~is_late).write.mode("overwrite").parquet(f"{folder}/ontime/batch={batch_id}")
         late = batch.where(is_late).withColumn("revision_time", mark)
         late.write.mode("overwrite").parquet(f"{folder}/revisions/batch={batch_id}")
         reached = batch.agg(F.greatest(F.max(time), mark).alias("high"))
         reached.write.mode("overwrite").parquet(f"{folder}/progress/batch={batch_id}")
+        batch.unpersist()
 
     writer = events.writeStream.foreachBatch(route).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -125,7 +125,7 @@ def test_fee_schedule(spark):
     ))
     df = spark.createDataFrame([(t, 1_001, 10) for t in (9, 10, 20)], "event_time bigint, price_nano bigint, quantity_shares bigint")
     got = {r.event_time: (r.share_nano, r.value_nano, r.ticket_nano) for r in history.with_fees(df, schedule).collect()}
-    assert got == {9: (0, 11, 4), 10: (4, 11, 4), 20: (20, 11, 4)}
+    assert got == {9: (None, 11, 4), 10: (4, 11, 4), 20: (20, 11, 4)}
     with pytest.raises(ContractError):
         schedule.cost("absent", price="price_nano", quantity="quantity_shares")
 
