@@ -12,7 +12,7 @@ from chronotape.contracts.model import ContractError
 from chronotape.operators.bars import build_bars, with_bar_positions
 from chronotape.operators.normalize import Clocks, normalize_quotes, normalize_trades, to_contract
 from chronotape.operators.sizing import broadcast_if_small
-from chronotape.plans.snapshot import Manifest, build_manifest, write_manifest
+from chronotape.plans.snapshot import Manifest, save_manifest, seal
 from chronotape.sources.ndjson import read_quotes, read_trades
 from chronotape.sources.reference import Reference, load_reference
 from chronotape.sources.tables import Written, read_written, write_contract_table
@@ -96,6 +96,6 @@ def run(
     written.append(
         write_contract_table(bars, contract("normalized.bar"), output_root, knowledge_policy=vocab.BACKFILL)
     )
-    manifest = build_manifest(spark, written, output_root, calendar_version=calendar_version)
-    write_manifest(spark, manifest, output_root)
+    manifest = seal(spark, written, output_root, calendar_version=calendar_version)
+    save_manifest(spark, manifest, output_root)
     return SnapshotResult(manifest, tuple(written), output_root)

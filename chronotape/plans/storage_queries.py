@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -131,8 +133,8 @@ def _bar_table(spark: SparkSession, sf: str, folder: Folder) -> tables.Written:
 
 def _sealed(spark: SparkSession, sf: str, purpose: str) -> tuple[str, snap.Manifest]:
     folder = work_folder(spark, purpose)
-    manifest = snap.build_manifest(spark, [_bar_table(spark, sf, folder)], folder.root, calendar_version="ticks_v1")
-    snap.write_manifest(spark, manifest, folder.root)
+    manifest = snap.seal(spark, [_bar_table(spark, sf, folder)], folder.root, calendar_version="ticks_v1")
+    snap.save_manifest(spark, manifest, folder.root)
     return folder.root, manifest
 
 
@@ -162,14 +164,53 @@ def snapshot_build(spark: SparkSession, sf: str) -> DataFrame:
     UNION ALL SELECT 'readable rows', count(*) FROM d""")
 def snapshot_verify(spark: SparkSession, sf: str) -> DataFrame:
     """A clean snapshot has no findings, and its bounded reader returns every bar."""
-    root, manifest = _sealed(spark, sf, "verified")
-    reader = snap.SnapshotReader(spark, root, manifest)
+    root, _ = _sealed(spark, sf, "verified")
+    sealed = snap.Sealed(spark, root)
 
     def counted(df: DataFrame, measure: str) -> DataFrame:
         return df.agg(F.lit(measure).alias("measure"), F.count("*").alias("amount"))
 
-    findings = counted(snap.verify_snapshot(spark, root, manifest), "findings")
-    return findings.unionByName(counted(reader.read_contract("normalized.bar"), "readable rows"))
+    findings = counted(sealed.file_findings(), "findings").unionByName(counted(sealed.row_findings("normalized.bar"), "findings"))
+    total = findings.groupBy("measure").agg(F.sum("amount").alias("amount"))
+    return total.unionByName(counted(sealed.table("normalized.bar"), "readable rows"))
+
+
+@query("snapshot_damage", f"""{_BARS_BY_DAY}, p AS (SELECT 'normalized/bar/date=' || day AS path, day FROM d)
+    SELECT path AS partition, 'missing' AS finding FROM p WHERE day = (SELECT min(day) FROM d) GROUP BY 1
+    UNION ALL SELECT path, 'changed' FROM p WHERE day = (SELECT max(day) FROM d) GROUP BY 1""")
+def snapshot_damage(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of the first day deleted, one of the last day overwritten, one added that nobody sealed."""
+    root, manifest = _sealed(spark, sf, "damaged")
+    folder, first, last = Folder(spark, root), manifest.files[0].path, manifest.files[-1].path
+    sealed = snap.Sealed(spark, root)
+    one = sealed.files.where(F.col("partition") == last).agg(F.min("path")).first()[0]
+    folder.remove(first)
+    folder.write_text(one, "not what was sealed")
+    folder.write_text(f"{last}/extra.parquet", "never sealed")
+    return sealed.file_findings().select("partition", "finding").distinct()
+
+
+@query("snapshot_miscount", f"""{_BARS_BY_DAY} SELECT 'normalized/bar/date=' || day AS path, count(*) + 1 AS sealed_rows, count(*) AS held_rows
+    FROM d WHERE day = (SELECT max(day) FROM d) GROUP BY day""")
+def snapshot_miscount(spark: SparkSession, sf: str) -> DataFrame:
+    """A manifest that promises one row more on the last day."""
+    root, manifest = _sealed(spark, sf, "miscounted")
+    *others, last = manifest.files
+    wrong = replace(manifest, files=(*others, replace(last, row_count=last.row_count + 1)))
+    return snap.Sealed(spark, root, wrong).row_findings("normalized.bar")
+
+
+@query("snapshot_identity", f"""{_BARS_BY_DAY} SELECT 'normalized/bar/date=' || day AS path, TRUE AS same_content, TRUE AS same_snapshot FROM d GROUP BY day""")
+def snapshot_identity(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs over the same rows, in different files, have one identity; manifests are read back from storage."""
+    entries, ids = [], set()
+    for purpose in ("first", "second"):
+        root, _ = _sealed(spark, sf, purpose)
+        manifest = snap.open_manifest(spark, root)
+        ids.add(manifest.snapshot_id())
+        entries.append(spark.createDataFrame([(e.path, e.content_sha256) for e in manifest.files], f"path string, {purpose} string"))
+    same = F.col("first") == F.col("second")
+    return entries[0].join(entries[1], "path").select("path", same.alias("same_content"), F.lit(len(ids) == 1).alias("same_snapshot"))
 
 
 _LANE_SQL = ", ".join(f"sum(CAST('0x' || substr(h, {1 + 15 * i}, 15) AS HUGEINT)) AS l{i}" for i in range(4))

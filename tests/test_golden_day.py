@@ -44,24 +44,24 @@ def result(spark, tmp_path_factory):
 
 @pytest.fixture(scope="module")
 def reader(spark, result):
-    return snap.SnapshotReader(spark, result.root)
+    return snap.Sealed(spark, result.root)
 
 
 def test_row_counts(reader):
     assert {e.contract: e.row_count for e in reader.manifest.files} == EXPECTED_ROWS
     for name, rows in EXPECTED_ROWS.items():
-        assert reader.read_contract(name).count() == rows
+        assert reader.table(name).count() == rows
 
 
 def test_first_trade_is_exact(reader):
-    first = reader.read_contract("normalized.trade").orderBy(*vocab.ORDER_KEY).first()
+    first = reader.table("normalized.trade").orderBy(*vocab.ORDER_KEY).first()
     assert (first.event_time, first.knowledge_time) == (1789738202523646945, 1789738202523896945)
     assert first.instrument_id == day.INSTRUMENT and first.revision_time is None and first.source_rank == 5
     assert first.raw_partition_id == "fixture/tiny_day/000" and first.is_cancelled is False
 
 
 def test_first_bar_and_totals(reader):
-    bars = reader.read_contract("normalized.bar")
+    bars = reader.table("normalized.bar")
     first = bars.orderBy("event_time").first()
     assert {k: first[k] for k in FIRST_BAR} == FIRST_BAR
     assert bars.agg(F.sum("trade_count")).first()[0] == 981
@@ -75,20 +75,20 @@ def test_first_bar_and_totals(reader):
 
 
 def test_form_t_prints_stay_out_of_bars(reader):
-    trades = reader.read_contract("normalized.trade")
+    trades = reader.table("normalized.trade")
     assert trades.where(F.array_contains("conditions", "T")).count() == 20
 
 
 def test_positions_follow_file_order_over_several_files(spark, tmp_path, reader):
     many = build(spark, tmp_path, files=7)
-    other = snap.SnapshotReader(spark, many.root).read_contract("normalized.trade")
-    trades = reader.read_contract("normalized.trade")
+    other = snap.Sealed(spark, many.root).table("normalized.trade")
+    trades = reader.table("normalized.trade")
     assert other.exceptAll(trades).isEmpty() and trades.exceptAll(other).isEmpty()
-    assert many.snapshot_id == reader.snapshot_id  # same records, same data, whatever the file layout
+    assert many.snapshot_id == reader.manifest.snapshot_id()  # same records, same data, whatever the file layout
 
 
 def test_collision_is_ordered_by_sequence(reader):
-    trades = reader.read_contract("normalized.trade")
+    trades = reader.table("normalized.trade")
     twice = trades.groupBy("event_time").count().where("count > 1").first()["event_time"]
     pair = trades.where(F.col("event_time") == twice).orderBy(order_key()).select("trade_id", "ingest_index").collect()
     assert [tuple(r) for r in pair] == [("tr-00100", 100), ("tr-collide", 101)]
@@ -96,7 +96,7 @@ def test_collision_is_ordered_by_sequence(reader):
 
 def test_contract_content_and_physical_order(reader):
     for name in EXPECTED_ROWS:
-        table = reader.read_contract(name)
+        table = reader.table(name)
         report = contract_violations(table.drop("date"), contract(name))
         assert report.where("violations > 0").isEmpty()
         assert file_order_violations(table).isEmpty()
@@ -104,14 +104,14 @@ def test_contract_content_and_physical_order(reader):
 
 def test_open_windows_are_incomplete(spark, tmp_path):
     early = build(spark, tmp_path, as_of=day.OPEN_NS + 600 * vocab.NS_PER_SECOND)
-    flags = {r[0] for r in snap.SnapshotReader(spark, early.root).read_contract("normalized.bar").select("is_complete").collect()}
+    flags = {r[0] for r in snap.Sealed(spark, early.root).table("normalized.bar").select("is_complete").collect()}
     assert flags == {True, False}
 
 
 def test_manifest_round_trips_and_verifies(spark, result):
-    manifest = snap.load_manifest(spark, result.root)
+    manifest = snap.open_manifest(spark, result.root)
     assert manifest.snapshot_id() == result.snapshot_id and manifest.integrity() == result.manifest.integrity()
-    assert snap.verify_snapshot(spark, result.root).isEmpty()
+    assert snap.Sealed(spark, result.root).file_findings().isEmpty()
 
 
 def test_identity_ignores_listing_order_and_physical_files(result):
@@ -130,9 +130,9 @@ def test_damage_is_found(spark, tmp_path, result):
     trade.write_bytes(bytes(data))
     trade.with_name(f".{trade.name}.crc").unlink(missing_ok=True)
     quote.unlink()
-    findings = {r.path: r.detail for r in snap.verify_snapshot(spark, str(out)).collect()}
-    assert "bytes changed" in findings[str(trade.relative_to(out))]
-    assert "missing on disk" in findings[str(quote.relative_to(out))]
+    findings = {r.path: r.finding for r in snap.Sealed(spark, str(out)).file_findings().collect()}
+    assert findings[str(trade.relative_to(out))] == snap.CHANGED
+    assert findings[str(quote.relative_to(out))] == snap.MISSING
     assert len(findings) == 2
 
 
@@ -141,13 +141,13 @@ def test_unlisted_files_change_nothing_and_cannot_be_read(spark, tmp_path, resul
     partition = out / "normalized" / "trade" / "date=2026-09-18"
     listed = next(partition.glob("*.parquet"))
     (partition / "extra.parquet").write_bytes(listed.read_bytes())
-    assert snap.verify_snapshot(spark, str(out)).isEmpty()
-    reader = snap.SnapshotReader(spark, str(out))
-    assert reader.read_contract("normalized.trade").count() == 1001
-    assert reader.read("normalized/trade/date=2026-09-18").count() == 1001
+    assert snap.Sealed(spark, str(out)).file_findings().isEmpty()
+    reader = snap.Sealed(spark, str(out))
+    assert reader.table("normalized.trade").count() == 1001
+    assert reader.partition("normalized/trade/date=2026-09-18").count() == 1001
     for path in ("normalized/trade/date=2026-09-19", "normalized/trade/date=2026-09-18/extra.parquet"):
-        with pytest.raises(snap.UnlistedPathError, match="not in snapshot"):
-            reader.read(path)
+        with pytest.raises(snap.NotSealed, match="no partition of snapshot"):
+            reader.partition(path)
 
 
 def test_row_count_mismatch_is_refused(spark, result):
@@ -155,11 +155,11 @@ def test_row_count_mismatch_is_refused(spark, result):
     for entry in body:
         entry["row_count"] += entry["contract"] == "normalized.bar"
     wrong = snap.Manifest(tuple(snap.Entry(**e) for e in body), files_sha256=result.manifest.files_sha256)
-    with pytest.raises(snap.SnapshotError, match="manifest says 34 rows"):
-        snap.SnapshotReader(spark, result.root, wrong).read_contract("normalized.bar")
+    with pytest.raises(snap.SealBroken, match="sealed with 34 rows and holds 33"):
+        snap.Sealed(spark, result.root, wrong).table("normalized.bar")
 
 
 def test_repeated_manifest_paths_are_refused(result):
     entry = result.manifest.files[0]
-    with pytest.raises(snap.SnapshotError, match="duplicate paths"):
+    with pytest.raises(snap.SealBroken, match="comes again"):
         snap.Manifest((entry, entry))
