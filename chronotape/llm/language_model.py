@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronotape.llm.common import crc32_of_id, present, stored
-from chronotape.llm.log_bilinear import BATCH, LogBilinear, Trainer, contexts
+from chronotape.llm.log_bilinear import BATCH, LogBilinear, Trainer, contexts, joined
 
 #: Words whose counts travel to every task, words that are classes of their own, endings that are classes.
 FREQUENT, WORD_CLASSES, ENDING_CLASSES = 150_000, 1_200, 800
@@ -134,6 +134,18 @@ def build_vocabulary(counts: DataFrame, documents: int) -> Vocabulary:
     return Vocabulary(frequent, own, ending_class, tokens_, words_)
 
 
+class _Codes(dict):
+    """Numbers of frequent words; any other word is counted in ``rare`` and gets its class's number."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        super().__init__((w, k) for k, w in enumerate(vocabulary.counts))
+        self._base, self._class_of, self.rare = len(vocabulary.counts), vocabulary.class_of, Counter()
+
+    def __missing__(self, word: bytes) -> int:
+        self.rare[word] += 1
+        return self._base + self._class_of(word)
+
+
 _ENCODED = (
     "uid long, doc_id string, held_out boolean, n_tokens long, known long, logs double, within double, classes binary,"
     " rare array<struct<word:binary,n:int>>"
@@ -149,9 +161,8 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, documents: int) ->
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at = TaskContext.get().partitionId() << 33
-        n_frequent = len(vocabulary.counts)
-        # entry k: a frequent word; entry n_frequent + class: any rare word of that class
-        code = {w: k for k, w in enumerate(vocabulary.counts)}
+        # entry k: a frequent word; the entries after them: any rare word of a class
+        code = _Codes(vocabulary)
         classes = np.array([vocabulary.class_of(w) for w in code] + list(range(vocabulary.classes)), dtype=np.int16)
         logs = np.concatenate([np.log10(np.array(list(vocabulary.counts.values()), dtype=float) + 1.0), np.zeros(vocabulary.classes)])
         totals = vocabulary.within()
@@ -163,13 +174,8 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, documents: int) ->
             rows = []
             for doc_id, out, text in zip(batch["doc_id"], batch["held_out"], batch["text"], strict=True):
                 words = tokens(text)
-                codes = [code.get(w, -1) for w in words]
-                rare: Counter = Counter()
-                for k, c in enumerate(codes):
-                    if c < 0:
-                        rare[words[k]] += 1
-                        codes[k] = n_frequent + vocabulary.class_of(words[k])
-                found = np.array(codes, dtype=np.int64)
+                code.rare = rare = Counter()
+                found = np.array(list(map(code.__getitem__, words)), dtype=np.int64)
                 kinds, values = classes[found], logs[found]
                 inside = shared[kinds]
                 rows.append(
@@ -200,29 +206,14 @@ def train(encoded: DataFrame, vocabulary: Vocabulary) -> LogBilinear:
 
         def local(batches: Iterator[pd.DataFrame], start=start, round_=round_) -> Iterator[pd.DataFrame]:
             trainer = Trainer(LogBilinear.unflat(start.copy(), n), unigram, seed=round_)
-            queue: list[np.ndarray] = []
-            waiting = 0
-
-            def learn(least: int) -> None:
-                nonlocal waiting
-                if waiting < least or not waiting:
-                    return
-                places = np.concatenate(queue, axis=1)
-                order = trainer.random.permutation(waiting)
-                for s in range(0, waiting, BATCH):
-                    trainer.step(*places[:, order[s : s + BATCH]])
-                queue.clear()
-                waiting = 0
-
             for batch in batches:
-                for held in batch["classes"]:
-                    classes = np.frombuffer(held, dtype="<i2").astype(np.int64)
-                    before, earlier = contexts(classes, n)
-                    part = np.stack([before, earlier, classes])[:, round_ % STRIDE :: STRIDE]
-                    queue.append(part)
-                    waiting += part.shape[1]
-                    learn(64 * BATCH)
-            learn(1)
+                classes, begins = joined(batch["classes"])
+                places = np.stack([*contexts(classes, begins, n), classes])
+                within = np.arange(len(classes)) - np.repeat(begins, np.diff(np.r_[begins, len(classes)]))
+                chosen = np.flatnonzero(within % STRIDE == round_ % STRIDE)
+                order = trainer.random.permutation(chosen)
+                for s in range(0, len(order), BATCH):
+                    trainer.step(*places[:, order[s : s + BATCH]])
             if trainer.seen:
                 flat = trainer.model.flat().astype(np.float64)
                 yield pd.DataFrame({"i": np.arange(len(flat)), "v": flat * trainer.seen, "w": np.full(len(flat), float(trainer.seen))})
@@ -241,12 +232,10 @@ def model_scores(model: LogBilinear, classes: int):
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         one, two, norm = model.tables()
         for batch in batches:
-            out = []
-            for held in batch:
-                kinds = np.frombuffer(held, dtype="<i2").astype(np.int64)
-                before, earlier = contexts(kinds, classes)
-                out.append(float((one[before, kinds] + two[earlier, kinds] - norm[before, earlier]).astype(np.float64).sum()) / math.log(10.0))
-            yield pd.Series(out, dtype=float)
+            kinds, begins = joined(batch)
+            before, earlier = contexts(kinds, begins, classes)
+            logs = (one[before, kinds] + two[earlier, kinds] - norm[before, earlier]).astype(np.float64)
+            yield pd.Series(np.add.reduceat(logs, begins) / math.log(10.0) if len(begins) else np.zeros(0))
 
     return F.pandas_udf(score, "double")
 

@@ -6,6 +6,7 @@ class's output vector plus a bias is the class's score, and scores are normalise
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,10 +50,22 @@ class LogBilinear:
         return one.astype(np.float32), two.astype(np.float32), norm.astype(np.float32)
 
 
-def contexts(classes: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
-    """The class before and the one before that, for each place of a text."""
-    padded = np.concatenate([[start, start], classes])
-    return padded[1:-1], padded[:-2]
+def joined(texts: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of several texts (16-bit numbers, none of them empty) one after the other, and where each begins."""
+    held = [bytes(t) for t in texts]
+    lengths = np.array([len(t) // 2 for t in held], dtype=np.int64)
+    return np.frombuffer(b"".join(held), dtype="<i2"), np.cumsum(lengths) - lengths
+
+
+def contexts(classes: np.ndarray, begins: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """The class before and the one before that, for each place of texts that begin at ``begins``."""
+    before, earlier = np.empty_like(classes), np.empty_like(classes)
+    before[1:], earlier[2:] = classes[:-1], classes[:-2]
+    before[begins], earlier[begins] = start, start
+    second = begins + 1
+    earlier[second[second < len(classes)]] = start  # a text of one place has no second, and the next text's first is set below
+    earlier[begins] = start
+    return before, earlier
 
 
 class Trainer:
@@ -67,15 +80,15 @@ class Trainer:
 
     def step(self, before: np.ndarray, earlier: np.ndarray, target: np.ndarray) -> None:
         m, n = self.model, len(target)
-        noise = np.minimum(np.searchsorted(self.cumulative, self.random.random(NOISE)), len(self.cumulative) - 1)
-        x1, x2 = m.inputs[before], m.inputs[earlier]
+        noise = np.minimum(np.searchsorted(self.cumulative, self.random.random(NOISE)), len(self.cumulative) - 1).astype(np.int16)
+        x1, x2, wanted = m.inputs.take(before, axis=0), m.inputs.take(earlier, axis=0), m.outputs.take(target, axis=0)
+        others = m.outputs.take(noise, axis=0)
         predicted = x1 * m.gates[0] + x2 * m.gates[1]
-        real = np.einsum("ij,ij->i", predicted, m.outputs[target]) + m.bias[target] - self.log_noise[target]
-        false = predicted @ m.outputs[noise].T + (m.bias - self.log_noise)[noise]
+        real = np.einsum("ij,ij->i", predicted, wanted) + m.bias[target] - self.log_noise[target]
+        false = predicted @ others.T + (m.bias - self.log_noise)[noise]
         # ascent directions of the log-likelihood of telling data from noise
-        up = 1 / (1 + np.exp(np.clip(real, -30, 30)))
-        down = -1 / (1 + np.exp(np.clip(-false, -30, 30)))
-        back = up[:, None] * m.outputs[target] + down @ m.outputs[noise]  # taken before the outputs move
+        up, down = _logistic(-real), -_logistic(false)
+        back = up[:, None] * wanted + down @ others
         self._climb(m.outputs, 1, n, *_summed(np.concatenate([target, noise]), np.concatenate([up[:, None] * predicted, down.T @ predicted])))
         self._climb(m.bias, 3, n, *_summed(np.concatenate([target, noise]), np.concatenate([up, down.sum(axis=0)])))
         self._climb(m.inputs, 0, n, *_summed(np.concatenate([before, earlier]), np.concatenate([back * m.gates[0], back * m.gates[1]])))
@@ -90,9 +103,18 @@ class Trainer:
         parameter[rows] += RATE * gradient / np.sqrt(squares)
 
 
+def _logistic(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        out = np.exp(-x)
+    out += 1
+    return np.reciprocal(out, out=out)
+
+
 def _summed(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct row numbers, and the sums of ``values`` by them."""
-    order = np.argsort(rows, kind="stable")
+    """The distinct row numbers, and the sums of ``values`` by them, as differences of running sums."""
+    order = np.argsort(rows, kind="stable")  # a radix sort for 16-bit numbers
     ordered = rows[order]
-    starts = np.r_[0, np.flatnonzero(np.diff(ordered)) + 1]
-    return ordered[starts], np.add.reduceat(values[order], starts, axis=0)
+    ends = np.flatnonzero(np.r_[ordered[1:] != ordered[:-1], True])
+    total = np.cumsum(values.take(order, axis=0), axis=0, dtype=np.float64)[ends]
+    total[1:] -= total[:-1].copy()
+    return ordered[ends], total.astype(np.float32)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from chronotape.llm import language_model
 from chronotape.llm.language_model import Vocabulary, score_language, tokens
-from chronotape.llm.log_bilinear import LogBilinear, Trainer, contexts
+from chronotape.llm.log_bilinear import LogBilinear, Trainer, contexts, joined
 from tests.llm.conftest import WORDS, sentence
 
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -39,15 +39,22 @@ def test_words_of_a_class_share_its_probability():
     assert v.class_of(b"a") == 2 and v.class_of(b"zing") == 3 and v.class_of(b"qq") == 1
 
 
+def test_contexts_stop_where_texts_begin():
+    classes, begins = joined([np.array(t, "<i2").tobytes() for t in ([5], [1, 2, 3], [4], [6, 7])])
+    before, earlier = contexts(classes, begins, 9)
+    assert classes.tolist() == [5, 1, 2, 3, 4, 6, 7]
+    assert before.tolist() == [9, 9, 1, 2, 9, 9, 6] and earlier.tolist() == [9, 9, 9, 1, 9, 9, 9]
+
+
 def test_training_learns_what_follows_what():
     random = np.random.default_rng(0)
-    sequence = np.zeros(60_000, dtype=np.int64)
+    sequence = np.zeros(60_000, dtype=np.int16)
     for k in range(1, len(sequence)):
         sequence[k] = (sequence[k - 1] + 1) % 8 if random.random() < 0.8 else random.integers(8)
     unigram = np.full(8, 1 / 8)
     model = LogBilinear.fresh(unigram)
     trainer = Trainer(model, unigram, 1)
-    before, earlier = contexts(sequence, 8)
+    before, earlier = contexts(sequence, np.array([0]), 8)
     for _ in range(8):
         for s in range(0, len(sequence), 1_024):
             trainer.step(before[s : s + 1_024], earlier[s : s + 1_024], sequence[s : s + 1_024])
