@@ -169,6 +169,8 @@ def _rest(members: DataFrame, keyed: DataFrame, nodes: DataFrame, idf: np.ndarra
     of ``REST_BLOCK``; each pair of blocks is one group, so groups are small whatever a bucket's size, and
     pairs of nodes are never rows.
     """
+    # a bucket of two holds only the pair with its hub, which has been judged
+    members = members.where("n > 2")
     outside = members.where(F.col("component") != F.col("hub_component"))
     counts = outside.groupBy("key").agg(F.count("*").alias("n_apart"))
     cut = {"blocks": F.ceil(F.col("n_apart") / BLOCK).cast("int"), "rest_blocks": F.ceil(F.col("n") / REST_BLOCK).cast("int")}
