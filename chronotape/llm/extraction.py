@@ -14,11 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronotape.llm.common import present, stored
-from chronotape.llm.html_blocks import best_container, outermost, read_page
+from chronotape.llm.html_blocks import article_blocks, best_container, outermost, read_page
 from chronotape.operators.sizing import broadcast_if_small
 
-#: A winning path must give at least this share of the text that the page's own best container has.
-AGREEMENT = 0.25
 #: Winners are broadcast up to this many hosts; beyond it, pages and winners meet in a shuffle.
 MAX_HOSTS = 200_000
 
@@ -54,12 +52,13 @@ def winning_paths(pages: DataFrame) -> DataFrame:
 
 
 def main_text(source: str, path: str | None) -> str:
+    """The text under ``path``, unless the page's own best container has article text besides."""
     page = read_page(source)
     best = best_container(page)
-    own = page.chars(best.start, best.end) if best is not None else 0
-    if path:
-        nodes = outermost(page, path)
-        if nodes and sum(page.chars(x.start, x.end) for x in nodes) >= AGREEMENT * own:
+    nodes = outermost(page, path) if path else []
+    if nodes:
+        held = {k for x in nodes for k in range(x.start, x.end)}
+        if held and held.issuperset(article_blocks(page)):
             return " ".join(t for x in nodes if (t := page.text(x.start, x.end)))
     return page.text(best.start, best.end) if best is not None else page.text(0, len(page.blocks))
 

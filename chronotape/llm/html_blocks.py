@@ -200,18 +200,27 @@ def read_page(source: str) -> Page:
     return page
 
 
-#: The share of a page's text outside links that its best container must hold.
-COVER = 0.7
+#: A block of this many characters outside links is article text; a shorter one if it ends as a sentence.
+LONG_BLOCK, SENTENCE = 80, 25
+_SENTENCE_END = re.compile(r"[.!?\u2026\u3002\uff01\uff1f\u0964\u061f][)\]\"'\u201d\u2019\u00bb]*$")
+
+
+def article_blocks(page: Page) -> list[int]:
+    """The numbers of the blocks that read as article text; where none does, of all with text outside links."""
+    found = [
+        k for k, (text, plain) in enumerate(zip(page.blocks, page.plain, strict=True))
+        if 2 * plain >= len(text) and (plain >= LONG_BLOCK or plain >= SENTENCE and _SENTENCE_END.search(text))
+    ]
+    return found or [k for k, plain in enumerate(page.plain) if plain]
 
 
 def best_container(page: Page) -> Node | None:
-    """The deepest container that holds most of the page's text; a single article or main element is preferred."""
-    total = page.chars(0, len(page.blocks))
-    covering = [x for x in page.nodes if total and page.chars(x.start, x.end) >= COVER * total]
-    if not covering:
+    """The deepest container that holds all article text of the page; article and main elements that do are preferred."""
+    wanted = article_blocks(page)
+    holding = [x for x in page.nodes if wanted and x.start <= wanted[0] and wanted[-1] < x.end]
+    if not holding:
         return None
-    semantic = [x for x in page.nodes if x.semantic and page.chars(x.start, x.end) >= 0.5 * total]
-    return max(semantic or covering, key=lambda x: (x.depth, -x.start))
+    return max([x for x in holding if x.semantic] or holding, key=lambda x: (x.depth, -x.start))
 
 
 def outermost(page: Page, path: str) -> list[Node]:

@@ -59,5 +59,23 @@ def test_hosts_vote(spark):
     assert got[60].text == got[62].text == "" and got[61].text == LONG and got[None].text == LONG
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (f"<div class=post><p>{LONG}</p><div class=body><p>{NEXT}</p><p>{LONG}</p><p>{NEXT}</p></div></div>", f"{LONG} {NEXT} {LONG} {NEXT}"),
+        (f"<body><section><p>{LONG}</p><p>{NEXT}</p><p>{LONG}</p></section><section><p>{NEXT}</p></section>", f"{LONG} {NEXT} {LONG} {NEXT}"),
+        (f"<div class=post><blockquote><p>{LONG}</p><p>{NEXT}</p><p>{LONG}</p></blockquote><p>{NEXT}</p></div>", f"{LONG} {NEXT} {LONG} {NEXT}"),
+        (f"<main><article><p>{LONG}</p><p>{LONG}</p></article><section><p>{NEXT}</p></section></main>", f"{LONG} {LONG} {NEXT}"),
+    ],
+)
+def test_all_article_text_is_held(html, text):
+    assert main_text(html, None) == text
+
+
+def test_a_hosts_path_may_not_cost_article_text():
+    html = f"<body><div class=a><p>{LONG}</p></div><div class=b><p>{NEXT}</p><p>{NEXT}</p></div>"
+    assert main_text(html, "body/div.a") == f"{LONG} {NEXT} {NEXT}"
+
+
 def test_empty(spark):
     assert extract_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
