@@ -31,6 +31,8 @@ DROPPED_WORDS = frozenset(
     " subscription signup login search searchbox pagination pager widget widgets toolbar copyright disclaimer hidden".split()
 )
 MAIN_WORDS = frozenset("article content post entry main story body text".split())
+#: What is read outside boilerplate is little if an element left out for its name holds more than this multiple of it.
+LITTLE = 10
 NOT_WORDS = frozenset("with has no without".split())
 
 _TAG = re.compile(
@@ -77,13 +79,25 @@ def name_words(attrs: dict[str, str]) -> list[list[str]]:
 
 
 def is_boilerplate(tag: str, attrs: dict[str, str], inside_main: bool) -> bool:
-    if tag in DROPPED:
+    return is_unseen(tag, attrs) or is_named_boilerplate(tag, attrs, inside_main)
+
+
+def is_unseen(tag: str, attrs: dict[str, str]) -> bool:
+    """Whether the element's tag, role or style says that it is no part of the text, whatever it holds."""
+    if tag in DROPPED - {"form"}:
         return True
     if tag in ("html", "body", "main", "article"):
         return False
     if attrs.get("role", "").lower() in DROPPED_ROLES or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true":
         return True
-    if "display:none" in attrs.get("style", "").replace(" ", "").lower():
+    return "display:none" in attrs.get("style", "").replace(" ", "").lower()
+
+
+def is_named_boilerplate(tag: str, attrs: dict[str, str], inside_main: bool) -> bool:
+    """Whether the element is a form or header or named like boilerplate; wrappers of whole pages are, too."""
+    if tag in ("html", "body", "main", "article"):
+        return False
+    if tag == "form":
         return True
     header = tag == "header"
     for words in name_words(attrs):
@@ -100,11 +114,64 @@ def generalised(tag: str, attrs: dict[str, str]) -> str:
     return f"{tag}.{re.sub(r'[0-9]+', '0', names[0].lower())}" if names else tag
 
 
+@dataclass
+class Doubtful:
+    """An element left out for its name: where it begins, the one around it, and what it holds besides further ones."""
+
+    at: int
+    around: Doubtful | None
+    chars: int = 0
+    headed: bool = False
+
+
 def read_page(source: str) -> Page:
-    """Blocks and containers of the page outside its boilerplate."""
+    """Blocks and containers of the page outside its boilerplate.
+
+    The page is read again without the rules on names for elements that turn out to wrap its main text.
+    """
+    lifted: frozenset[int] = frozenset()
+    while True:
+        page, doubtful = _read(source, lifted)
+        more = _wrappers(page, doubtful)
+        if not more:
+            return page
+        lifted |= more
+
+
+def _wrappers(page: Page, doubtful: list[Doubtful]) -> frozenset[int]:
+    """Where elements begin that were left out for their names but hold the main text.
+
+    They hold at least as much text as was read, and an article, a main element or a first heading; where
+    none does and what was read is little, the smallest with most of the text left out.
+    """
+    chars, headed = [x.chars for x in doubtful], [x.headed for x in doubtful]
+    place = {id(x): k for k, x in enumerate(doubtful)}
+    for k in range(len(doubtful) - 1, -1, -1):  # inner elements follow outer ones
+        if (around := doubtful[k].around) is not None:
+            chars[place[id(around)]] += chars[k]
+            headed[place[id(around)]] |= headed[k]
+    read = page.chars(0, len(page.blocks))
+    chosen = [k for k in range(len(doubtful)) if headed[k] and chars[k] and chars[k] >= read]
+    if not chosen:
+        total = sum(x.chars for x in doubtful)
+        most = [k for k in range(len(doubtful)) if 2 * chars[k] > total and chars[k] > LITTLE * read]
+        chosen = most[-1:]
+    found: set[int] = set()
+    for k in chosen:
+        x: Doubtful | None = doubtful[k]
+        while x is not None:
+            found.add(x.at)
+            x = x.around
+    return frozenset(found)
+
+
+def _read(source: str, lifted: frozenset[int]) -> tuple[Page, list[Doubtful]]:
     page = Page()
-    # open elements: tag, container (or None), whether boilerplate starts here
-    stack: list[tuple[str, Node | None, bool]] = []
+    doubtful: list[Doubtful] = []
+    # open elements left out for their names, innermost last
+    doubts: list[Doubtful] = []
+    # open elements: tag, container (or None), whether boilerplate starts here, and whether for its name only
+    stack: list[tuple[str, Node | None, bool, bool]] = []
     path: list[str] = []
     pieces: list[str] = []
     state = {"dropped": 0, "links": 0, "main": 0, "linked": 0}
@@ -118,13 +185,15 @@ def read_page(source: str) -> Page:
         state["linked"] = 0
 
     def pop() -> None:
-        tag, node, dropped = stack.pop()
+        tag, node, dropped, named = stack.pop()
         if tag in BLOCK:
             flush()
         if node is not None:
             node.end = len(page.blocks)
             path.pop()
         state["dropped"] -= dropped
+        if named:
+            doubts.pop()
         state["links"] -= tag == "a"
         state["main"] -= tag in ("main", "article")
 
@@ -142,6 +211,8 @@ def read_page(source: str) -> Page:
             pieces.append(text)
             if state["links"]:
                 state["linked"] += len(text)
+        elif doubts and not state["links"] and state["dropped"] == len(doubts):
+            doubts[-1].chars += len(text.strip())
 
     at, n = 0, len(source)
     while at < n:
@@ -155,7 +226,7 @@ def read_page(source: str) -> Page:
         if not tag:
             continue
         if found[1] or found[4]:
-            if any(t == tag for t, _, _ in stack):
+            if any(x[0] == tag for x in stack):
                 close_through(tag, frozenset())
             elif tag in BLOCK and not state["dropped"]:
                 flush()
@@ -181,7 +252,11 @@ def read_page(source: str) -> Page:
             at = end.end() if end else n
             continue
         attrs = attributes(raw)
-        dropped = is_boilerplate(tag, attrs, state["main"] > 0)
+        unseen = is_unseen(tag, attrs)
+        named = not unseen and found.start() not in lifted and is_named_boilerplate(tag, attrs, state["main"] > 0)
+        dropped = unseen or named
+        if doubts and tag in ("article", "main", "h1") and state["dropped"] == len(doubts):
+            doubts[-1].headed |= not any(DROPPED_WORDS.intersection(words) for words in name_words(attrs))
         if tag in BLOCK:
             if not state["dropped"]:
                 flush()
@@ -190,14 +265,17 @@ def read_page(source: str) -> Page:
             path.append(generalised(tag, attrs))
             node = Node("/".join(path), len(path), len(page.blocks), semantic=tag in ("article", "main") or attrs.get("role") == "main")
             page.nodes.append(node)
-        stack.append((tag, node, dropped))
+        stack.append((tag, node, dropped, named))
+        if named:
+            doubts.append(Doubtful(found.start(), doubts[-1] if doubts else None))
+            doubtful.append(doubts[-1])
         state["dropped"] += dropped
         state["links"] += tag == "a"
         state["main"] += tag in ("main", "article")
     while stack:
         pop()
     flush()
-    return page
+    return page, doubtful
 
 
 #: A block of this many characters outside links is article text; a shorter one if it ends as a sentence.

@@ -72,6 +72,30 @@ def test_all_article_text_is_held(html, text):
     assert main_text(html, None) == text
 
 
+ARTICLE = f"<article><h1>Title</h1><p>{LONG}</p><p>{NEXT}</p></article>"
+SIDE = "<div class='sidebar'><p>Read this too.</p></div>"
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f"<body><div class='content-sidebar-wrap'>{ARTICLE}{SIDE}</div>",
+        f"<body><p>Hello</p><div class='layout sidebar-right'><div id='search-results-article'>{ARTICLE}</div>{SIDE}</div>",
+        f"<body><form id='aspnetForm'><nav>Home</nav>{ARTICLE}<div class='comments'><article class='comment'><p>{LONG}</p></article></div></form>",
+        f"<body><form><div class='page-overlay'><p>Title</p><p>{LONG}</p><p>{NEXT}</p></div></form>",
+        f"<body><x-app class='has-widget widget-area'>{ARTICLE}</x-app>",
+    ],
+)
+def test_wrappers_named_like_boilerplate_keep_their_article(html):
+    assert main_text(html, None) == f"Title {LONG} {NEXT}"
+
+
+def test_boilerplate_stays_out_where_a_text_is_read():
+    comments = f"<div class='comments'><article class='comment'><p>{LONG}</p></article><p>{LONG}</p><p>{LONG}</p></div>"
+    assert main_text(f"<body><div class='post'><p>{NEXT}</p></div>{comments}{SIDE}", None) == NEXT
+    assert main_text(f"<body><div class='sidebar-wrap'>{ARTICLE}{comments}</div>", None) == f"Title {LONG} {NEXT}"
+
+
 def test_a_hosts_path_may_not_cost_article_text():
     html = f"<body><div class=a><p>{LONG}</p></div><div class=b><p>{NEXT}</p><p>{NEXT}</p></div>"
     assert main_text(html, "body/div.a") == f"{LONG} {NEXT} {NEXT}"
