@@ -21,7 +21,7 @@ from pyspark.sql.window import Window as W
 from chronotape.llm.common import WORD, present, stored
 from chronotape.operators.sizing import broadcast_if_small
 
-#: The stratum of languages with too few labelled good documents for cutoffs of their own.
+#: The stratum of the labelled documents of all languages, for languages with too few for cutoffs of their own.
 POOLED = "*"
 #: Each rule's rate and its grid of cutoffs, from loose to strict: start, end, ratio of neighbours.
 RULES: dict[str, tuple[str, float, float]] = {
@@ -38,7 +38,8 @@ STEPS = 40
 @dataclass(frozen=True)
 class RiskLimit:
     """A rule rejects at most ``alpha`` of a stratum's good documents, in all strata and rules together
-    with probability ``1 - delta``. Strata with fewer than ``own`` labelled good documents are pooled."""
+    with probability ``1 - delta``. Languages with fewer than ``own`` labelled good documents use the
+    stratum of all languages."""
 
     alpha: float = 0.02
     delta: float = 0.05
@@ -120,8 +121,9 @@ def _level(rule: str) -> Column:
 
 
 def fit_cutoffs(measured: DataFrame, labels: DataFrame, limit: RiskLimit = RiskLimit()) -> DataFrame:
-    """One row per stratum: ``stratum`` and ``cut_<rule>`` (null where no cutoff is certified).
+    """One row per labelled language: lang, its ``stratum`` and ``cut_<rule>`` (null where no cutoff is certified).
 
+    Every row also has the cutoffs of all languages together, ``rest_cut_<rule>``, for languages without labels.
     ``measured`` has doc_id, lang and :data:`MEASURES`; ``labels`` has doc_id and quality (1 good, 0 bad).
     Repeated labels of a document count once, contradictory ones not at all. Documents that fail the
     base rules are no evidence about the others and are left out.
@@ -136,7 +138,9 @@ def fit_cutoffs(measured: DataFrame, labels: DataFrame, limit: RiskLimit = RiskL
 
     sizes = cells.where(F.col("rule") == next(iter(RULES))).groupBy("lang").agg(F.sum("n_good").alias("n"))
     strata = sizes.select("lang", F.when(F.col("n") >= limit.own, F.col("lang")).otherwise(F.lit(POOLED)).alias("stratum"))
-    pooled = cells.join(strata, "lang").groupBy("stratum", "rule", "level").agg(F.sum("n_good").alias("n_good"), F.sum("n_bad").alias("n_bad"))
+    named = strata.where(F.col("stratum") != POOLED)
+    pooled = cells.join(named, "lang").drop("lang").unionByName(cells.drop("lang").withColumn("stratum", F.lit(POOLED)))
+    pooled = pooled.groupBy("stratum", "rule", "level").agg(F.sum("n_good").alias("n_good"), F.sum("n_bad").alias("n_bad"))
 
     # a document of level v is rejected by the v strictest cutoffs, that is by steps STEPS - v and above
     steps = F.sequence(F.lit(0), F.lit(STEPS - 1))
@@ -160,7 +164,8 @@ def fit_cutoffs(measured: DataFrame, labels: DataFrame, limit: RiskLimit = RiskL
     names = F.create_map(*[x for r in RULES for x in (F.lit(r), F.array(*[F.lit(cutoff(r, s)) for s in range(STEPS)]))])
     cuts = chosen.select("stratum", "rule", F.get(names[F.col("rule")], F.col("best.step")).alias("cut"))
     wide = cuts.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == r, F.col("cut"))).alias(f"cut_{r}") for r in RULES])
-    return stored(strata.join(wide, "stratum", "left"), "quality-cutoffs")
+    rest = wide.where(F.col("stratum") == POOLED).select(*[F.col(f"cut_{r}").alias(f"rest_cut_{r}") for r in RULES])
+    return stored(strata.join(wide, "stratum", "left").join(F.broadcast(rest), F.lit(True), "left"), "quality-cutoffs")
 
 
 def _allowed(pooled: DataFrame, limit: RiskLimit) -> DataFrame:
@@ -187,11 +192,11 @@ def _allowed(pooled: DataFrame, limit: RiskLimit) -> DataFrame:
 def apply_rules(measured: DataFrame, cutoffs: DataFrame) -> DataFrame:
     """Add ``kept``: false for a base failure or where a certified cutoff of the document's stratum is exceeded.
 
-    ``measured`` needs lang and :data:`MEASURES`. A language without labels uses the pooled cutoffs.
+    ``measured`` needs lang and :data:`MEASURES`. A language without labels uses the cutoffs of all languages together.
     """
     cuts = [f"cut_{r}" for r in RULES]
     renamed = cutoffs.select(F.col("lang").alias("__lang"), *[F.col(c).alias(f"__{c}") for c in cuts])
-    rest = cutoffs.where(F.col("stratum") == POOLED).limit(1).select(*[F.col(c).alias(f"__rest_{c}") for c in cuts])  # every row of the stratum is equal
+    rest = cutoffs.limit(1).select(*[F.col(f"rest_{c}").alias(f"__rest_{c}") for c in cuts])  # equal in every row
     one = cutoffs.sparkSession.range(1).join(rest, F.lit(True), "left").drop("id")
     joined = measured.join(broadcast_if_small(renamed, 10_000), present(F.col("lang")) == F.col("__lang"), "left").join(F.broadcast(one))
     known = F.col("__lang").isNotNull()

@@ -80,6 +80,22 @@ def test_cutoffs_reject_few_labelled_good_documents(corpus):
     assert cuts[0]["cut_symbols"] is not None or cuts[0]["cut_marks"] is not None
 
 
+def test_other_languages_are_judged_by_the_labels_of_all(corpus, spark):
+    docs, labels = corpus
+    more = docs.withColumn("doc_id", F.col("doc_id") + 10_000)
+    all_labels = labels.unionAll(labels.select(F.col("doc_id") + 10_000, "quality", "toxic")).unionAll(
+        spark.createDataFrame([(30_000 + k, 1, 0) for k in range(20)], labels.schema)
+    )
+    few = docs.where("doc_id < 20").withColumns({"doc_id": F.col("doc_id") + 30_000, "lang": F.lit("few")})
+    none = docs.withColumns({"doc_id": F.col("doc_id") + 50_000, "lang": F.lit(None).cast("string")})
+    junk = docs.where("doc_id >= 1000").withColumns({"doc_id": F.col("doc_id") + 70_000, "lang": F.lit("few")})
+    every = docs.unionByName(more).unionByName(few).unionByName(none).unionByName(junk)
+    verdict = {r.doc_id: r.kept for r in judge_quality(every, all_labels).select("doc_id", "kept").collect()}
+    assert not any(v for k, v in verdict.items() if 51_000 <= k < 53_000 or 71_000 <= k < 73_000)
+    assert all(verdict[30_000 + k] for k in range(20)) and sum(verdict[50_000 + k] for k in range(500)) >= 499
+    assert not any(verdict[k] for k in range(1_000, 1_060)) and not any(verdict[k] for k in range(12_000, 12_060))
+
+
 def test_contradictory_and_repeated_labels(corpus, spark):
     docs, labels = corpus
     twisted = labels.unionAll(labels).unionAll(spark.createDataFrame([(1, 0, 0), (None, None, None)], labels.schema))
