@@ -1,11 +1,12 @@
+import math
 from collections import Counter
 
 import numpy as np
 import pytest
 
 from chronotape.llm.components import components
-from chronotape.llm.near_duplicates import THRESHOLD, near_duplicates, one_of_each
-from chronotape.llm.weighted_sets import FREQUENCY_BITS, SAMPLES, ConsistentSampler, Shingler, buckets, inverse_frequencies, similarity, weights
+from chronotape.llm.near_duplicates import POSSIBLE, THRESHOLD, near_duplicates, one_of_each
+from chronotape.llm.weighted_sets import BANDS, FREQUENCY_BITS, ROWS, SAMPLES, ConsistentSampler, Shingler, buckets, inverse_frequencies, similarity, weights
 from tests.llm.conftest import sentence
 
 
@@ -64,6 +65,31 @@ def test_classes_equal_those_of_all_pairs(clashing, rows):
     assert sorted(r.doc_id for r in got if r.kept) == sorted(set(want.values()))
 
 
+def test_a_pair_of_few_equal_samples_is_verified(make_documents):
+    sampler, shingler = ConsistentSampler(), Shingler()
+    for k in range(4_000):
+        pair = [sentence(k, 67), edited(sentence(k, 67), 68, 30)]
+        sets = [shingler(t) for t in pair]
+        table = np.zeros(1 << FREQUENCY_BITS)
+        for s, _ in sets:
+            table[np.unique(buckets(s))] += 1
+        weighted = [(s, weights(s, n, inverse_frequencies(table, 2))) for s, n in sets]
+        if similarity(*weighted) >= THRESHOLD:
+            one, two = (sampler.samples(*w) for w in weighted)
+            if (sampler.bands(one) == sampler.bands(two)).any() and (one == two).sum() <= 43:
+                break
+    else:
+        raise AssertionError("no such pair")
+    got = near_duplicates(make_documents([(1, pair[0]), (2, pair[1])])).collect()
+    assert [r.class_id for r in got] == [1, 1]
+
+
+def test_the_second_round_loses_less_than_the_bands():
+    least = round(POSSIBLE * SAMPLES)
+    lost = sum(math.comb(SAMPLES, k) * THRESHOLD**k * (1 - THRESHOLD) ** (SAMPLES - k) for k in range(least))
+    assert lost < (1 - THRESHOLD**ROWS) ** BANDS
+
+
 def test_one_document_of_each_class_stays(clashing, rows):
     docs = clashing([*rows, rows[0], rows[0], (None, "no id here at all"), (None, "no id here at all")])
     out = one_of_each(docs)
