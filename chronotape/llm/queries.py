@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronotape.llm import oracles
 from chronotape.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +101,25 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronotape.llm.spelling import spelling_variants
+
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled documents are no pages, so the URLs that the host rules decide are the labels to learn from."""
+    from chronotape.llm.url_rules import judge_urls
+
+    return judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op13_pivot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronotape.llm.pivot_clusters import cluster_vectors
+
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_toxicity": op2_toxicity,
@@ -111,20 +131,13 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_url_filters": op12_url_filters,
+    "op13_pivot_clusters": op13_pivot_clusters,
 }
 ORACLES: dict[str, str] = {
-    "op9_exact_top_k": """
-WITH whole AS (
-    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
-    FROM embeddings
-    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-), scored AS (
-    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
-    FROM whole q JOIN whole c ON q.vec_id <> c.vec_id
-    WHERE q.vec_id % 50 = 0
-), ranked AS (
-    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
-)
-SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
-""",
+    "op9_exact_top_k": oracles.TOP_K,
+    "op11_spelling_variants": oracles.SPELLING,
+    "op12_url_filters": oracles.URLS,
+    "op13_pivot_clusters": oracles.CLUSTERS,
 }
