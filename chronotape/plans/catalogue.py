@@ -32,5 +32,6 @@ def load_all() -> None:
         audit_queries,
         market_queries,
         storage_queries,
+        stream_queries,
         temporal_queries,
     )

@@ -154,6 +154,19 @@ CALENDAR_SQL = f"""calendar AS (
     FROM (SELECT DISTINCT CAST(ts AS DATE) AS session_date FROM events))"""
 
 
+UNEVEN_STEP = 17 * vocab.NS_PER_MINUTE
+
+
+def uneven_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same days with opens that differ from day to day, so windows of two days never line up."""
+    later = F.pmod(F.unix_date("session_date"), F.lit(3)).cast("bigint") * UNEVEN_STEP
+    return calendar(spark, sf_dir).withColumn("regular_open_ns", F.col("regular_open_ns") + later)
+
+
+UNEVEN_SQL = f"""{CALENDAR_SQL}, uneven AS (
+    SELECT * REPLACE (regular_open_ns + (CAST(session_date AS DATE) - DATE '1970-01-01') % 3 * {UNEVEN_STEP} AS regular_open_ns) FROM calendar)"""
+
+
 def known_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ticks with a knowledge time one minute per share after the event."""
     return ticks(spark, sf_dir).withColumn(

@@ -9,7 +9,18 @@ from pyspark.sql import functions as F
 from chronotape.operators import bars
 from chronotape.operators.history import as_known
 from chronotape.sources import ndjson
-from chronotape.streaming import dedupe_order_event_stream, raw_print_stream, split_late_rows, stream_bars, write_stream
+from chronotape.streaming import (
+    dedupe_order_event_stream,
+    latest_versions,
+    provisional_bars,
+    raw_print_stream,
+    session_stream_bars,
+    split_late_rows,
+    stream_bars,
+    write_stream,
+    write_versions,
+)
+from chronotape.streaming.provisional import PROVISIONAL
 from tests.test_operators import PRINTS, prints
 
 MS = 1_000_000
@@ -93,3 +104,82 @@ def test_raw_stream_parses_and_stamps_receipt(spark, tmp_path):
     rows = spark.read.schema(kept.schema).parquet(str(tmp_path / "out")).collect()
     assert sorted(str(r.defect) for r in rows) == ["None", "not a JSON object"]
     assert all(r.receive_time > 1_700_000_000 * 10**9 for r in rows)
+
+
+HOUR, DAY, MINUTE = 3_600 * 10**9, 86_400 * 10**9, 60 * 10**9
+#: An early open, a late one, and a session over midnight.
+SESSIONS = [(9 * HOUR, 12 * HOUR), (DAY + 9 * HOUR + 20 * MINUTE, DAY + 11 * HOUR), (2 * DAY + 22 * HOUR + 5 * MINUTE, 3 * DAY + 2 * HOUR), (8 * DAY, 8 * DAY)]
+
+
+def calendar(spark):
+    return spark.createDataFrame(SESSIONS, "regular_open_ns bigint, regular_close_ns bigint")
+
+
+def session_rows():
+    """Prints in and out of sessions, on their edges, some ineligible, in no order within a day."""
+    rows = [(i % 4, (i * 1_037 % 5_000) * MINUTE + i, i, 100 + i * 7 % 13, 1 + i % 4, ["T" if i % 9 == 0 else "@"]) for i in range(2_000)]
+    edges = [at for pair in SESSIONS for at in (pair[0] - 1, pair[0], pair[1] - 1, pair[1])]
+    return rows + [(7, at, 9_000 + k, 50, 2, ["@"]) for k, at in enumerate(edges)]
+
+
+def batch_bars(spark, rows, window, lag):
+    anchored = prints(spark, rows).join(F.broadcast(calendar(spark)), F.expr("event_time >= regular_open_ns AND event_time < regular_close_ns"))
+    return bars.build_bars(anchored, window_ns=window, origin_ns="regular_open_ns", as_of=0, knowledge_lag_ns=lag)
+
+
+def test_session_windows_start_at_each_open(spark, tmp_path):
+    window, lag, rows = 30 * MINUTE, MS, session_rows()
+    prints(spark, rows).write.parquet(str(tmp_path / "in"))
+    stream = session_stream_bars(spark.readStream.schema(PRINTS).parquet(str(tmp_path / "in")), calendar(spark), window_ns=window, lag_ns=lag)
+    drain(write_stream(stream, str(tmp_path / "out"), str(tmp_path / "state")))
+    got = spark.read.schema(stream.schema).parquet(str(tmp_path / "out"))
+    want = batch_bars(spark, rows, window, lag)
+    newest = want.agg(F.max("event_time")).first()[0] + window
+    closed = want.where(F.col("event_time") + 2 * window + lag <= newest).withColumn("is_complete", F.lit(True)).select(*got.columns)
+    assert 0 < closed.count() < want.count()
+    assert got.exceptAll(closed).isEmpty() and closed.exceptAll(got).isEmpty()
+    opens = {(r.event_time - SESSIONS[2][0]) % window for r in got.where(F.col("event_time") >= 2 * DAY + 12 * HOUR).collect()}
+    assert opens == {0}
+
+
+def test_provisional_bars_end_as_the_batch_bars(spark, tmp_path):
+    window, lag, rows = HOUR, MS, session_rows()
+    cuts = [-1, 9 * HOUR + 20 * MINUTE, 9 * HOUR + 40 * MINUTE, DAY + 10 * HOUR, 9 * DAY]  # twice inside one window
+    for low, high in zip(cuts, cuts[1:], strict=False):
+        prints(spark, [r for r in rows if low <= r[1] < high]).coalesce(2).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = provisional_bars(spark.readStream.schema(PRINTS).parquet(str(tmp_path / "in")), calendar(spark), window_ns=window, lag_ns=lag)
+        drain(write_versions(stream, str(tmp_path / "out"), str(tmp_path / "state")))
+    versions = spark.read.schema(f"{PROVISIONAL}, batch bigint").parquet(str(tmp_path / "out"))
+    want = batch_bars(spark, rows, window, lag)
+    newest = want.agg(F.max("event_time")).first()[0] + window
+    want = want.withColumn("is_complete", F.col("event_time") + 2 * window + lag <= newest)
+    got = latest_versions(versions)
+    want = want.select(*got.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert {r.is_complete for r in got.collect()} == {True, False}
+    # a window is complete once at most, and nothing follows its complete version
+    per = versions.groupBy("instrument_id", "event_time").agg(
+        F.count_if("is_complete").alias("ends"), F.max("batch").alias("last"), F.max(F.when(F.col("is_complete"), F.col("batch"))).alias("ended"), F.count("*").alias("n")
+    ).collect()
+    assert max(r.ends for r in per) == 1 and all(r.ended == r.last for r in per if r.ends) and max(r.n for r in per) >= 3
+
+
+def test_a_print_of_a_closed_window_changes_nothing(spark, tmp_path):
+    window, at = 30 * MINUTE, SESSIONS[0][0]
+
+    def land(rows):
+        prints(spark, rows).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = provisional_bars(spark.readStream.schema(PRINTS).parquet(str(tmp_path / "in")), calendar(spark), window_ns=window, lag_ns=MS)
+        drain(write_versions(stream, str(tmp_path / "out"), str(tmp_path / "state")))
+        return latest_versions(spark.read.schema(f"{PROVISIONAL}, batch bigint").parquet(str(tmp_path / "out"))).orderBy("event_time").collect()
+
+    first = land([(1, at, 1, 10, 1, ["@"]), (1, at + 3 * window, 2, 20, 0, ["@"])])
+    assert [(r.close_nano, r.is_complete, r.vwap_nano) for r in first] == [(10, True, 10), (20, False, None)]
+    assert land([(1, at + 5, 3, 99, 1, ["@"]), (1, at + 3 * window + 1, 4, 30, 2, ["@"])])[0] == first[0]
+
+
+def test_a_feed_without_prints_has_no_versions(spark, tmp_path):
+    prints(spark, []).write.parquet(str(tmp_path / "in"))
+    stream = provisional_bars(spark.readStream.schema(PRINTS).parquet(str(tmp_path / "in")), calendar(spark), window_ns=HOUR, lag_ns=MS)
+    drain(write_versions(stream, str(tmp_path / "out"), str(tmp_path / "state")))
+    assert not (tmp_path / "out").exists() or spark.read.schema(f"{PROVISIONAL}, batch bigint").parquet(str(tmp_path / "out")).isEmpty()
