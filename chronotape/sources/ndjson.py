@@ -14,6 +14,7 @@ from chronotape.functions.instants import ns_from_rfc3339
 from chronotape.operators.scan import written_copy
 from chronotape.operators.sizing import broadcast_if_small
 from chronotape.sources.files import Folder
+from chronotape.sources.ranges import byte_ranges, listed, numbered_lines
 
 RAW_SUFFIX = ".ndjson"
 EXACT_DOLLARS = "decimal(38,18)"  # one digit past nano is kept, so sub-nano input is seen, not rounded
@@ -65,19 +66,16 @@ def partition_files(spark: SparkSession, directory: str, suffix: str = RAW_SUFFI
     return names
 
 
-def read_lines(spark: SparkSession, directory: str, suffix: str = RAW_SUFFIX) -> DataFrame:
-    """Non-blank raw lines with file, split and within-task position; no shuffle."""
+def _ranges(spark: SparkSession, directory: str, suffix: str) -> DataFrame:
+    """The raw files as byte ranges of the session's split size, which is read once, now."""
     partition_files(spark, directory, suffix)
-    return (
-        spark.read.option("pathGlobFilter", f"*{suffix}").text(directory)
-        .select(
-            "value",
-            F.col("_metadata.file_path").alias("raw_file"),
-            F.col("_metadata.file_block_start").alias("raw_block"),
-        )
-        .where(F.col("value").rlike(r"\S"))
-        .withColumn("raw_mark", F.monotonically_increasing_id())
-    )
+    size = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return byte_ranges(listed(spark, [directory], f"*{suffix}"), int(size))
+
+
+def read_lines(spark: SparkSession, directory: str, suffix: str = RAW_SUFFIX) -> DataFrame:
+    """Non-blank raw lines with file, byte range and number within the range."""
+    return numbered_lines(_ranges(spark, directory, suffix))
 
 
 def _number_token(key: str) -> Column:
@@ -177,27 +175,22 @@ def _defects(w: WireField) -> list[Column]:
     return found
 
 
-def with_ingest_index(records: DataFrame, marks: DataFrame | None = None) -> DataFrame:
+def with_ingest_index(records: DataFrame, counts: DataFrame) -> DataFrame:
     """``ingest_index``: 0-based position over the concatenation of files in name order.
 
-    Marks of one split follow each other, so a row's place in its split is its mark less the split's
-    first; where a split starts comes from a running sum over the splits' row counts, one narrow row
-    each. That table is stored once and joined; records are neither sorted nor shuffled. It has to see
-    the same packing of splits into tasks as the records do, which holds for one session reading one
-    folder: a split whose marks lie in another task, or that is not counted, fails rather than guesses.
-    ``marks`` may be a narrower DataFrame with the same lines to count from.
+    A row knows its byte range and its number among that range's lines. Where a range starts comes from
+    a running sum over ``counts`` (raw_file, raw_block, lines), one narrow row per range. That table is
+    stored once and joined; records are neither sorted nor shuffled. Ranges are a grid of byte offsets, so
+    neither the packing of files into tasks nor the order of lines in the plan matters; a range that is
+    not counted fails rather than guesses.
     """
     name = F.element_at(F.split("raw_file", "/"), -1)
-    counted = (marks if marks is not None else records).groupBy("raw_file", "raw_block").agg(
-        F.count("*").alias("__rows"), F.min("raw_mark").alias("__first")
-    )
     before = Window.orderBy(name, "raw_file", "raw_block").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counted.select("raw_file", "raw_block", "__first", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__base"))
-    placed = records.join(broadcast_if_small(written_copy(bases, "split-bases")), ["raw_file", "raw_block"], "left")
-    sound = F.shiftright("raw_mark", 33) == F.shiftright("__first", 33)
-    astray = F.raise_error(F.concat(F.lit("no base for a split of "), F.col("raw_file"))).cast("bigint")
-    index = F.when(sound, F.col("__base") + F.col("raw_mark") - F.col("__first")).otherwise(astray)
-    return placed.withColumn("ingest_index", index.cast("bigint")).drop("__base", "__first")
+    bases = counts.select("raw_file", "raw_block", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("__base"))
+    placed = records.join(broadcast_if_small(written_copy(bases, "range-bases")), ["raw_file", "raw_block"], "left")
+    astray = F.raise_error(F.concat(F.lit("no base for a range of "), F.col("raw_file"))).cast("bigint")
+    index = F.coalesce(F.col("__base") + F.col("raw_line"), astray)
+    return placed.withColumn("ingest_index", index.cast("bigint")).drop("__base", "raw_line")
 
 
 def _require_defect_free(df: DataFrame) -> DataFrame:
@@ -223,10 +216,10 @@ def read_raw(
     """
     if on_defect not in ("raise", "keep"):
         raise ValueError(f"on_defect must be raise or keep, got {on_defect!r}")
-    lines = read_lines(spark, directory, suffix)
-    records = with_ingest_index(parse(lines, wire), lines)
+    ranges = _ranges(spark, directory, suffix)
+    records = with_ingest_index(parse(numbered_lines(ranges), wire), numbered_lines(ranges, count_only=True))
     if on_defect == "raise":
-        return _require_defect_free(records).drop("value", "defect", "raw_mark", "raw_file", "raw_block")
+        return _require_defect_free(records).drop("value", "defect", "raw_file", "raw_block")
     return records
 
 
@@ -243,7 +236,7 @@ def read_quotes(
 
 
 def accepted(records: DataFrame) -> DataFrame:
-    return records.where("defect IS NULL").drop("value", "defect", "raw_mark", "raw_file", "raw_block")
+    return records.where("defect IS NULL").drop("value", "defect", "raw_file", "raw_block")
 
 
 def quarantine(records: DataFrame) -> DataFrame:
