@@ -65,7 +65,7 @@ def op5_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
         "VALUES ('lookup', 'query', 'string', true), ('lookup', 'limit', 'integer', false), ('lookup', 'context', 'object', false),"
         " ('write', 'prompt', 'string', true), ('write', 'words', 'integer', false), ('write', 'context', 'object', false) AS t(name, param, type, required)"
     )
-    return link_tool_calls(messages.where("role NOT IN ('user', 'assistant')"), calls, results, schemas)
+    return link_tool_calls(messages.where("coalesce(role NOT IN ('user', 'assistant'), true)"), calls, results, schemas)
 
 
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,20 +10,26 @@ from __future__ import annotations
 
 import base64
 import functools
+import json
+import os
 import re
 
 import numpy as np
 
 #: Chunks one worker remembers, and the longest chunk worth remembering, in characters.
-MEMORY, LONGEST = 300_000, 64
+MEMORY, LONGEST = 100_000, 64
 _RUN = re.compile(r"\s\s")
 _LONE = re.compile(r"(?<=\S) (?=\S)")
 
 
 class Encoder:
-    """Little-endian unsigned 32-bit ids. ``ranks`` is the path of a vocabulary in rank form."""
+    """Little-endian unsigned 32-bit ids. ``ranks`` is the path of a vocabulary in rank form.
 
-    def __init__(self, ranks: str) -> None:
+    ``added`` gives the ids of tokens that stand for themselves wherever a text holds them, as the
+    vocabulary's own file declares; the text between them is encoded by itself.
+    """
+
+    def __init__(self, ranks: str, added: dict[str, int]) -> None:
         import public_tokenizers
         import tiktoken
 
@@ -31,12 +37,21 @@ class Encoder:
             table = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self._encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
         self._known: dict[str, bytes] = {}
+        self._added = {token: np.asarray([i], dtype="<u4").tobytes() for token, i in added.items()}
+        longest_first = sorted(added, key=len, reverse=True)
+        self._marks = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if added else None
 
     def _encode(self, text: str) -> bytes:
         return np.asarray(self._encoding.encode_ordinary(text), dtype="<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
-        """The ids of a text; strings of special tokens count as ordinary text."""
+        """The ids of a text, added tokens included."""
+        if not any(token in text for token in self._added):
+            return self._plain(text)
+        parts = self._marks.split(text)
+        return b"".join(self._added.get(part) or self._plain(part) for part in parts if part)
+
+    def _plain(self, text: str) -> bytes:
         chunks = _LONE.split(text) if _RUN.search(text) else text.split(" ")
         known, out = self._known, [self._encode(chunks[0])]
         for chunk in chunks[1:]:
@@ -49,7 +64,12 @@ class Encoder:
         return b"".join(out)
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def encoder(ranks: str) -> Encoder:
-    """One encoder per vocabulary and worker process."""
-    return Encoder(ranks)
+    """One encoder per vocabulary and worker process; the same vocabulary's JSON file names its added tokens."""
+    whole = f"{os.path.splitext(ranks)[0]}.json"
+    added = []
+    if os.path.exists(whole):
+        with open(whole, encoding="utf-8") as file:
+            added = json.load(file).get("added_tokens", [])
+    return Encoder(ranks, {token["content"]: token["id"] for token in added})

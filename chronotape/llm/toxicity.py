@@ -78,7 +78,7 @@ def terms_of(text: str, beginnings: tuple[int, ...]) -> set[str]:
 class Features:
     """Turns texts into rows of :data:`FEATURES`; remembers what it found about each word form."""
 
-    MEMORY = 400_000
+    MEMORY = 100_000
 
     def __init__(self, lexicon: dict[str, float], beginnings: tuple[int, ...]) -> None:
         self.lexicon, self.beginnings = lexicon, beginnings

@@ -18,7 +18,7 @@ BANDS, ROWS = 16, 4
 SAMPLES = BANDS * ROWS
 #: Rows of precomputed draws, as a power of two, and columns drawn from the same bits of a hash.
 DRAW_BITS, GROUP = 14, 16
-MEMORY = 400_000
+MEMORY = 100_000
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 

@@ -18,14 +18,13 @@ from tests.llm.conftest import sentence
 
 ODD = [
     "", " ", "a", " a", "a ", "a  b", "a\n b", "a \nb", "tab\tb c", "\n\n", "x y z", "x 　y", "don't we'll I'M", "1234 5 67", "é ñ ß 日本語 テスト", "🙂 🙂🙂",
-    "<|endoftext|> end", "a" * 3_000, "!?" * 40 + " ok", "line one.\nLine two. \n\n Line three", "a b c\u0085 d", "\x00 \x1f x", "word " * 50,
+    "<|endoftext|> end", "hello <|endoftext|> world", "a<|endoftext|><|endoftext|>b  c", "<|endoftext|>", "<|endoftext| >", "a" * 3_000, "!?" * 40 + " ok", "line one.\nLine two. \n\n Line three", "a b c\u0085 d", "\x00 \x1f x", "word " * 50,
 ]
 
 
 @pytest.fixture(scope="module")
 def reference():
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
@@ -39,7 +38,6 @@ def test_ids_equal_those_of_the_public_tokenizer(reference):
 @given(st.text(alphabet=st.sampled_from(list("ab1'!. \n\t éß日🙂")), max_size=40))
 def test_ids_of_any_text(text):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")) if not hasattr(test_ids_of_any_text, "t") else test_ids_of_any_text.t
-    t.encode_special_tokens = True
     test_ids_of_any_text.t = t
     assert np.frombuffer(encoder(vocabulary()).encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
 

@@ -32,5 +32,9 @@ def test_stages_survive_nulls_repeats_and_no_documents(spark, make_documents, tm
         docs = make_documents(given)
         for _, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, str(tmp_path))
-        ids = {r.doc_id for r in docs.collect()}
-        assert ids == ({0, 1, 2, 3, 4, 5} if given else set())
+        pieces = docs.collect()
+        taken = {source: sum(70 for r in pieces if r.piece == 0 and r.doc_id % 2 == source) for source in (0, 1)}
+        # source s0 holds clean, distinct texts 0, 2, 4 and s1 holds 1, 3, 5; null, empty and repeated texts are gone
+        assert {r.doc_id for r in pieces} <= {0, 1, 2, 3, 4, 5}
+        # 420 words shared five to two: s0 takes 300 and s1 120, each to the nearest texts of 70 words
+        assert taken == ({0: 280, 1: 140} if given else {0: 0, 1: 0})

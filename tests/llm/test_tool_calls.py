@@ -59,3 +59,11 @@ def test_repeated_rows_and_empty_tables(spark):
     out = run(spark, [(1, 0, "user", "x")] * 3, [(1, 1, "a", "find", '{"q": "x"}')] * 2, [])
     assert len(out) == 5 and sorted(r.faults for r in out if r.kind == "call") == ["duplicate_id", "unanswered"]
     assert run(spark, [], [], []) == []
+
+
+def test_the_query_keeps_rows_of_every_role(spark, tmp_path):
+    from chronotape.llm.queries import op5_tool_call_linking
+
+    rows = [(1, 0, "user", "a question"), (1, 1, "assistant", "an answer"), (1, 2, "system", "note"), (1, 3, None, "no role"), (2, 0, None, None)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    assert op5_tool_call_linking(spark, str(tmp_path)).count() == len(rows)
