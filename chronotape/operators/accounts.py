@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from chronotape.contracts import vocab
 from chronotape.functions import money
 from chronotape.operators.asof import usable_asof_join
-from chronotape.operators.scan import Running, positions, running, written_copy
+from chronotape.operators.scan import Running, running, written_copy
 
-#: Fills of one instrument that are folded at once.
+#: Fills of one open position that are folded at once.
 FILLS_PER_ROUND = 100_000
 
 
@@ -46,19 +46,34 @@ def positions_from_fills(
 
 
 def _average_costs(fills: DataFrame, order: Sequence[str], by: Sequence[str], per_round: int) -> DataFrame:
-    """Each rounded mean depends on the one before, so an instrument's fills are folded in order.
+    """Cost of each open position, folded over the fills since it was opened.
 
-    A fold takes at most ``per_round`` fills; an instrument with more goes through further rounds, which
-    receive the state the one before left. The rounds are as many as the busiest instrument needs.
+    A fill that finds the position flat, or takes it through flat, starts the cost afresh, so nothing
+    before an instrument's last such fill matters. Running quantities find that fill in parallel, also
+    for a hot instrument, and the fills before it are never gathered. Since each rounded mean depends on
+    the one before, the rest are folded in order, ``per_round`` at a time; only a position that stays
+    open over more fills goes through further rounds, which receive the state the one before left.
     """
     by = list(by)
     moves = fills.select(*by, *[c for c in order if c not in by], signed_quantity().alias("__move"), F.col("price_nano").alias("__price"))
-    placed = positions(moves, list(order), F.lit(0), "__at", by)
-    packed = (
-        placed.withColumn("__round", F.call_function("div", F.col("__at"), F.lit(per_round)))
-        .groupBy(*by, "__round").agg(F.sort_array(F.collect_list(F.struct("__at", "__move", "__price"))).alias("__moves"))
+    running_values = [Running("__at", "sum", F.lit(1).cast("bigint")), Running("__held", "sum", F.col("__move"))]
+    before = {n: F.coalesce(n, F.lit(0)).cast("bigint") for n in ("__at", "__held")}
+    placed = running(moves, by, list(order), F.lit(0), running_values).withColumns(before)
+    placed = written_copy(placed.select(*by, "__at", "__held", "__move", "__price"), "fill-places")
+
+    def on_keys(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+        named = right.withColumnsRenamed({c: f"__r{i}" for i, c in enumerate(by)})
+        return left.join(named, [F.col(c).eqNullSafe(F.col(f"__r{i}")) for i, c in enumerate(by)], how).drop(*[f"__r{i}" for i in range(len(by))])
+
+    opens = (F.col("__held") == 0) | (F.signum("__held") * F.signum(F.col("__held") + F.col("__move")) < 0)
+    opened = placed.groupBy(*by).agg(F.max(F.when(opens, F.struct("__at", "__held"))).alias("__opened"), F.max("__at").alias("__last"))
+    since = F.col("__at") - F.col("__opened.__at")
+    live = on_keys(placed.select(*by, "__at", "__move", "__price"), opened).where(since >= 0)
+    packed = live.withColumn("__round", F.call_function("div", since, F.lit(per_round))).groupBy(*by, "__round").agg(
+        F.sort_array(F.collect_list(F.struct("__at", "__move", "__price"))).alias("__moves"), F.first("__opened").alias("__opened")
     )
-    fold = """aggregate(__moves, coalesce(__state, named_struct('held', 0L, 'cost', 0L)), (s, m) -> named_struct(
+    # what the opening fill finds is held at any cost: it leaves its own price
+    fold = """aggregate(__moves, coalesce(__state, named_struct('held', __opened.__held, 'cost', 0L)), (s, m) -> named_struct(
         'held', s.held + m.__move,
         'cost', CASE
             WHEN s.held = 0 OR signum(s.held) = signum(m.__move) THEN CAST(
@@ -67,17 +82,16 @@ def _average_costs(fills: DataFrame, order: Sequence[str], by: Sequence[str], pe
             WHEN abs(m.__move) < abs(s.held) THEN s.cost
             WHEN abs(m.__move) = abs(s.held) THEN 0L
             ELSE m.__price END))"""
-    last = placed.agg(F.max("__at")).first()[0]  # one row
-    if last is None or last < per_round:
-        folded = packed.withColumn("__state", F.lit(None).cast("struct<held:bigint,cost:bigint>")).withColumn("__state", F.expr(fold))
-        return folded.select(*by, F.col("__state.cost").alias("average_cost_nano"))
+    nothing = F.lit(None).cast("struct<held:bigint,cost:bigint>")
+    longest = opened.agg(F.max(F.col("__last") - F.col("__opened.__at"))).first()[0]  # one number
+    if longest is None or longest < per_round:
+        return packed.withColumn("__state", nothing).withColumn("__state", F.expr(fold)).select(*by, F.col("__state.cost").alias("average_cost_nano"))
     packed = written_copy(packed, "fill-rounds")
-    state = written_copy(packed.select(*by).distinct().withColumn("__state", F.lit(None).cast("struct<held:bigint,cost:bigint>")), "fill-state")
-    for round_ in range(last // per_round + 1):
-        now = packed.where(F.col("__round") == round_).withColumnsRenamed({c: f"__r{i}" for i, c in enumerate(by)})
-        same = [F.col(c).eqNullSafe(F.col(f"__r{i}")) for i, c in enumerate(by)]
-        met = state.join(now, same, "left").withColumn("__state", F.when(F.col("__moves").isNull(), F.col("__state")).otherwise(F.expr(fold)))
-        state = written_copy(met.select(*by, "__state"), "fill-state")
+    state = written_copy(packed.select(*by).distinct().withColumn("__state", nothing), "fill-state")
+    for round_ in range(longest // per_round + 1):
+        met = on_keys(state, packed.where(F.col("__round") == round_), "left")
+        folded = F.when(F.col("__moves").isNull(), F.col("__state")).otherwise(F.expr(fold))
+        state = written_copy(met.withColumn("__state", folded).select(*by, "__state"), "fill-state")
     return state.select(*by, F.col("__state.cost").alias("average_cost_nano"))
 
 

@@ -80,6 +80,33 @@ def duplicate_count(df: DataFrame, keys: Sequence[str], rule: str, where: Column
     )
 
 
+def keyed_violations(df: DataFrame, rules: Mapping[str, Column], label: Column, unique: Sequence[Sequence[str]]) -> DataFrame:
+    """Row rules and partial unique keys in one scan: ``rule, violations, example``.
+
+    Every row becomes an entry for each rule it breaks, under its label, and for each key it has:
+    ``unique`` lists keys whose last column must be present for the key to count. One grouped count of
+    (rule, key), combined before the shuffle, then tells broken rules from surplus copies.
+    """
+    width = max(len(keys) for keys in unique)
+    entries = [F.when(broken, _entry(rule, [label], width)) for rule, broken in rules.items()]
+    repeats = {f"repeated {', '.join(keys)}": list(keys) for keys in unique}
+    for rule, keys in repeats.items():
+        entries.append(F.when(F.col(keys[-1]).isNotNull(), _entry(rule, [F.col(k).cast("string") for k in keys], width)))
+    found = df.select(F.explode(F.array(*entries)).alias("e")).where("e IS NOT NULL").groupBy("e.rule", "e.key").count()
+    surplus = F.col("rule").isin(*repeats)
+    bad = found.where(~surplus | (F.col("count") > 1)).select(
+        "rule", (F.col("count") - surplus.cast("int")).alias("violations"), F.concat_ws("/", *[f"key.k{i}" for i in range(width)]).alias("example")
+    )
+    # a rule that nothing breaks is reported too
+    named = df.sparkSession.createDataFrame([(rule, 0, None) for rule in (*rules, *repeats)], "rule string, violations bigint, example string")
+    return bad.unionByName(named).groupBy("rule").agg(F.sum("violations").alias("violations"), F.coalesce(F.min("example"), F.lit("")).alias("example"))
+
+
+def _entry(rule: str, key: Sequence[Column], width: int) -> Column:
+    parts = [*key, *[F.lit(None).cast("string")] * (width - len(key))]
+    return F.struct(F.lit(rule).alias("rule"), F.struct(*[k.alias(f"k{i}") for i, k in enumerate(parts)]).alias("key"))
+
+
 def contract_violations(
     df: DataFrame, shape: Contract, policy: str = vocab.BACKFILL, *, unique_keys: bool = True
 ) -> DataFrame:
@@ -187,16 +214,8 @@ def order_event_violations(events: DataFrame) -> DataFrame:
         "fill without execution_id": (F.col("event_type") == "fill") & F.col("execution_id").isNull(),
         "knowledge_time precedes event_time": F.col("knowledge_time_ns") < F.col("event_time_ns"),
     }
-    report = count_violations(events, rules, label)
-    for column, rule in (
-        ("broker_event_id", "repeated account_id, broker_event_id"),
-        ("execution_id", "repeated account_id, execution_id"),
-        ("broker_sequence", "repeated account_id, broker_sequence"),
-    ):
-        report = report.unionByName(
-            duplicate_count(events, ["account_id", column], rule, F.col(column).isNotNull())
-        )
-    return report
+    unique = [["account_id", column] for column in ("broker_event_id", "execution_id", "broker_sequence")]
+    return keyed_violations(events, rules, label, unique)
 
 
 def deduplicate_order_events(events: DataFrame, order: Sequence[str] = ("knowledge_time_ns", "event_id")) -> DataFrame:

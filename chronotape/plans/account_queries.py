@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronotape.contracts import vocab
-from chronotape.functions import money
+from chronotape.functions import money, ordering
 from chronotape.operators import accounts, scan
 from chronotape.plans import views as v
 from chronotape.plans.catalogue import query
@@ -197,3 +197,24 @@ def risk_reasons(spark: SparkSession, sf: str) -> DataFrame:
 def cost_breakdown(spark: SparkSession, sf: str) -> DataFrame:
     costs = accounts.cost_breakdown(v.fills(spark, sf), ["l_suppkey"])
     return costs.withColumns({c: F.col(c).cast("string") for c in ("commission_nano", "regulatory_fees_nano", "shortfall_nano")})
+
+
+@query("narrow_shares", f"""WITH {v.FILLS_SQL}
+    SELECT instrument_id, CAST(sum(value_nano) AS BIGINT) AS value_nano, CAST(sum(quantity_shares) AS BIGINT) AS shares FROM fills GROUP BY 1""")
+def narrow_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """Wide sums brought back to storable money, and fractional-typed quantities to whole shares."""
+    fills = v.fills(spark, sf).select("instrument_id", "value_nano", F.col("quantity_shares").cast("double").alias("quantity"))
+    whole = fills.withColumn("shares", money.require_whole_shares("quantity"))
+    sums = whole.groupBy("instrument_id").agg(F.sum(F.col("value_nano").cast(money.WIDE)).alias("wide"), F.sum("shares").alias("shares"))
+    return sums.select("instrument_id", money.narrow("wide").alias("value_nano"), "shares")
+
+
+@query("sentinel_bounds", f"""WITH {v.TICKS_SQL} SELECT event_type, count(*) AS rows, count(*) AS after_first, count(*) AS before_last FROM ticks GROUP BY 1""")
+def sentinel_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Every order key lies strictly between the two sentinels, which are keys themselves."""
+    key = F.struct(*[F.col(c) for c in vocab.ORDER_KEY])
+    marked = v.ticks(spark, sf).select(
+        "event_type", ordering.strictly_after(key, ordering.before_everything()).alias("first"),
+        ordering.strictly_after(ordering.after_everything(), key).alias("last"),
+    )
+    return marked.groupBy("event_type").agg(F.count("*").alias("rows"), F.count_if("first").alias("after_first"), F.count_if("last").alias("before_last"))

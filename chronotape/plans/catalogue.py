@@ -30,6 +30,7 @@ def load_all() -> None:
     from chronotape.plans import (  # noqa: F401
         account_queries,
         audit_queries,
+        day_queries,
         market_queries,
         storage_queries,
         stream_queries,

@@ -13,7 +13,7 @@ from chronotape.operators.bars import build_bars, with_bar_positions
 from chronotape.operators.normalize import Clocks, normalize_quotes, normalize_trades, to_contract
 from chronotape.operators.sizing import broadcast_if_small
 from chronotape.plans.snapshot import Manifest, save_manifest, seal
-from chronotape.sources.ndjson import read_quotes, read_trades
+from chronotape.sources.ndjson import RAW_SUFFIX, read_quotes, read_trades
 from chronotape.sources.reference import Reference, load_reference
 from chronotape.sources.tables import Written, read_written, write_contract_table
 
@@ -39,13 +39,15 @@ def session_date(reference: Reference) -> str:
     return dates[0]
 
 
-def normalize_raw(spark: SparkSession, raw_root: str, reference: Reference, clocks: Clocks, output_root: str) -> list[Written]:
+def normalize_raw(
+    spark: SparkSession, raw_root: str, reference: Reference, clocks: Clocks, output_root: str, suffix: str = RAW_SUFFIX
+) -> list[Written]:
     """Normalize and write trades and quotes of one raw partition under its session date."""
     date = F.lit(session_date(reference))
     history = reference.ticker_history
     tables = (
-        ("normalized.trade", normalize_trades(read_trades(spark, f"{raw_root}/trades"), history, clocks)),
-        ("normalized.quote", normalize_quotes(read_quotes(spark, f"{raw_root}/quotes"), history, clocks)),
+        ("normalized.trade", normalize_trades(read_trades(spark, f"{raw_root}/trades", suffix=suffix), history, clocks)),
+        ("normalized.quote", normalize_quotes(read_quotes(spark, f"{raw_root}/quotes", suffix=suffix), history, clocks)),
     )
     return [
         write_contract_table(
@@ -86,10 +88,11 @@ def run(
     as_of: int,
     window_ns: int = vocab.DEFAULT_WINDOW_NS,
     calendar_version: str = "",
+    suffix: str = RAW_SUFFIX,
 ) -> SnapshotResult:
     """Normalize a raw partition, build bars from the written trades, seal a snapshot."""
     reference = load_reference(spark, reference_path)
-    written = normalize_raw(spark, raw_root, reference, clocks, output_root)
+    written = normalize_raw(spark, raw_root, reference, clocks, output_root, suffix)
     trades = read_written(spark, written[0], contract("normalized.trade"))
     bars = session_bars(trades, reference.calendar, clocks, as_of=as_of, window_ns=window_ns)
     # Bars are judged by the backfill rule: their receive time may exceed their knowledge time.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -65,7 +66,7 @@ def work_folder(spark: SparkSession, purpose: str) -> Folder:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         shared = tempfile.mkdtemp(prefix="spark-")
     return Folder(spark, f"{shared.rstrip('/')}/chronotape/{purpose}-{uuid.uuid4().hex}")

@@ -280,3 +280,45 @@ def test_quote_metrics_flag_and_keep(spark):
     df = spark.createDataFrame([(10, 10), (11, 10), (10, 13)], "bid_price_nano bigint, ask_price_nano bigint")
     got = [tuple(r)[2:] for r in normalize.quote_metrics(df).collect()]
     assert got == [(10, 0, 0, True, False), (10, 1, -1, False, True), (11, 1, 3, False, False)]
+
+
+def plain_walk(rows):
+    """(quantity, average cost) of every instrument, fill by fill."""
+    state = {}
+    for instrument, side, size, price, _ in sorted(rows, key=lambda r: r[4]):
+        held, cost = state.get(instrument, (0, 0))
+        move = size if side == "buy" else -size
+        if held == 0 or held * move > 0:
+            cost = (cost * abs(held) + price * abs(move)) // max(abs(held) + abs(move), 1)
+        elif abs(move) >= abs(held):
+            cost = 0 if abs(move) == abs(held) else price
+        state[instrument] = (held + move, cost)
+    return state
+
+
+@pytest.mark.parametrize("per_round", [7, 100_000])
+def test_costs_are_folded_from_the_last_opening(spark, per_round):
+    rng = random.Random(4)
+    rows = [(rng.choice([1, 2, 3, None]), rng.choice(["buy", "sell"]), rng.randrange(1, 6), rng.randrange(1, 10**9), k) for k in range(600)]
+    rows += [(9, "buy", rng.randrange(1, 5), rng.randrange(1, 10**9), k) for k in range(60)]  # never flat
+    rows += [(10, "buy", 5, 10, 0), (10, "sell", 5, 12, 1), (11, "buy", 5, 10, 0), (11, "sell", 8, 12, 1)]  # closed; taken through flat
+    frame = spark.createDataFrame(rows, "instrument_id bigint, side string, quantity_shares bigint, price_nano bigint, seq bigint")
+    got = accounts.positions_from_fills(frame.repartition(5), ["seq"], per_round=per_round).collect()
+    assert {r.instrument_id: (r.quantity_shares, r.average_cost_nano) for r in got} == plain_walk(rows)
+
+
+def test_no_fills_have_no_positions(spark):
+    empty = spark.createDataFrame([], "instrument_id bigint, side string, quantity_shares bigint, price_nano bigint, seq bigint")
+    assert accounts.positions_from_fills(empty, ["seq"]).collect() == []
+
+
+def test_partial_unique_keys_in_one_scan(spark, tmp_path):
+    rows = [("e1", "a", "b1", "x1", 1), ("e2", "a", "b1", None, 1), ("e3", "a", "b1", None, None), ("e4", None, "b1", "x1", None), ("e5", None, "b1", "x2", None), ("e6", "z", None, None, 7)]
+    schema = "event_id string, account_id string, broker_event_id string, execution_id string, broker_sequence bigint, event_type string, event_time_ns bigint, knowledge_time_ns bigint"
+    spark.createDataFrame([(*r, "fill" if r[0] in ("e2", "e6") else "ack", 5, 4 if r[0] == "e1" else 5) for r in rows], schema).write.parquet(str(tmp_path / "log"))
+    report = audits.order_event_violations(spark.read.parquet(str(tmp_path / "log")))
+    assert {r.rule: (r.violations, r.example) for r in report.collect()} == {
+        "fill without execution_id": (2, "e2"), "knowledge_time precedes event_time": (1, "e1"),
+        "repeated account_id, broker_event_id": (3, "a/b1"), "repeated account_id, execution_id": (0, ""), "repeated account_id, broker_sequence": (1, "a/1"),
+    }
+    assert report._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 1
