@@ -1,12 +1,17 @@
 """Text scores under a unigram base and a log-bilinear model, both from all training documents.
 
-Word counts cover the training documents whole. The model works on classes: the end mark, each of the
-most frequent words, and the endings of all other words. A word has the probability of its class after
+Word counts cover the training documents whole. The model works on classes: the end mark, every word
+with at least ``LEAST`` occurrences or, where those are more than ``WORD_CLASSES``, at least as many as let
+no more through, and the endings of all other words. A word has the probability of its class after
 the two classes before it, times, for an ending, its smoothed share of the ending's words; one unseen
-word per ending is allowed for, so the probabilities of all words sum to one.
-
-Counts of very many words cannot be broadcast. The most frequent ones, a fixed number, are sent to
-every task; the others' counts reach the documents through a join on the word.
+word per ending is allowed for, so the probabilities of all words sum to one. Classes are normalised in
+two steps, over groups and within a group: words one at a time for the most frequent, the others by
+neighbourhood when sorted by their last letters.
+
+Counts of very many words cannot be broadcast. The most frequent ones, at most ``FREQUENT``, are sent to
+every task, chosen by a threshold from a histogram of counts, so that no more than those reach the
+driver; the others' counts reach the documents through a join on the word. The model has at most 65,535
+rows of each kind, 17 MB, whatever the corpus.
 """
 
 from __future__ import annotations
@@ -23,12 +28,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronotape.llm.common import crc32_of_id, present, stored
-from chronotape.llm.log_bilinear import BATCH, LogBilinear, Trainer, contexts, joined
+from chronotape.llm.log_bilinear import BATCH, LogBilinear, Scorer, Trainer, contexts, joined
 
 #: Words whose counts travel to every task, words that are classes of their own, endings that are classes.
-FREQUENT, WORD_CLASSES, ENDING_CLASSES = 150_000, 1_200, 800
-#: Passes over the training documents, and of how many places one is used in a pass.
-ROUNDS, STRIDE = 3, 2
+FREQUENT, WORD_CLASSES, ENDING_CLASSES = 150_000, 60_000, 800
+#: Occurrences of a word that is a class of its own; words that are groups of their own, and words in other groups.
+LEAST, SINGLE, GROUP = 4, 126, 256
+#: Local training and averaging take turns; every place is learned from in exactly one round.
+ROUNDS = 3
+#: Rows of parameters averaged together, and shares in which they are summed first.
+CHUNK, SHARES = 256, 64
 #: Distinct words counted in a task before partial counts are passed on.
 HELD = 400_000
 END_CLASS, OTHER_CLASS = 0, 1
@@ -92,6 +101,14 @@ class Vocabulary:
         smooth = self.class_tokens + 1.0
         return smooth / smooth.sum()
 
+    def groups(self) -> np.ndarray:
+        """The group of each class: one each for the first, the others by their last letters."""
+        names = [b"", b"", *self.word_class, *self.ending_class]
+        out = np.arange(len(names))
+        rest = sorted(range(2 + SINGLE, len(names)), key=lambda k: (names[k].rstrip(_TRIM)[::-1], k))
+        out[rest] = 2 + SINGLE + np.arange(len(rest)) // GROUP
+        return out
+
     def within(self) -> np.ndarray:
         """log10 of the total a word's count is divided by within its class; 0 for classes of one word."""
         total = np.log10(self.class_tokens + self.class_words + 1.0)
@@ -100,11 +117,25 @@ class Vocabulary:
         return total
 
 
+def _threshold(histogram: pd.DataFrame, most: int) -> int:
+    """The least count, of those in the histogram, that at most so many words reach; one more than all counts if none does."""
+    histogram = histogram.sort_values("level", ascending=False)
+    fits = histogram["level"][histogram["words"].cumsum() <= most]
+    return int(fits.iloc[-1]) if len(fits) else 1 << 62
+
+
 def build_vocabulary(counts: DataFrame, documents: int) -> Vocabulary:
-    """``counts`` is a stored table of (word, c); only fixed numbers of its rows are gathered."""
-    best = counts.orderBy(F.col("c").desc(), "word").limit(FREQUENT).toPandas()
-    frequent = {bytes(w): int(c) for w, c in zip(best["word"], best["c"], strict=True)}
-    own = {w: 2 + k for k, w in enumerate(list(frequent)[:WORD_CLASSES])}
+    """``counts`` is a stored table of (word, c). The driver sees at most ``FREQUENT`` of its rows.
+
+    The histogram keeps the first twelve binary digits of counts: at most 2^11 levels for each of 64 lengths.
+    """
+    level = F.expr("shiftleft(shiftright(c, greatest(length(bin(c)) - 12, 0)), greatest(length(bin(c)) - 12, 0))")
+    histogram = counts.groupBy(level.alias("level")).agg(F.count("*").alias("words")).toPandas()
+    best = counts.where(F.col("c") >= _threshold(histogram, FREQUENT)).toPandas()
+    ranked = sorted(((int(c), bytes(w)) for w, c in zip(best["word"], best["c"], strict=True)), key=lambda r: (-r[0], r[1]))
+    frequent = {w: c for c, w in ranked}
+    least = max(_threshold(histogram, min(WORD_CLASSES, FREQUENT)), LEAST)
+    own = {w: 2 + k for k, (w, c) in enumerate(frequent.items()) if c >= least}
 
     def by_ending(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: Counter = Counter()
@@ -163,7 +194,7 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, documents: int) ->
         at = TaskContext.get().partitionId() << 33
         # entry k: a frequent word; the entries after them: any rare word of a class
         code = _Codes(vocabulary)
-        classes = np.array([vocabulary.class_of(w) for w in code] + list(range(vocabulary.classes)), dtype=np.int16)
+        classes = np.array([vocabulary.class_of(w) for w in code] + list(range(vocabulary.classes)), dtype=np.uint16)
         logs = np.concatenate([np.log10(np.array(list(vocabulary.counts.values()), dtype=float) + 1.0), np.zeros(vocabulary.classes)])
         totals = vocabulary.within()
         shared = np.ones(vocabulary.classes, dtype=bool)
@@ -181,7 +212,7 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, documents: int) ->
                 rows.append(
                     (
                         at, doc_id, out, len(words) + 1, len(words) - sum(rare.values()) + (documents > 0), float(values.sum()) + end_log,
-                        float(values[inside].sum() - totals[kinds[inside]].sum()), np.append(kinds, np.int16(END_CLASS)).astype("<i2").tobytes(),
+                        float(values[inside].sum() - totals[kinds[inside]].sum()), np.append(kinds, np.uint16(END_CLASS)).astype("<u2").tobytes(),
                         [{"word": w, "n": c} for w, c in rare.items()],
                     )
                 )
@@ -192,49 +223,68 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, documents: int) ->
     return rows.mapInPandas(encode, _ENCODED)
 
 
+_PARTS = "chunk long, share int, hits binary, moves binary"
+
+
+def _added(parts: DataFrame, *by: str) -> DataFrame:
+    """Sums of hits and of moves by chunk, in tasks that hold one chunk at a time."""
+
+    def add(parts: pd.DataFrame) -> pd.DataFrame:
+        hits, moves = (sum(np.frombuffer(p, dtype="<f8") for p in parts[c]) for c in ("hits", "moves"))
+        return pd.DataFrame({"chunk": parts["chunk"][:1], "share": parts["share"][:1], "hits": [hits.tobytes()], "moves": [moves.tobytes()]})
+
+    return parts.groupBy(*by).applyInPandas(add, _PARTS)
+
+
 def train(encoded: DataFrame, vocabulary: Vocabulary) -> LogBilinear:
-    """Rounds of local training on every partition's documents, each followed by averaging the parameters.
+    """Rounds of local training in as many tasks as there are cores, each followed by averaging the parameters.
 
-    Averages are weighted by the places learned from and computed by Spark, one row per parameter, so
-    what the driver sees is one model.
+    A row of parameters is averaged over the tasks that moved it, weighted by how often they did; a row
+    that none did stays. Spark adds what tasks moved, first within shares of the tasks, so the driver
+    sees one model.
     """
     unigram, n = vocabulary.unigram(), vocabulary.classes
-    model = LogBilinear.fresh(unigram)
-    sequences = encoded.where(~F.col("held_out")).select("classes")
+    model = LogBilinear.fresh(unigram, vocabulary.groups())
+    width = model.held.shape[1]
+    sequences = encoded.where(~F.col("held_out")).select("classes").coalesce(max(encoded.sparkSession.sparkContext.defaultParallelism, 1))
     for round_ in range(ROUNDS):
-        start = model.flat()
+        start, groups = model.held, model.groups
 
-        def local(batches: Iterator[pd.DataFrame], start=start, round_=round_) -> Iterator[pd.DataFrame]:
-            trainer = Trainer(LogBilinear.unflat(start.copy(), n), unigram, seed=round_)
+        def local(batches: Iterator[pd.DataFrame], start=start, groups=groups, round_=round_) -> Iterator[pd.DataFrame]:
+            trainer = Trainer(LogBilinear(start.copy(), groups), unigram, seed=round_)
             for batch in batches:
                 classes, begins = joined(batch["classes"])
                 places = np.stack([*contexts(classes, begins, n), classes])
                 within = np.arange(len(classes)) - np.repeat(begins, np.diff(np.r_[begins, len(classes)]))
-                chosen = np.flatnonzero(within % STRIDE == round_ % STRIDE)
-                order = trainer.random.permutation(chosen)
+                order = trainer.random.permutation(np.flatnonzero(within % ROUNDS == round_))
                 for s in range(0, len(order), BATCH):
                     trainer.step(*places[:, order[s : s + BATCH]])
-            if trainer.seen:
-                flat = trainer.model.flat().astype(np.float64)
-                yield pd.DataFrame({"i": np.arange(len(flat)), "v": flat * trainer.seen, "w": np.full(len(flat), float(trainer.seen))})
-
-        found = sequences.mapInPandas(local, "i long, v double, w double").groupBy("i").agg((F.sum("v") / F.sum("w")).alias("v")).toPandas()
-        if len(found):
-            flat = start.copy()
-            flat[found["i"].to_numpy(dtype=np.int64)] = found["v"].to_numpy(dtype=float)
-            model = LogBilinear.unflat(flat, n)
+            moved = (trainer.model.held - start) * trainer.hits[:, None]
+            for k, begin in enumerate(range(0, len(start), CHUNK)):
+                hits = trainer.hits[begin : begin + CHUNK].astype("<f8")
+                if hits.any():
+                    share = TaskContext.get().partitionId() % SHARES
+                    moves = moved[begin : begin + CHUNK].astype("<f8").tobytes()
+                    yield pd.DataFrame({"chunk": [k], "share": [share], "hits": [hits.tobytes()], "moves": [moves]})
+
+        parts = _added(_added(sequences.mapInPandas(local, _PARTS), "chunk", "share"), "chunk")
+        held = start.copy()
+        for part in parts.toLocalIterator():
+            at = slice(part.chunk * CHUNK, (part.chunk + 1) * CHUNK)
+            hits = np.frombuffer(part.hits, dtype="<f8")
+            held[at] += (np.frombuffer(part.moves, dtype="<f8").reshape(-1, width) / np.maximum(hits, 1)[:, None]).astype(np.float32)
+        model = LogBilinear(held, groups)
     return model
 
 
-def model_scores(model: LogBilinear, classes: int):
+def model_scores(model: LogBilinear):
     """A column function from a document's classes to the log10 probability of the class sequence."""
 
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        one, two, norm = model.tables()
+        scorer = Scorer(model)
         for batch in batches:
             kinds, begins = joined(batch)
-            before, earlier = contexts(kinds, begins, classes)
-            logs = (one[before, kinds] + two[earlier, kinds] - norm[before, earlier]).astype(np.float64)
+            logs = scorer(*contexts(kinds, begins, model.words), kinds)
             yield pd.Series(np.add.reduceat(logs, begins) / math.log(10.0) if len(begins) else np.zeros(0))
 
     return F.pandas_udf(score, "double")
@@ -261,7 +311,7 @@ def score_language(docs: DataFrame) -> DataFrame:
     looked_up = counted.groupBy("uid").agg(
         F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 1)).alias("rare_logs"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("rare_known")
     )
-    rows = encoded.drop("rare").withColumn("sequence", model_scores(model, vocabulary.classes)("classes")).drop("classes").join(looked_up, "uid", "left")
+    rows = encoded.drop("rare").withColumn("sequence", model_scores(model)("classes")).drop("classes").join(looked_up, "uid", "left")
     logs = F.coalesce("rare_logs", F.lit(0.0))
     # N + 1 * (V + 1)
     total = math.log10(train_tokens + distinct + 1)

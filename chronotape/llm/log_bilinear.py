@@ -1,7 +1,9 @@
-"""A log-bilinear language model over word classes, trained by noise-contrastive estimation in numpy.
+"""A log-bilinear language model, trained by noise-contrastive estimation in numpy and normalised over groups of words.
 
-The prediction vector is a weighted sum of the vectors of the two classes before, its product with a
-class's output vector plus a bias is the class's score, and scores are normalised over all classes.
+The prediction vector is a weighted sum of the vectors of the two words before; its product with an
+output vector plus a bias is a score. A word's probability is that of its group, normalised over all
+groups, times that of the word in its group, normalised over the group's words. Both are products of two
+matrices, and far smaller ones than a product with every word.
 """
 
 from __future__ import annotations
@@ -11,54 +13,118 @@ from dataclasses import dataclass
 
 import numpy as np
 
-DIMENSIONS, NOISE, BATCH, RATE = 32, 64, 1_024, 0.1
+DIMENSIONS, NOISE, GROUP_NOISE, BATCH, RATE = 32, 64, 32, 1_024, 0.1
+#: Squared gradient that every parameter starts with: small, or the rows of rare words would hardly move.
+FIRST_SQUARE = 1e-5
 CONTEXT = 2
+#: Places scored together.
+BLOCK = 1 << 17
 
 
 @dataclass
 class LogBilinear:
-    """``inputs`` has a row more than there are classes: the mark before a text. ``gates`` weights each position."""
+    """All parameters as rows of ``held``: the inputs of the words and of the mark before a text, the
+    outputs of the words, the outputs of the groups, and a weight for each context position. The last
+    column is the bias of an output and unused elsewhere. ``groups`` has the group of each word.
+    """
 
-    inputs: np.ndarray
-    outputs: np.ndarray
-    gates: np.ndarray
-    bias: np.ndarray
+    held: np.ndarray
+    groups: np.ndarray
 
     @classmethod
-    def fresh(cls, unigram: np.ndarray, seed: int = 0) -> LogBilinear:
+    def fresh(cls, unigram: np.ndarray, groups: np.ndarray, seed: int = 0) -> LogBilinear:
         random, n = np.random.default_rng(seed), len(unigram)
-        parts = random.normal(0, 0.1, (n + 1, DIMENSIONS)), random.normal(0, 0.1, (n, DIMENSIONS)), np.full((CONTEXT, DIMENSIONS), 0.5), np.log(unigram)
-        return cls(*[p.astype(np.float32) for p in parts])
-
-    def flat(self) -> np.ndarray:
-        return np.concatenate([a.ravel() for a in (self.inputs, self.outputs, self.gates, self.bias)])
-
-    @classmethod
-    def unflat(cls, flat: np.ndarray, classes: int) -> LogBilinear:
-        shapes = [(classes + 1, DIMENSIONS), (classes, DIMENSIONS), (CONTEXT, DIMENSIONS), (classes,)]
-        ends = np.cumsum([int(np.prod(s)) for s in shapes])
-        return cls(*[part.reshape(s) for part, s in zip(np.split(flat, ends[:-1]), shapes, strict=True)])
-
-    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Scores by (class before, class) and (class two before, class), the first with the bias, and the
-        logarithm of the normaliser by both classes before: one product of two matrices."""
-        inputs, outputs, gates, bias = (a.astype(np.float64) for a in (self.inputs, self.outputs, self.gates, self.bias))
-        one = (inputs * gates[0]) @ outputs.T + bias
-        two = (inputs * gates[1]) @ outputs.T
-        m1, m2 = one.max(axis=1, keepdims=True), two.max(axis=1, keepdims=True)
-        norm = np.log(np.exp(one - m1) @ np.exp(two - m2).T) + m1 + m2.T
-        return one.astype(np.float32), two.astype(np.float32), norm.astype(np.float32)
+        by_group = np.bincount(groups, weights=unigram)
+        held = random.normal(0, 0.1, (2 * n + 1 + len(by_group) + CONTEXT, DIMENSIONS + 1))
+        held[: n + 1, -1] = 0
+        held[n + 1 : -CONTEXT, -1] = np.log(np.concatenate([unigram, by_group]))
+        held[-CONTEXT:] = 0.5
+        return cls(held.astype(np.float32), groups)
+
+    @property
+    def words(self) -> int:
+        return len(self.groups)
+
+    @property
+    def inputs(self) -> np.ndarray:
+        return self.held[: self.words + 1, :DIMENSIONS]
+
+    @property
+    def outputs(self) -> np.ndarray:
+        """Of the words, then of the groups."""
+        return self.held[self.words + 1 : -CONTEXT]
+
+    @property
+    def gates(self) -> np.ndarray:
+        return self.held[-CONTEXT:, :DIMENSIONS]
+
+    def predicted(self, before: np.ndarray, earlier: np.ndarray) -> np.ndarray:
+        """Prediction vectors, with a one for the bias."""
+        out = np.empty((len(before), DIMENSIONS + 1), dtype=np.float32)
+        np.multiply(self.inputs[before], self.gates[0], out=out[:, :-1])
+        out[:, :-1] += self.inputs[earlier] * self.gates[1]
+        out[:, -1] = 1
+        return out
+
+
+class Scorer:
+    """Natural logarithms of normalised probabilities."""
+
+    def __init__(self, model: LogBilinear) -> None:
+        n = model.words
+        self.model, self.by_group = model, np.ascontiguousarray(model.outputs[n:].T)
+        #: Of each group with several words: their output vectors, and everyone's place in the group.
+        self.members, self.place = {}, np.zeros(n, dtype=np.int64)
+        order = np.argsort(model.groups, kind="stable")
+        ends = np.cumsum(np.bincount(model.groups))
+        for g, (begin, end) in enumerate(zip(np.r_[0, ends[:-1]], ends, strict=True)):
+            if end - begin > 1:
+                own = order[begin:end]
+                self.place[own] = np.arange(len(own))
+                self.members[g] = np.ascontiguousarray(model.outputs[own].T)
+
+    def __call__(self, before: np.ndarray, earlier: np.ndarray, target: np.ndarray) -> np.ndarray:
+        out = np.empty(len(target), dtype=np.float64)
+        for s in range(0, len(target), BLOCK):
+            cut = slice(s, s + BLOCK)
+            out[cut] = self._block(before[cut], earlier[cut], target[cut])
+        return out
+
+    def _block(self, before: np.ndarray, earlier: np.ndarray, target: np.ndarray) -> np.ndarray:
+        x, group = self.model.predicted(before, earlier), self.model.groups[target]
+        out = np.empty(len(target), dtype=np.float64)
+        for s in range(0, len(target), 2_048):
+            out[s : s + 2_048] = _chosen(x[s : s + 2_048] @ self.by_group, group[s : s + 2_048])
+        order = np.argsort(group, kind="stable")
+        ordered = group[order]
+        begins = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+        for begin, end in zip(begins, np.r_[begins[1:], len(ordered)], strict=True):
+            members = self.members.get(int(ordered[begin]))
+            if members is not None:
+                for s in range(begin, end, 4_096):
+                    at = order[s : min(s + 4_096, end)]
+                    out[at] += _chosen(x.take(at, axis=0) @ members, self.place[target[at]])
+        return out
+
+
+def _chosen(scores: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """Of each row, the logarithm of the softmax in one column."""
+    top = scores.max(axis=1)
+    wanted = scores[np.arange(len(scores)), column]
+    scores -= top[:, None]
+    np.exp(scores, out=scores)
+    return wanted - top - np.log(scores.sum(axis=1))
 
 
 def joined(texts: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Classes of several texts (16-bit numbers, none of them empty) one after the other, and where each begins."""
+    """Words of several texts (16-bit numbers, none of them empty) one after the other, and where each begins."""
     held = [bytes(t) for t in texts]
     lengths = np.array([len(t) // 2 for t in held], dtype=np.int64)
-    return np.frombuffer(b"".join(held), dtype="<i2"), np.cumsum(lengths) - lengths
+    return np.frombuffer(b"".join(held), dtype="<u2"), np.cumsum(lengths) - lengths
 
 
 def contexts(classes: np.ndarray, begins: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
-    """The class before and the one before that, for each place of texts that begin at ``begins``."""
+    """The word before and the one before that, for each place of texts that begin at ``begins``."""
     before, earlier = np.empty_like(classes), np.empty_like(classes)
     before[1:], earlier[2:] = classes[:-1], classes[:-2]
     before[begins], earlier[begins] = start, start
@@ -69,38 +135,53 @@ def contexts(classes: np.ndarray, begins: np.ndarray, start: int) -> tuple[np.nd
 
 
 class Trainer:
-    """Stochastic gradient steps with per-parameter rates, all noise of a batch shared."""
+    """Stochastic gradient steps with per-parameter rates, all noise of a batch shared.
+
+    Words are told from words drawn by frequency, their groups from groups drawn by frequency; the
+    scores of words, comparable over all words, are so within each group. ``hits`` counts the steps that
+    moved each row of parameters.
+    """
 
     def __init__(self, model: LogBilinear, unigram: np.ndarray, seed: int) -> None:
         self.model, self.random = model, np.random.default_rng(seed)
-        self.log_noise = np.log(NOISE * unigram).astype(np.float32)
-        self.cumulative = np.cumsum(unigram / unigram.sum())
-        self.seen = 0
-        self._squares = [np.full(a.shape, 1e-2, dtype=np.float32) for a in (model.inputs, model.outputs, model.gates, model.bias)]
+        by_group = np.bincount(model.groups, weights=unigram)
+        self.log_noise = np.log(np.concatenate([NOISE * unigram, GROUP_NOISE * by_group / by_group.sum()])).astype(np.float32)
+        self._drawn = [np.cumsum(p / p.sum()) for p in (unigram, by_group)]
+        self.group_rows = (model.groups + model.words).astype(np.uint16)
+        self.hits = np.zeros(len(model.held), dtype=np.int64)
+        self._squares = np.full(model.held.shape, FIRST_SQUARE, dtype=np.float32)
 
     def step(self, before: np.ndarray, earlier: np.ndarray, target: np.ndarray) -> None:
         m, n = self.model, len(target)
-        noise = np.minimum(np.searchsorted(self.cumulative, self.random.random(NOISE)), len(self.cumulative) - 1).astype(np.int16)
-        x1, x2, wanted = m.inputs.take(before, axis=0), m.inputs.take(earlier, axis=0), m.outputs.take(target, axis=0)
-        others = m.outputs.take(noise, axis=0)
-        predicted = x1 * m.gates[0] + x2 * m.gates[1]
-        real = np.einsum("ij,ij->i", predicted, wanted) + m.bias[target] - self.log_noise[target]
-        false = predicted @ others.T + (m.bias - self.log_noise)[noise]
-        # ascent directions of the log-likelihood of telling data from noise
-        up, down = _logistic(-real), -_logistic(false)
-        back = up[:, None] * wanted + down @ others
-        self._climb(m.outputs, 1, n, *_summed(np.concatenate([target, noise]), np.concatenate([up[:, None] * predicted, down.T @ predicted])))
-        self._climb(m.bias, 3, n, *_summed(np.concatenate([target, noise]), np.concatenate([up, down.sum(axis=0)])))
+        # indexed, as take() would copy a matrix that has a further column
+        x1, x2 = m.inputs[before], m.inputs[earlier]
+        x = np.ones((n, DIMENSIONS + 1), dtype=np.float32)
+        np.add(x1 * m.gates[0], x2 * m.gates[1], out=x[:, :-1])
+        back = np.zeros((n, DIMENSIONS), dtype=np.float32)
+        rows, moves = [], []
+        for wanted, drawn, count, first in ((target, self._drawn[0], NOISE, 0), (self.group_rows[target], self._drawn[1], GROUP_NOISE, m.words)):
+            noise = (first + np.minimum(np.searchsorted(drawn, self.random.random(count)), len(drawn) - 1)).astype(np.uint16)
+            real, others = m.outputs[wanted], m.outputs[noise]
+            # ascent directions of the log-likelihood of telling data from noise
+            up = _logistic(self.log_noise[wanted] - np.einsum("ij,ij->i", x, real))
+            down = -_logistic(x @ others.T - self.log_noise[noise])
+            back += up[:, None] * real[:, :-1]
+            back += down @ others[:, :-1]
+            rows += [wanted, noise]
+            moves += [up[:, None] * x, down.T @ x]
+        begin = m.words + 1
+        self._climb(m.outputs, begin, n, *_summed(np.concatenate(rows), np.concatenate(moves)))
         self._climb(m.inputs, 0, n, *_summed(np.concatenate([before, earlier]), np.concatenate([back * m.gates[0], back * m.gates[1]])))
-        self._climb(m.gates, 2, n, np.arange(CONTEXT), np.stack([(back * x1).sum(axis=0), (back * x2).sum(axis=0)]))
-        self.seen += n
+        self._climb(m.gates, len(m.held) - CONTEXT, n, np.arange(CONTEXT), np.stack([(back * x1).sum(axis=0), (back * x2).sum(axis=0)]))
 
-    def _climb(self, parameter: np.ndarray, k: int, n: int, rows: np.ndarray, gradient: np.ndarray) -> None:
+    def _climb(self, parameter: np.ndarray, begin: int, n: int, rows: np.ndarray, gradient: np.ndarray) -> None:
         """Move the given rows uphill, each parameter at its own rate."""
-        gradient = gradient / n
-        squares = self._squares[k][rows] + gradient * gradient
-        self._squares[k][rows] = squares
+        gradient /= n
+        known = self._squares[begin : begin + len(parameter), : parameter.shape[1]]
+        squares = known[rows] + gradient * gradient
+        known[rows] = squares
         parameter[rows] += RATE * gradient / np.sqrt(squares)
+        self.hits[begin : begin + len(parameter)][rows] += 1
 
 
 def _logistic(x: np.ndarray) -> np.ndarray:
@@ -111,10 +192,16 @@ def _logistic(x: np.ndarray) -> np.ndarray:
 
 
 def _summed(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct row numbers, and the sums of ``values`` by them, as differences of running sums."""
+    """The distinct row numbers, and the sums of ``values`` by them."""
     order = np.argsort(rows, kind="stable")  # a radix sort for 16-bit numbers
     ordered = rows[order]
-    ends = np.flatnonzero(np.r_[ordered[1:] != ordered[:-1], True])
-    total = np.cumsum(values.take(order, axis=0), axis=0, dtype=np.float64)[ends]
-    total[1:] -= total[:-1].copy()
-    return ordered[ends], total.astype(np.float32)
+    begins = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    lengths = np.diff(np.r_[begins, len(ordered)])
+    out = values.take(order[begins], axis=0)
+    several = lengths > 1
+    if several.any():
+        # rows that occur once need no sum
+        kept = np.repeat(several, lengths)
+        starts = np.cumsum(lengths[several]) - lengths[several]
+        out[several] = np.add.reduceat(values.take(order[kept], axis=0), starts, axis=0)
+    return ordered[begins], out

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from chronotape.llm import language_model
 from chronotape.llm.language_model import Vocabulary, score_language, tokens
-from chronotape.llm.log_bilinear import LogBilinear, Trainer, contexts, joined
+from chronotape.llm.log_bilinear import LogBilinear, Scorer, Trainer, contexts, joined
 from tests.llm.conftest import WORDS, sentence
 
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -24,12 +24,37 @@ def test_tokens(text):
     assert [t.decode() for t in tokens(text)] == words(text)
 
 
-def test_probabilities_sum_to_one():
-    model = LogBilinear.fresh(np.array([0.5, 0.3, 0.15, 0.05]))
-    model.outputs *= 7
-    one, two, norm = model.tables()
-    total = np.exp(one[:, None, :] + two[None, :, :] - norm[:, :, None]).sum(axis=2)
-    assert np.allclose(total, 1, atol=1e-4)
+def naive(model, before, earlier, word):
+    """log P(group) + log P(word within its group), by softmaxes written out."""
+    x = model.gates[0] * model.inputs[before] + model.gates[1] * model.inputs[earlier]
+    scores = [float(o[:-1] @ x + o[-1]) for o in model.outputs]
+    by_group = {g: scores[model.words + g] for g in range(len(scores) - model.words)}
+    peers = [scores[w] for w in range(model.words) if model.groups[w] == model.groups[word]]
+    return by_group[model.groups[word]] - math.log(sum(map(math.exp, by_group.values()))) + scores[word] - math.log(sum(map(math.exp, peers)))
+
+
+def test_scores_are_normalised_and_equal_the_naive_ones():
+    groups = np.array([0, 1, 2, 2, 2, 3, 3])
+    model = LogBilinear.fresh(np.array([0.3, 0.2, 0.15, 0.05, 0.1, 0.1, 0.1]), groups)
+    model.held[:] = np.random.default_rng(3).normal(0, 0.8, model.held.shape)
+    scorer, words = Scorer(model), np.arange(7, dtype=np.uint16)
+    for before, earlier in ((7, 7), (2, 7), (6, 0)):
+        found = scorer(np.full(7, before), np.full(7, earlier), words)
+        assert found == pytest.approx([naive(model, before, earlier, w) for w in range(7)], abs=1e-4)
+        assert np.exp(found).sum() == pytest.approx(1, abs=1e-4)
+
+
+def test_groups_hold_one_frequent_word_or_words_of_like_endings(monkeypatch):
+    monkeypatch.setattr(language_model, "SINGLE", 1)
+    monkeypatch.setattr(language_model, "GROUP", 2)
+    v = Vocabulary({}, {b"a": 2, b"xing": 3, b"bat": 4, b"ying": 5}, {b"rat": 6}, np.ones(7), np.ones(7))
+    assert v.groups().tolist() == [0, 1, 2, 3, 4, 3, 4]
+
+
+def test_thresholds_let_no_more_words_through_than_stated():
+    histogram = language_model.pd.DataFrame({"level": [1, 9, 4], "words": [100, 3, 5]})
+    assert [language_model._threshold(histogram, most) for most in (1_000, 107, 8, 7, 3)] == [1, 4, 4, 9, 9]
+    assert language_model._threshold(histogram, 2) == 1 << 62
 
 
 def test_words_of_a_class_share_its_probability():
@@ -40,7 +65,7 @@ def test_words_of_a_class_share_its_probability():
 
 
 def test_contexts_stop_where_texts_begin():
-    classes, begins = joined([np.array(t, "<i2").tobytes() for t in ([5], [1, 2, 3], [4], [6, 7])])
+    classes, begins = joined([np.array(t, "<u2").tobytes() for t in ([5], [1, 2, 3], [4], [6, 7])])
     before, earlier = contexts(classes, begins, 9)
     assert classes.tolist() == [5, 1, 2, 3, 4, 6, 7]
     assert before.tolist() == [9, 9, 1, 2, 9, 9, 6] and earlier.tolist() == [9, 9, 9, 1, 9, 9, 9]
@@ -48,18 +73,17 @@ def test_contexts_stop_where_texts_begin():
 
 def test_training_learns_what_follows_what():
     random = np.random.default_rng(0)
-    sequence = np.zeros(60_000, dtype=np.int16)
+    sequence = np.zeros(60_000, dtype=np.uint16)
     for k in range(1, len(sequence)):
         sequence[k] = (sequence[k - 1] + 1) % 8 if random.random() < 0.8 else random.integers(8)
-    unigram = np.full(8, 1 / 8)
-    model = LogBilinear.fresh(unigram)
+    unigram, groups = np.full(8, 1 / 8), np.array([0, 0, 0, 1, 1, 1, 2, 3])
+    model = LogBilinear.fresh(unigram, groups)
     trainer = Trainer(model, unigram, 1)
     before, earlier = contexts(sequence, np.array([0]), 8)
-    for _ in range(8):
+    for _ in range(12):
         for s in range(0, len(sequence), 1_024):
             trainer.step(before[s : s + 1_024], earlier[s : s + 1_024], sequence[s : s + 1_024])
-    one, two, norm = model.tables()
-    mean = (one[before, sequence] + two[earlier, sequence] - norm[before, earlier]).mean()
+    mean = Scorer(model)(before, earlier, sequence).mean()
     best = 0.825 * math.log(0.825) + 0.175 * math.log(0.025)
     assert best - 0.1 < mean < best + 0.02
 
@@ -67,6 +91,9 @@ def test_training_learns_what_follows_what():
 def test_scores(clashing, monkeypatch):
     monkeypatch.setattr(language_model, "FREQUENT", 30)
     monkeypatch.setattr(language_model, "WORD_CLASSES", 12)
+    monkeypatch.setattr(language_model, "SINGLE", 5)
+    monkeypatch.setattr(language_model, "GROUP", 4)
+    monkeypatch.setattr(language_model, "CHUNK", 16)
     monkeypatch.setattr(language_model, "ENDING_CLASSES", 10)
     rows = [(k, sentence(k, 20 + k % 40)) for k in range(250)]
     rows += [(900, None), (901, ""), (902, "Never met ÉÉ words here"), (903, "AMBER amber"), (None, "no id"), (7, rows[7][1]), (904, "birch " * 9_000)]
