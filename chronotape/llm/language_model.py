@@ -230,7 +230,7 @@ def _added(parts: DataFrame, *by: str) -> DataFrame:
     """Sums of hits and of moves by chunk, in tasks that hold one chunk at a time."""
 
     def add(parts: pd.DataFrame) -> pd.DataFrame:
-        hits, moves = (sum(np.frombuffer(p, dtype="<f8") for p in parts[c]) for c in ("hits", "moves"))
+        hits, moves = (sum(np.frombuffer(p, dtype="<f4").astype(float) for p in parts[c]).astype("<f4") for c in ("hits", "moves"))
         return pd.DataFrame({"chunk": parts["chunk"][:1], "share": parts["share"][:1], "hits": [hits.tobytes()], "moves": [moves.tobytes()]})
 
     return parts.groupBy(*by).applyInPandas(add, _PARTS)
@@ -246,7 +246,8 @@ def train(encoded: DataFrame, vocabulary: Vocabulary) -> LogBilinear:
     unigram, n = vocabulary.unigram(), vocabulary.classes
     model = LogBilinear.fresh(unigram, vocabulary.groups())
     width = model.held.shape[1]
-    sequences = encoded.where(~F.col("held_out")).select("classes").coalesce(max(encoded.sparkSession.sparkContext.defaultParallelism, 1))
+    tasks = max(encoded.sparkSession.sparkContext.defaultParallelism, 1)
+    sequences = encoded.where(~F.col("held_out")).select("classes").coalesce(tasks)
     for round_ in range(ROUNDS):
         start, groups = model.held, model.groups
 
@@ -261,18 +262,21 @@ def train(encoded: DataFrame, vocabulary: Vocabulary) -> LogBilinear:
                     trainer.step(*places[:, order[s : s + BATCH]])
             moved = (trainer.model.held - start) * trainer.hits[:, None]
             for k, begin in enumerate(range(0, len(start), CHUNK)):
-                hits = trainer.hits[begin : begin + CHUNK].astype("<f8")
+                hits = trainer.hits[begin : begin + CHUNK].astype("<f4")
                 if hits.any():
                     share = TaskContext.get().partitionId() % SHARES
-                    moves = moved[begin : begin + CHUNK].astype("<f8").tobytes()
+                    moves = moved[begin : begin + CHUNK].astype("<f4").tobytes()
                     yield pd.DataFrame({"chunk": [k], "share": [share], "hits": [hits.tobytes()], "moves": [moves]})
 
-        parts = _added(_added(sequences.mapInPandas(local, _PARTS), "chunk", "share"), "chunk")
+        parts = sequences.mapInPandas(local, _PARTS)
+        if tasks > SHARES:
+            parts = _added(parts, "chunk", "share")
+        parts = _added(parts, "chunk")
         held = start.copy()
         for part in parts.toLocalIterator():
             at = slice(part.chunk * CHUNK, (part.chunk + 1) * CHUNK)
-            hits = np.frombuffer(part.hits, dtype="<f8")
-            held[at] += (np.frombuffer(part.moves, dtype="<f8").reshape(-1, width) / np.maximum(hits, 1)[:, None]).astype(np.float32)
+            hits = np.frombuffer(part.hits, dtype="<f4")
+            held[at] += np.frombuffer(part.moves, dtype="<f4").reshape(-1, width) / np.maximum(hits, 1)[:, None]
         model = LogBilinear(held, groups)
     return model
 

@@ -88,7 +88,9 @@ def test_training_learns_what_follows_what():
     assert best - 0.1 < mean < best + 0.02
 
 
-def test_scores(clashing, monkeypatch):
+@pytest.mark.parametrize("shares", [1, 64])
+def test_scores(clashing, monkeypatch, shares):
+    monkeypatch.setattr(language_model, "SHARES", shares)
     monkeypatch.setattr(language_model, "FREQUENT", 30)
     monkeypatch.setattr(language_model, "WORD_CLASSES", 12)
     monkeypatch.setattr(language_model, "SINGLE", 5)
