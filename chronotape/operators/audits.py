@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chronotape.contracts import vocab
 from chronotape.contracts.model import Contract, ContractError
 from chronotape.functions.instants import is_plausible, timestamp_from_ns
 from chronotape.functions.money import is_storable
-from chronotape.operators.scan import Running, running
+from chronotape.operators.scan import Running, running, written_copy
 from chronotape.operators.sizing import broadcast_if_small
 
 
@@ -130,14 +133,14 @@ def require_clean(report: DataFrame, subject: str) -> None:
         raise ContractError(f"{subject}: {details}")
 
 
-def unsorted_rows(
+def _unsorted_by_blocks(
     df: DataFrame,
     within: Sequence[str],
     position: str,
-    key: Sequence[str] = vocab.ORDER_KEY,
-    block: int = 1_000_000,
+    key: Sequence[str],
+    block: int,
 ) -> DataFrame:
-    """Rows whose key does not exceed that of the physically preceding row; positions may have gaps.
+    """The rows of :func:`unsorted_rows`, by a shuffle of all rows.
 
     Rows are compared inside blocks of ``block`` positions, so no task sorts a whole file. Into each
     block comes the last row present in the nearest block before it that has any, as a predecessor only.
@@ -160,6 +163,109 @@ def unsorted_rows(
     )
 
 
+#: Row is out of order; a run of rows with rising positions starts, or ends, at the row.
+_BROKEN, _START, _END = 0, 1, 2
+#: Beyond this many runs the rows were not read in order of their positions.
+MAX_RUNS = 2_000_000
+
+
+def _walked(rows: DataFrame, within: Sequence[str], position: str, key: Sequence[str]) -> DataFrame:
+    """Each task compares its rows with their predecessors as they arrive, without a shuffle.
+
+    Returns the rows out of order, and the first and last row of each run of rising positions, with
+    ``__kind``. Rows read from ordered files make one run per file range.
+    """
+    schema = rows.withColumn("__kind", F.lit(_BROKEN)).schema
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before: pa.Table | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            if before is None:
+                yield from _marked(table.slice(0, 1), _START)
+            else:
+                table = pa.concat_tables([before, table])
+            one, two = table.slice(0, table.num_rows - 1), table.slice(1)
+            follows = np.ones(one.num_rows, dtype=bool)
+            for name in within:
+                for x, y in zip(_comparable(one[name]), _comparable(two[name]), strict=True):
+                    follows &= x == y
+            (_, x), (_, y) = _comparable(one[position]), _comparable(two[position])
+            follows &= x < y
+            broken = follows & _not_below(one, two, key)
+            yield from _marked(two.filter(pa.array(broken)), _BROKEN)
+            yield from _marked(one.filter(pa.array(~follows)), _END)
+            yield from _marked(two.filter(pa.array(~follows)), _START)
+            before = table.slice(table.num_rows - 1)
+        if before is not None:
+            yield from _marked(before, _END)
+
+    return rows.mapInArrow(walk, schema)
+
+
+def _marked(table: pa.Table, kind: int) -> Iterator[pa.RecordBatch]:
+    yield from table.append_column("__kind", pa.array([kind] * table.num_rows, pa.int32())).combine_chunks().to_batches()
+
+
+def _comparable(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether values are present, and the values, absent ones replaced by any."""
+    kind = column.type
+    if pa.types.is_temporal(kind):
+        column = column.cast(pa.int32() if pa.types.is_date32(kind) else pa.int64())
+    present = column.is_valid().to_numpy()
+    if column.null_count:
+        if column.null_count == len(column):
+            return present, np.zeros(len(column), dtype=np.int64)
+        column = column.fill_null(column.drop_null()[0])
+    return present, column.to_numpy()
+
+
+def _not_below(one: pa.Table, two: pa.Table, key: Sequence[str]) -> np.ndarray:
+    """Row by row whether the key of ``one`` is at or above that of ``two``; an absent value is below all others."""
+    out = np.ones(one.num_rows, dtype=bool)
+    for name in reversed(key):
+        both = pa.chunked_array([*one[name].chunks, *two[name].chunks], one[name].type)  # absent values filled alike
+        present, values = _comparable(both)
+        n = one.num_rows
+        equal = values[:n] == values[n:]
+        equal |= ~present[:n] & ~present[n:]
+        equal &= present[:n] == present[n:]
+        above = present[:n] & (~present[n:] | (values[:n] > values[n:]))
+        out = above | (equal & out)
+    return out
+
+
+def unsorted_rows(
+    df: DataFrame,
+    within: Sequence[str],
+    position: str,
+    key: Sequence[str] = vocab.ORDER_KEY,
+    block: int = 1_000_000,
+) -> DataFrame:
+    """Rows whose key does not exceed that of the physically preceding row; positions may have gaps.
+
+    Rows read in order of their positions are compared where they are read, and only the ends of the
+    runs, two rows for each file range, are brought together. Where runs overlap or are very many, the
+    rows did not arrive in order and are compared in blocks of ``block`` positions, by a shuffle; so are
+    floating-point keys. Positions must be present and unique within ``within``.
+    """
+    rows = df.select(*within, position, *key)
+    if any(isinstance(rows.schema[k].dataType, (T.FloatType, T.DoubleType)) for k in (*within, *key)):
+        return _unsorted_by_blocks(df, within, position, key, block)
+    marks = written_copy(_walked(rows, within, position, key), "order-runs")
+    order = Window.partitionBy(*within).orderBy(position, "__kind")
+    ends = marks.where(F.col("__kind") != _BROKEN)
+    if ends.count() > 2 * MAX_RUNS:
+        return _unsorted_by_blocks(df, within, position, key, block)
+    paired = ends.withColumn("__before", F.lag(F.struct("__kind", F.struct(*key).alias("key"))).over(order)).where(F.col("__kind") == _START)
+    if not paired.where(F.col("__before.__kind") == _START).isEmpty():
+        return _unsorted_by_blocks(df, within, position, key, block)
+    first = paired.where(F.col("__before.key") >= F.struct(*key))
+    return marks.where(F.col("__kind") == _BROKEN).unionByName(first.drop("__before")).select(*within, position, *key)
+
+
 def file_order_violations(df: DataFrame, key: Sequence[str] = vocab.ORDER_KEY) -> DataFrame:
     """Physical-order audit of a Parquet table: rows within a file, then files against each other.
 

@@ -191,6 +191,48 @@ def test_unsorted_rows_with_gaps_in_the_positions(spark, block):
     assert sorted(r.pos for r in audits.unsorted_rows(df, [], "pos", ["key"], block).collect()) == [5, 47]
 
 
+NULLED = "f string, pos bigint, a bigint, b string"
+
+
+def out_of_order(rows):
+    """(f, pos) of rows whose (a, b) does not exceed the row before, absent values first."""
+    found, last = [], {}
+    for f, pos, a, b in sorted(rows, key=lambda r: (r[0], r[1])):
+        key = ((a is not None, a or 0), (b is not None, b or ""))
+        if f in last and last[f] >= key:
+            found.append((f, pos))
+        last[f] = key
+    return found
+
+
+@pytest.mark.parametrize("batch", [3, 10_000])
+def test_ordered_rows_are_compared_where_they_are_read(spark, tmp_path, batch):
+    rng = random.Random(11)
+    rows = [(f, p, rng.choice([None, p // 3, p // 3]), rng.choice([None, "x", "y", "\u00e9"])) for f in ("one", "two") for p in range(60)]
+    df = spark.createDataFrame(rows, NULLED)
+    df.repartitionByRange(5, "f", "pos").sortWithinPartitions("f", "pos").write.parquet(str(tmp_path / "t"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        found = audits.unsorted_rows(spark.read.parquet(str(tmp_path / "t")), ["f"], "pos", ["a", "b"])
+        assert sorted((r.f, r.pos) for r in found.collect()) == out_of_order(rows)
+        # the table is not read again: only broken rows and ends of runs are shuffled
+        assert found.inputFiles() and all("order-runs" in f for f in found.inputFiles())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@pytest.mark.parametrize("most", [0, 2_000_000])
+def test_rows_that_arrive_out_of_order_or_in_many_runs(spark, monkeypatch, most):
+    monkeypatch.setattr(audits, "MAX_RUNS", most)
+    rng = random.Random(12)
+    rows = [("f", p, rng.randrange(8), None) for p in range(80)]
+    shuffled = rows[:]
+    rng.shuffle(shuffled)
+    found = audits.unsorted_rows(spark.createDataFrame(shuffled, NULLED).repartition(3), ["f"], "pos", ["a", "b"], 7)
+    assert sorted((r.f, r.pos) for r in found.collect()) == out_of_order(rows)
+    assert audits.unsorted_rows(spark.createDataFrame([], NULLED), ["f"], "pos", ["a", "b"]).count() == 0
+
+
 def test_operating_state_moves(spark):
     pairs = [(a, b) for a in vocab.OPERATING_STATES for b in vocab.OPERATING_STATES]
     got = {tuple(r[:2]): r[2] for r in spark.createDataFrame(pairs, "a string, b string").select("a", "b", audits.allowed_move(F.col("a"), F.col("b"))).collect()}
