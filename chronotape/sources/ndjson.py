@@ -17,6 +17,8 @@ from chronotape.sources.files import Folder
 from chronotape.sources.ranges import byte_ranges, listed, numbered_lines
 
 RAW_SUFFIX = ".ndjson"
+#: Bytes of a raw range, and how many of them a core gets at least where the feed is large enough.
+LEAST_RANGE, MOST_RANGE, RANGES_PER_CORE = 1 << 20, 32 << 20, 3
 EXACT_DOLLARS = "decimal(38,18)"  # one digit past nano is kept, so sub-nano input is seen, not rounded
 
 
@@ -67,10 +69,16 @@ def partition_files(spark: SparkSession, directory: str, suffix: str = RAW_SUFFI
 
 
 def _ranges(spark: SparkSession, directory: str, suffix: str) -> DataFrame:
-    """The raw files as byte ranges of the session's split size, which is read once, now."""
+    """The raw files as byte ranges, planned once, now: a few for every core, none beyond the session's split size.
+
+    A line costs far more to parse than to read, so even one short file is dealt to all cores.
+    """
     partition_files(spark, directory, suffix)
-    size = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    return byte_ranges(listed(spark, [directory], f"*{suffix}"), int(size))
+    split = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    files = listed(spark, [directory], f"*{suffix}")
+    total = files.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]  # one number, from the listing alone
+    share = total // (RANGES_PER_CORE * spark.sparkContext.defaultParallelism)
+    return byte_ranges(files, min(int(split), max(LEAST_RANGE, min(share, MOST_RANGE))))
 
 
 def read_lines(spark: SparkSession, directory: str, suffix: str = RAW_SUFFIX) -> DataFrame:
@@ -83,13 +91,26 @@ def _number_token(key: str) -> Column:
 
     ``from_json`` passes numbers through binary doubles when asked for text, and rounds when asked
     for decimals, so exactness is judged on the literal. A key that stands once in a line with one
-    brace can only be the record's own; any other line is read token by token, minding depth, and the
-    last of repeated members counts.
+    brace can only be the record's own. In any other line the last member counts that is left once other
+    texts and nested values are blanked; only one nested deeper than :data:`_NESTED` is read token by token.
     """
     member = rf'"{key}"\s*:'
     plain = (F.regexp_count("value", F.lit(member)) <= 1) & (F.length(F.replace("value", F.lit("{"))) >= F.length("value") - 1)
     first = F.regexp_extract("value", member + r"\s*(-?[0-9][0-9.eE+-]*)", 1)
-    return F.when(plain, first).otherwise(F.expr(_walk(key)))
+    own = F.regexp_replace(F.regexp_replace("value", rf'({member})|{_TEXT}', "$1"), _NESTED, "!")
+    last = F.regexp_extract(F.regexp_extract(own, rf'(?s).*{member}\s*+([^\s{{}}\[\]:,"]*)', 1), "^-?[0-9][0-9.eE+-]*$", 0)
+    return F.when(plain, first).when(~own.rlike(r"[{\[](?s:.*)[{\[]"), last).otherwise(F.expr(_walk(key)))
+
+
+def _containers(depth: int) -> str:
+    """Pattern of a JSON object or array without texts that holds others up to ``depth`` levels."""
+    rest = r"[^{}\[\]]*+"
+    held = rf"(?:{_containers(depth - 1)}{rest})*+" if depth else ""
+    return rf"[{{\[]{rest}{held}[}}\]]"
+
+
+#: A JSON text, and values of the record that hold others: any object or array but the one the line begins with.
+_TEXT, _NESTED = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"', rf"(?<=[:,\[])\s*+{_containers(3)}"
 
 
 #: Strings, punctuation, and everything else of a JSON text.
@@ -132,13 +153,16 @@ def parse(lines: DataFrame, wire: tuple[WireField, ...]) -> DataFrame:
 
     # Literals, then values, then defects, each in its own step: a step that is used more than once
     # is computed once instead of being copied into every expression that reads it.
+    # Defaults come last, so that a defect only asks whether a value is there: the JVM does not compile
+    # the loop of a step whose expressions outgrow 8 kB.
     literals = {f"__{w.column}": _number_token(w.key) for w in wire if w.kind == "price"}
     values = {w.column: _value(w) for w in wire}
+    defaults = {w.column: F.coalesce(w.column, F.array().cast("array<string>") if w.kind == "codes" else F.lit(w.default)) for w in wire if w.kind == "codes" or w.default is not None}
     defects = [F.when(F.col("__r").isNull() | F.col("__r._bad").isNotNull(), F.lit("not a JSON object"))]
     for w in wire:
         defects += _defects(w)
     typed = parsed.withColumns(literals).withColumns(values)
-    return typed.withColumn("defect", F.coalesce(*defects)).drop("__r", *literals)
+    return typed.withColumns({"defect": F.coalesce(*defects), **defaults}).drop("__r", *literals)
 
 
 def _value(w: WireField) -> Column:
@@ -147,11 +171,7 @@ def _value(w: WireField) -> Column:
         return ns_from_rfc3339(raw)
     if w.kind == "price":
         return F.col(f"__{w.column}").try_cast(EXACT_DOLLARS)
-    if w.kind == "codes":
-        return F.coalesce(raw, F.array().cast("array<string>"))
-    if w.kind == "whole":
-        raw = F.when(raw.rlike(r"^-?[0-9]+$"), raw.try_cast("bigint"))
-    return raw if w.default is None else F.coalesce(raw, F.lit(w.default))
+    return F.when(raw.rlike(r"^-?[0-9]+$"), raw.try_cast("bigint")) if w.kind == "whole" else raw
 
 
 def _defects(w: WireField) -> list[Column]:
@@ -166,12 +186,12 @@ def _defects(w: WireField) -> list[Column]:
     elif w.kind == "price":
         found.append(when(value.isNull(), "is not a decimal number"))
         literal = F.col(f"__{w.column}")
-        suspect = (F.length(literal) > 11) | literal.rlike("[eE]")  # a short plain literal cannot hide digits
-        found.append(when(suspect & (_fraction_digits(literal) > 9), "has sub-nano-dollar precision"))
+        # a plain literal has its digits where they are; only an exponent moves them
+        fine = F.when(literal.rlike("[eE]"), _fraction_digits(literal) > 9).otherwise(literal.rlike(r"\.[0-9]{9}[0-9]*[1-9]"))
+        found.append(when(fine, "has sub-nano-dollar precision"))
         found.append(when(~money.is_storable_dollars(value), "exceeds the storable range"))
     elif w.kind == "whole":
-        whole = raw.rlike(r"^-?[0-9]+$") & raw.try_cast("bigint").isNotNull()
-        found.append(when(raw.isNotNull() & ~whole, "is not a whole number"))
+        found.append(when(raw.isNotNull() & value.isNull(), "is not a whole number"))
     return found
 
 
@@ -216,8 +236,13 @@ def read_raw(
     """
     if on_defect not in ("raise", "keep"):
         raise ValueError(f"on_defect must be raise or keep, got {on_defect!r}")
-    ranges = _ranges(spark, directory, suffix)
-    records = with_ingest_index(parse(numbered_lines(ranges), wire), numbered_lines(ranges, count_only=True))
+    parsed = parse(read_lines(spark, directory, suffix), wire)
+    if on_defect == "raise":
+        parsed = parsed.withColumn("value", F.when(F.col("defect").isNotNull(), F.col("value")))
+    # Lines are parsed once, into a stored copy. A filter or projection above it would otherwise be pushed
+    # down with the whole parser inside, and every range sort above it would parse once more for its sample.
+    parsed = written_copy(parsed, "parsed")
+    records = with_ingest_index(parsed, parsed.groupBy("raw_file", "raw_block").agg(F.count("*").alias("lines")))
     if on_defect == "raise":
         return _require_defect_free(records).drop("value", "defect", "raw_file", "raw_block")
     return records
