@@ -1,94 +1,33 @@
-"""Provisional bars: every micro-batch shows the windows it touched, a timer closes them.
+"""Provisional bars: every micro-batch shows the windows it touched, the watermark closes them.
 
-A bar's state is one row per instrument and open window in the state store: its extremes, its first and
-last print by the order key, its sums. A timer at the window's end emits the bar a last time, complete,
-and drops the state, so what is held follows the open windows and not the length of the stream.
+Spark's streaming aggregate holds one row per instrument and open window. It shows the windows that a
+micro-batch touched and drops closed ones silently, so the writer keeps the last version of every open
+window beside the versions and shows it a last time, complete, when the watermark passes its end. Both
+follow the open windows and not the length of the stream.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from typing import Any
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from chronotape.contracts import vocab
+from chronotape.functions.instants import floor_div
+from chronotape.operators.bars import bar_aggregates, vwap
 from chronotape.streaming.bars import in_sessions, session_windows
 
-#: The state store that timers and typed state need.
+#: A state store whose open windows need not fit a worker's memory.
 STATE_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
-STATE = (
-    "first_key array<bigint>, open_nano bigint, high_nano bigint, low_nano bigint, last_key array<bigint>, close_nano bigint,"
-    " volume_shares bigint, notional string, trade_count int"
-)
 PROVISIONAL = (
     "instrument_id bigint, event_time bigint, knowledge_time bigint, window_ns bigint, open_nano bigint, high_nano bigint, low_nano bigint,"
     " close_nano bigint, volume_shares bigint, vwap_nano bigint, trade_count int, is_complete boolean"
 )
 
 
-def merged(held: tuple | None, prints: pd.DataFrame, order: Sequence[str]) -> tuple:
-    """The state of a window after some more prints; exact in Python numbers."""
-    key = prints[list(order)]
-    ranked = key.sort_values(list(order), kind="stable").index
-    first, last = ([int(x) for x in key.loc[at]] for at in (ranked[0], ranked[-1]))
-    price, size = prints["price_nano"], prints["size_shares"]
-    new = (
-        first, int(price.loc[ranked[0]]), int(price.max()), int(price.min()), last, int(price.loc[ranked[-1]]),
-        int(size.sum()), sum(int(p) * int(s) for p, s in zip(price, size, strict=True)), len(prints),
-    )
-    if held is None:
-        return (*new[:7], str(new[7]), new[8])
-    opens, closes = min(held[:2], new[:2]), max(held[4:6], new[4:6])
-    return (
-        opens[0], opens[1], max(held[2], new[2]), min(held[3], new[3]), closes[0], closes[1],
-        held[6] + new[6], str(int(held[7]) + new[7]), held[8] + new[8],
-    )
-
-
-class OpenWindow(StatefulProcessor):
-    """One instrument's window from its first print to its timer."""
-
-    def __init__(self, window_ns: int, lag_ns: int, order: Sequence[str]) -> None:
-        self.window_ns, self.lag_ns, self.order = window_ns, lag_ns, tuple(order)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.bar = handle.getValueState("bar", STATE)
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        held = tuple(self.bar.get()) if self.bar.exists() else None
-        if held is not None:
-            held = (list(held[0]), *held[1:4], list(held[4]), *held[5:])
-        else:
-            self.handle.registerTimer(-(-(int(key[1]) + self.window_ns) // 1_000_000))
-        for prints in rows:
-            if len(prints):
-                held = merged(held, prints, self.order)
-        self.bar.update(held)
-        yield self._row(key, held, complete=False)
-
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        held = tuple(self.bar.get())
-        self.bar.clear()
-        yield self._row(key, held, complete=True)
-
-    def close(self) -> None:
-        pass
-
-    def _row(self, key: Any, held: tuple, complete: bool) -> pd.DataFrame:
-        start, end, volume = int(key[1]), int(key[1]) + self.window_ns, held[6]
-        # toward zero, as the batch bar's; a window of no volume has no price
-        price = None if volume == 0 else abs(int(held[7])) // volume * (1 if int(held[7]) >= 0 else -1)
-        row = (int(key[0]), start, end + self.lag_ns, self.window_ns, held[1], held[2], held[3], held[5], volume, price, held[8], complete)
-        names = [part.split()[0] for part in PROVISIONAL.split(",")]
-        return pd.DataFrame([row], columns=names).astype({"vwap_nano": "Int64", "trade_count": "int32"})
-
-
 def provisional_bars(
     prints: DataFrame,
     calendar: DataFrame,
@@ -98,27 +37,58 @@ def provisional_bars(
     order: Sequence[str] = vocab.ORDER_KEY,
     ineligible: Sequence[str] = vocab.INELIGIBLE_CONDITIONS,
 ) -> DataFrame:
-    """Versions of the bars of a streaming ``prints``, for update mode: partial ones, then the complete one.
+    """Versions of the bars of a streaming ``prints``, for update mode and :func:`write_versions`.
 
-    ``is_complete`` is computed: a version is complete exactly if the window had closed, as
-    :func:`chronotape.streaming.bars.session_windows` says, when it was emitted. The last version of a
-    window is its bar; a window without volume has a null price. Prints of closed windows are dropped.
+    What a micro-batch touched is shown as it stands, not complete; :func:`write_versions` adds complete
+    versions. The last version of a window is its bar; a window without volume has a null price. Prints
+    of closed windows, as :func:`chronotape.streaming.bars.session_windows` says, are dropped.
     """
     windows = session_windows(in_sessions(prints, calendar), window_ns=window_ns, lag_ns=lag_ns, ineligible=ineligible)
-    narrow = windows.select("instrument_id", "window_start", "window_end", "price_nano", "size_shares", *[c for c in order])
-    return narrow.groupBy("instrument_id", "window_start").transformWithStateInPandas(
-        OpenWindow(window_ns, lag_ns, order), outputStructType=PROVISIONAL, outputMode="Update", timeMode="EventTime"
+    bars = windows.groupBy("instrument_id", "window_end", "window_start").agg(*bar_aggregates(order))
+    return bars.select(
+        "instrument_id",
+        F.col("window_start").alias("event_time"),
+        (F.col("window_start") + window_ns + lag_ns).alias("knowledge_time"),
+        F.lit(window_ns).cast("bigint").alias("window_ns"),
+        "open_nano", "high_nano", "low_nano", "close_nano", "volume_shares",
+        vwap("null").alias("vwap_nano"),
+        "trade_count",
+        F.lit(False).alias("is_complete"),
     )
 
 
 def write_versions(bars: DataFrame, folder: str, checkpoint: str, *, available_now: bool = True) -> StreamingQuery:
-    """Keep every version under its batch; a replayed batch rewrites exactly its own folder."""
+    """Keep every version under its batch; a replayed batch rewrites exactly its own folders.
+
+    A version is complete exactly if the watermark of its batch had passed the window's end. That watermark
+    follows from the newest window of the batches before, which is kept with the windows still open.
+    """
+    spark, open_versions = bars.sparkSession, f"{checkpoint.rstrip('/')}-open"
+    held_schema = f"{PROVISIONAL}, newest bigint"
+    names = [part.split()[0] for part in PROVISIONAL.split(",")]
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+        # a batch's open windows cover all batches before it, so only its predecessor's are read
+        session = batch.sparkSession
+        held = session.read.schema(held_schema).parquet(f"{open_versions}/batch={batch_id - 1}") if batch_id else session.createDataFrame([], held_schema)
+        newest = held.agg(F.max("newest")).first()[0]
+        batch.write.mode("overwrite").parquet(f"{open_versions}/touched-{batch_id}")  # the aggregate runs once
+        touched = session.read.schema(PROVISIONAL).parquet(f"{open_versions}/touched-{batch_id}")
+        end, lag = F.col("event_time") + F.col("window_ns"), F.col("knowledge_time") - F.col("event_time") - F.col("window_ns")
+        untouched = held.join(touched, ["instrument_id", "event_time"], "left_anti").select(*names)
+        now = touched.select(*names).unionByName(untouched)
+        # the watermark in whole milliseconds, as session_windows asks for it
+        delay = floor_div(F.col("window_ns"), 1_000_000) - floor_div(-lag, 1_000_000)
+        closed = F.lit(False) if newest is None else floor_div(end, 1_000_000) <= F.lit(newest // 1_000_000) - delay
+        ends = now.where(closed).withColumn("is_complete", F.lit(True))
+        touched.select(*names).unionByName(ends).write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+        # the newest window of all is open as long as nothing newer comes, so what is open always tells it
+        reached = touched.agg(F.greatest(F.max(end), F.lit(newest).cast("bigint"))).first()[0]
+        still = now.where(~closed).withColumn("newest", F.lit(reached).cast("bigint"))
+        still.write.mode("overwrite").parquet(f"{open_versions}/batch={batch_id}")
 
     writer = bars.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", checkpoint)
-    conf, (name, provider) = bars.sparkSession.conf, STATE_STORE
+    conf, (name, provider) = spark.conf, STATE_STORE
     before = conf.get(name)
     conf.set(name, provider)
     try:  # a query keeps the settings it started with

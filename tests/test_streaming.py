@@ -183,3 +183,10 @@ def test_a_feed_without_prints_has_no_versions(spark, tmp_path):
     stream = provisional_bars(spark.readStream.schema(PRINTS).parquet(str(tmp_path / "in")), calendar(spark), window_ns=HOUR, lag_ns=MS)
     drain(write_versions(stream, str(tmp_path / "out"), str(tmp_path / "state")))
     assert not (tmp_path / "out").exists() or spark.read.schema(f"{PROVISIONAL}, batch bigint").parquet(str(tmp_path / "out")).isEmpty()
+
+
+def test_provisional_bars_are_combined_before_the_shuffle(spark, tmp_path):
+    prints(spark, []).write.parquet(str(tmp_path / "in"))
+    stream = provisional_bars(spark.readStream.schema(PRINTS).parquet(str(tmp_path / "in")), calendar(spark), window_ns=HOUR, lag_ns=MS)
+    plan = stream._jdf.queryExecution().analyzed().toString()
+    assert "Aggregate" in plan and "TransformWithState" not in plan  # no Python call for every window
