@@ -45,10 +45,10 @@ def _sealed_day(spark: SparkSession, sf: str, purpose: str) -> snap.Sealed:
         "trades": f"""{begins}, ',"p":', {_dollars('price_nano')}, ',"s":', size_shares, ',"x":"V","i":"tr-', event_id, '","c":["', if(event_type = 'error', 'T', '@'), '"]}}')""",
         "quotes": f"""{begins}, ',"bp":', {_dollars('price_nano')}, ',"bs":', size_shares, ',"ap":', {_dollars('(price_nano + 1)')}, ',"as":', size_shares, '}}')""",
     }
-    ticks = v.ticks(spark, sf)
+    # A tick carries its number, so the order of the lines decides nothing; dealt out, as the table may be a file or two.
+    ticks = v.shape_ticks(v.table(spark, sf, "events").repartition(spark.sparkContext.defaultParallelism))
     for name, line in lines.items():
-        ordered = ticks.select("event_id", F.expr(line).alias("value")).repartitionByRange("event_id").sortWithinPartitions("event_id")
-        ordered.select("value").write.text(folder.at(f"raw/{name}"))
+        ticks.select(F.expr(line).alias("value")).write.text(folder.at(f"raw/{name}"))
     folder.write_text("reference.json", _bundle())
     day.run(spark, folder.at("raw"), folder.at("reference.json"), folder.at("out"), CLOCKS, as_of=AS_OF, window_ns=v.HOUR, suffix=".txt")
     return snap.Sealed(spark, folder.at("out"))

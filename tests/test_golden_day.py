@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import shutil
 from pathlib import Path
@@ -13,7 +14,8 @@ from chronotape.contracts import contract, vocab
 from chronotape.functions.ordering import order_key
 from chronotape.operators.audits import contract_violations, file_order_violations
 from chronotape.plans import snapshot as snap
-from chronotape.plans.day import run
+from chronotape.plans.day import run, session_bars
+from chronotape.sources.reference import load_reference
 from tests import golden_day as day
 
 # What the day must produce.
@@ -74,6 +76,25 @@ def test_first_bar_and_totals(reader):
     assert bars.where((F.col("event_time") - day.OPEN_NS) % F.col("window_ns") != 0).isEmpty()
 
 
+def test_positions_and_sorts_read_stored_bars_and_not_the_prints_again(spark, result, reader):
+    trades = reader.table("normalized.trade")
+    calendar = load_reference(spark, str(Path(result.root).parent / "reference.json")).calendar
+    bars = session_bars(trades, calendar, day.CLOCKS, as_of=day.AS_OF, window_ns=vocab.DEFAULT_WINDOW_NS)
+    assert bars.inputFiles() and not any("/trades/" in f for f in bars.inputFiles())
+    held = reader.table("normalized.bar").select(bars.columns)
+    assert bars.exceptAll(held.withColumn("date", F.col("date").cast("string"))).isEmpty() and bars.count() == held.count()
+
+
+def test_digest_sums_are_exact(spark):
+    rows = [(k % 7, f"t{k % 50}") for k in range(400)]
+    found = snap.content_digest(spark.createDataFrame(rows, "a int, b string"), ["a", "b"]).first()
+    digests = [hashlib.sha256(json.dumps({"a": a, "b": b}, separators=(",", ":")).encode()).hexdigest() for a, b in rows]
+    lanes = [sum(int(d[i : i + 15], 16) for d in digests) for i in (0, 15, 30, 45)]
+    assert found["content_sha256"] == hashlib.sha256(",".join(map(str, [400, *lanes])).encode()).hexdigest()
+    none = snap.content_digest(spark.createDataFrame([], "a int, b string"), ["a", "b"]).first()
+    assert none["content_sha256"] == hashlib.sha256(b"0,0,0,0,0").hexdigest()
+
+
 def test_form_t_prints_stay_out_of_bars(reader):
     trades = reader.table("normalized.trade")
     assert trades.where(F.array_contains("conditions", "T")).count() == 20
