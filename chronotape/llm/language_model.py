@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,7 +47,16 @@ _TRIM = b".,;:!?*$%&#|\"'()"
 
 def tokens(text: str) -> list[bytes]:
     """Words as UTF-8, A-Z in lower case; white space is exactly space, tab, newline, VT, FF and CR."""
-    return text.encode("utf-8", "surrogatepass").lower().split()
+    return _split(text.encode("utf-8", "surrogatepass"))
+
+
+def _split(text: bytes) -> list[bytes]:
+    return text.lower().split()
+
+
+def _texts(batch: pa.RecordBatch) -> list[bytes]:
+    """The column ``text`` of a batch as UTF-8, never turned into Python text and back."""
+    return batch.column("text").cast(pa.binary()).to_pylist()
 
 
 def ending(word: bytes) -> bytes:
@@ -60,17 +70,20 @@ def held_out() -> Column:
 def word_counts(texts: DataFrame) -> DataFrame:
     """word (UTF-8 bytes) and c over all rows of ``text``."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def counted(held: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.binary()), pa.array(held.values(), pa.int64())], ["word", "c"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
         for batch in batches:
-            for text in batch["text"]:
-                held.update(tokens(text))
+            for text in _texts(batch):
+                held.update(_split(text))
                 if len(held) > HELD:
-                    yield pd.DataFrame({"word": list(held), "c": list(held.values())})
+                    yield counted(held)
                     held.clear()
-        yield pd.DataFrame({"word": list(held), "c": pd.Series(list(held.values()), dtype="int64")})
+        yield counted(held)
 
-    return texts.mapInPandas(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return texts.select("text").mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 @dataclass
@@ -183,6 +196,9 @@ _ENCODED = (
 )
 
 
+_NUMBERS = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary())
+
+
 def encode_documents(docs: DataFrame, vocabulary: Vocabulary, documents: int) -> DataFrame:
     """Per document: classes of its tokens, sums over its frequent words, and its rare words with their numbers.
 
@@ -190,7 +206,7 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, documents: int) ->
     words inside ending classes, less those classes' totals.
     """
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = TaskContext.get().partitionId() << 33
         # entry k: a frequent word; the entries after them: any rare word of a class
         code = _Codes(vocabulary)
@@ -202,25 +218,34 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, documents: int) ->
         shared[OTHER_CLASS] = True
         end_log = math.log10(documents + 1.0)
         for batch in batches:
-            rows = []
-            for doc_id, out, text in zip(batch["doc_id"], batch["held_out"], batch["text"], strict=True):
-                words = tokens(text)
+            rows: list[tuple] = []
+            # rare words of all documents one after the other, their numbers, and where each document's begin
+            rare_words, rare_numbers, begins = [], [], [0]
+            for text in _texts(batch):
+                words = _split(text)
                 code.rare = rare = Counter()
                 found = np.array(list(map(code.__getitem__, words)), dtype=np.int64)
                 kinds, values = classes[found], logs[found]
                 inside = shared[kinds]
                 rows.append(
                     (
-                        at, doc_id, out, len(words) + 1, len(words) - sum(rare.values()) + (documents > 0), float(values.sum()) + end_log,
+                        at, len(words) + 1, len(words) - sum(rare.values()) + (documents > 0), float(values.sum()) + end_log,
                         float(values[inside].sum() - totals[kinds[inside]].sum()), np.append(kinds, np.uint16(END_CLASS)).astype("<u2").tobytes(),
-                        [{"word": w, "n": c} for w, c in rare.items()],
                     )
                 )
+                rare_words += rare
+                rare_numbers += rare.values()
+                begins.append(len(rare_words))
                 at += 1
-            yield pd.DataFrame(rows, columns=["uid", "doc_id", "held_out", "n_tokens", "known", "logs", "within", "classes", "rare"])
+            if not rows:
+                continue
+            uid, length, known, logs, within, kinds = (pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _NUMBERS, strict=True))
+            counted = pa.StructArray.from_arrays([pa.array(rare_words, pa.binary()), pa.array(rare_numbers, pa.int32())], ["word", "n"])
+            columns = [uid, batch.column("doc_id"), batch.column("held_out"), length, known, logs, within, kinds, pa.ListArray.from_arrays(pa.array(begins, pa.int32()), counted)]
+            yield pa.RecordBatch.from_arrays(columns, ["uid", "doc_id", "held_out", "n_tokens", "known", "logs", "within", "classes", "rare"])
 
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), held_out().alias("held_out"), present(F.col("text")).alias("text"))
-    return rows.mapInPandas(encode, _ENCODED)
+    return rows.mapInArrow(encode, _ENCODED)
 
 
 _PARTS = "chunk long, share int, hits binary, moves binary"

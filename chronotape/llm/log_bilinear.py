@@ -8,6 +8,7 @@ matrices, and far smaller ones than a product with every word.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -19,6 +20,10 @@ FIRST_SQUARE = 1e-5
 CONTEXT = 2
 #: Places scored together.
 BLOCK = 1 << 17
+#: Places whose scores are made at once, so that they stay in a core's cache.
+CACHED = 2_048
+#: The exponentials of scores of at most this size, and sums of 65,535 of them, are normal 32-bit numbers.
+SMALL = 75.0
 
 
 @dataclass
@@ -73,6 +78,7 @@ class Scorer:
     def __init__(self, model: LogBilinear) -> None:
         n = model.words
         self.model, self.by_group = model, np.ascontiguousarray(model.outputs[n:].T)
+        self.longest = math.sqrt(np.einsum("ij,ij->i", model.outputs, model.outputs).max(initial=0))
         #: Of each group with several words: their output vectors, and everyone's place in the group.
         self.members, self.place = {}, np.zeros(n, dtype=np.int64)
         order = np.argsort(model.groups, kind="stable")
@@ -93,27 +99,31 @@ class Scorer:
     def _block(self, before: np.ndarray, earlier: np.ndarray, target: np.ndarray) -> np.ndarray:
         x, group = self.model.predicted(before, earlier), self.model.groups[target]
         out = np.empty(len(target), dtype=np.float64)
-        for s in range(0, len(target), 2_048):
-            out[s : s + 2_048] = _chosen(x[s : s + 2_048] @ self.by_group, group[s : s + 2_048])
+        # no score is larger than the product of the longest vectors
+        small = math.sqrt(np.einsum("ij,ij->i", x, x).max(initial=0)) * self.longest < SMALL
+        for s in range(0, len(target), CACHED):
+            out[s : s + CACHED] = _chosen(x[s : s + CACHED] @ self.by_group, group[s : s + CACHED], small)
         order = np.argsort(group, kind="stable")
         ordered = group[order]
         begins = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
         for begin, end in zip(begins, np.r_[begins[1:], len(ordered)], strict=True):
             members = self.members.get(int(ordered[begin]))
             if members is not None:
-                for s in range(begin, end, 4_096):
-                    at = order[s : min(s + 4_096, end)]
-                    out[at] += _chosen(x.take(at, axis=0) @ members, self.place[target[at]])
+                for s in range(begin, end, CACHED):
+                    at = order[s : min(s + CACHED, end)]
+                    out[at] += _chosen(x.take(at, axis=0) @ members, self.place[target[at]], small)
         return out
 
 
-def _chosen(scores: np.ndarray, column: np.ndarray) -> np.ndarray:
-    """Of each row, the logarithm of the softmax in one column."""
-    top = scores.max(axis=1)
+def _chosen(scores: np.ndarray, column: np.ndarray, small: bool = False) -> np.ndarray:
+    """Of each row, the logarithm of the softmax in one column; scores below SMALL need no shift by the largest."""
     wanted = scores[np.arange(len(scores)), column]
-    scores -= top[:, None]
+    if not small:
+        top = scores.max(axis=1)
+        wanted = wanted - top
+        scores -= top[:, None]
     np.exp(scores, out=scores)
-    return wanted - top - np.log(scores.sum(axis=1))
+    return wanted - np.log(scores @ np.ones(scores.shape[1], dtype=scores.dtype))
 
 
 def joined(texts: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -153,35 +163,44 @@ class Trainer:
 
     def step(self, before: np.ndarray, earlier: np.ndarray, target: np.ndarray) -> None:
         m, n = self.model, len(target)
-        # indexed, as take() would copy a matrix that has a further column
-        x1, x2 = m.inputs[before], m.inputs[earlier]
-        x = np.ones((n, DIMENSIONS + 1), dtype=np.float32)
-        np.add(x1 * m.gates[0], x2 * m.gates[1], out=x[:, :-1])
-        back = np.zeros((n, DIMENSIONS), dtype=np.float32)
+        # whole rows: inputs have a further column, which stays what it is
+        x1, x2 = m.held.take(before, axis=0), m.held.take(earlier, axis=0)
+        gate1, gate2 = m.held[-CONTEXT:]
+        x = x1 * gate1
+        x += x2 * gate2
+        x[:, -1] = 1
+        back = np.zeros((n, DIMENSIONS + 1), dtype=np.float32)
         rows, moves = [], []
         for wanted, drawn, count, first in ((target, self._drawn[0], NOISE, 0), (self.group_rows[target], self._drawn[1], GROUP_NOISE, m.words)):
             noise = (first + np.minimum(np.searchsorted(drawn, self.random.random(count)), len(drawn) - 1)).astype(np.uint16)
-            real, others = m.outputs[wanted], m.outputs[noise]
+            real, others = m.outputs.take(wanted, axis=0), m.outputs.take(noise, axis=0)
             # ascent directions of the log-likelihood of telling data from noise
             up = _logistic(self.log_noise[wanted] - np.einsum("ij,ij->i", x, real))
             down = -_logistic(x @ others.T - self.log_noise[noise])
-            back += up[:, None] * real[:, :-1]
-            back += down @ others[:, :-1]
+            real *= up[:, None]
+            back += real
+            back += down @ others
             rows += [wanted, noise]
             moves += [up[:, None] * x, down.T @ x]
-        begin = m.words + 1
-        self._climb(m.outputs, begin, n, *_summed(np.concatenate(rows), np.concatenate(moves)))
-        self._climb(m.inputs, 0, n, *_summed(np.concatenate([before, earlier]), np.concatenate([back * m.gates[0], back * m.gates[1]])))
-        self._climb(m.gates, len(m.held) - CONTEXT, n, np.arange(CONTEXT), np.stack([(back * x1).sum(axis=0), (back * x2).sum(axis=0)]))
-
-    def _climb(self, parameter: np.ndarray, begin: int, n: int, rows: np.ndarray, gradient: np.ndarray) -> None:
+        back[:, -1] = 0
+        outputs, up = _summed(np.concatenate(rows), np.concatenate(moves))
+        inputs, down = _summed(np.concatenate([before, earlier]), np.concatenate([back * gate1, back * gate2]))
+        gates = np.stack([np.einsum("ij,ij->j", back, x1), np.einsum("ij,ij->j", back, x2)])
+        at = np.concatenate([outputs + np.int64(m.words + 1), inputs, np.arange(len(m.held) - CONTEXT, len(m.held))])
+        self._climb(at, np.concatenate([up, down, gates]), n)
+
+    def _climb(self, rows: np.ndarray, gradient: np.ndarray, n: int) -> None:
         """Move the given rows uphill, each parameter at its own rate."""
         gradient /= n
-        known = self._squares[begin : begin + len(parameter), : parameter.shape[1]]
-        squares = known[rows] + gradient * gradient
-        known[rows] = squares
-        parameter[rows] += RATE * gradient / np.sqrt(squares)
-        self.hits[begin : begin + len(parameter)][rows] += 1
+        squares = self._squares.take(rows, axis=0)
+        squares += gradient * gradient
+        self._squares[rows] = squares
+        np.sqrt(squares, out=squares)
+        gradient *= RATE
+        gradient /= squares
+        gradient += self.model.held.take(rows, axis=0)
+        self.model.held[rows] = gradient
+        self.hits[rows] += 1
 
 
 def _logistic(x: np.ndarray) -> np.ndarray:

@@ -44,6 +44,44 @@ def test_scores_are_normalised_and_equal_the_naive_ones():
         assert np.exp(found).sum() == pytest.approx(1, abs=1e-4)
 
 
+@pytest.mark.parametrize("size", [0.3, 40.0])
+def test_scores_small_or_large_equal_the_naive_ones(size):
+    groups = np.array([0, 1, 2, 2, 2, 3, 3])
+    model = LogBilinear.fresh(np.full(7, 1 / 7), groups)
+    model.held[:] = np.random.default_rng(5).normal(0, size, model.held.shape)
+    found = Scorer(model)(np.full(7, 3), np.full(7, 1), np.arange(7, dtype=np.uint16))
+    assert np.isfinite(found).all() and (found <= 1e-6).all()
+    if size < 1:
+        assert found == pytest.approx([naive(model, 3, 1, w) for w in range(7)], abs=1e-4)
+    else:
+        x = model.predicted(np.array([3]), np.array([1]))[0].astype(float)
+        assert np.abs(model.outputs.astype(float) @ x).max() > 1_000  # exponentials would overflow
+
+
+def test_a_step_moves_no_parameter_that_is_unused():
+    unigram, groups = np.full(8, 1 / 8), np.array([0, 0, 0, 1, 1, 1, 2, 3])
+    model = LogBilinear.fresh(unigram, groups)
+    model.held[: 9, -1] = 7  # the unused column of inputs
+    model.held[-2:, -1] = 3
+    before = model.held.copy()
+    trainer = Trainer(model, unigram, 1)
+    trainer.step(np.array([1, 2], "<u2"), np.array([1, 8], "<u2"), np.array([4, 4], "<u2"))
+    assert (model.held[:9, -1] == 7).all() and (model.held[-2:, -1] == 3).all()
+    moved = (model.held != before).any(axis=1)
+    assert moved[:9].nonzero()[0].tolist() == [1, 2, 8] and moved[-2:].all()
+    assert trainer.hits[:9].tolist() == [0, 1, 1, 0, 0, 0, 0, 0, 1] and (trainer.hits > 0).tolist() == moved.tolist()
+
+
+def test_documents_are_encoded_without_python_rows(make_documents):
+    v = Vocabulary({b"a": 9}, {b"a": 2}, {b"ing": 3}, np.array([4.0, 0, 9, 5]), np.array([1.0, 0, 1, 2]))
+    encoded = language_model.encode_documents(make_documents([(1, "A zing a zing b"), (2, None)]), v, 4)
+    assert "MapInArrow" in encoded._jdf.queryExecution().toString()
+    rows = {r.doc_id: r for r in encoded.collect()}
+    assert np.frombuffer(rows["1"].classes, "<u2").tolist() == [2, 3, 2, 3, 1, 0] and (rows["1"].n_tokens, rows["1"].known) == (6, 3)
+    assert {bytes(r.word): r.n for r in rows["1"].rare} == {b"zing": 2, b"b": 1}
+    assert rows["2"].rare == [] and rows["2"].n_tokens == 1 and rows["2"].logs == pytest.approx(math.log10(5))
+
+
 def test_groups_hold_one_frequent_word_or_words_of_like_endings(monkeypatch):
     monkeypatch.setattr(language_model, "SINGLE", 1)
     monkeypatch.setattr(language_model, "GROUP", 2)
