@@ -5,8 +5,8 @@ with at least ``LEAST`` occurrences or, where those are more than ``WORD_CLASSES
 no more through, and the endings of all other words. A word has the probability of its class after
 the two classes before it, times, for an ending, its smoothed share of the ending's words; one unseen
 word per ending is allowed for, so the probabilities of all words sum to one. Classes are normalised in
-two steps, over groups and within a group: words one at a time for the most frequent, the others by
-neighbourhood when sorted by their last letters.
+three steps, over sets, over a set's groups and within a group: words one at a time for the most frequent,
+the others by neighbourhood when sorted by their last letters.
 
 Counts of very many words cannot be broadcast. The most frequent ones, at most ``FREQUENT``, are sent to
 every task, chosen by a threshold from a histogram of counts, so that no more than those reach the
@@ -29,12 +29,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronotape.llm.common import crc32_of_id, present, stored
-from chronotape.llm.log_bilinear import BATCH, LogBilinear, Scorer, Trainer, contexts, joined
+from chronotape.llm.log_bilinear import BATCH, LogBilinear, Scorer, Trainer, contexts, every, joined
 
 #: Words whose counts travel to every task, words that are classes of their own, endings that are classes.
 FREQUENT, WORD_CLASSES, ENDING_CLASSES = 150_000, 60_000, 800
-#: Occurrences of a word that is a class of its own; words that are groups of their own, and words in other groups.
-LEAST, SINGLE, GROUP = 4, 126, 256
+#: Occurrences of a word that is a class of its own; words that are sets of their own, words in other groups, and groups in their sets.
+LEAST, SINGLE, GROUP, SET = 4, 62, 64, 27
 #: Local training and averaging take turns; every place is learned from in exactly one round.
 ROUNDS = 3
 #: Rows of parameters averaged together, and shares in which they are summed first.
@@ -122,6 +122,11 @@ class Vocabulary:
         out[rest] = 2 + SINGLE + np.arange(len(rest)) // GROUP
         return out
 
+    def sets(self) -> np.ndarray:
+        """The set of each group: one each for the groups of one word, the others by neighbourhood."""
+        group = np.arange(self.groups().max() + 1)
+        return np.where(group < 2 + SINGLE, group, 2 + SINGLE + (group - 2 - SINGLE) // SET)
+
     def within(self) -> np.ndarray:
         """log10 of the total a word's count is divided by within its class; 0 for classes of one word."""
         total = np.log10(self.class_tokens + self.class_words + 1.0)
@@ -179,15 +184,16 @@ def build_vocabulary(counts: DataFrame, documents: int) -> Vocabulary:
 
 
 class _Codes(dict):
-    """Numbers of frequent words; any other word is counted in ``rare`` and gets its class's number."""
+    """Numbers of frequent words; any other word is listed in ``rare`` and gets its class's number."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         super().__init__((w, k) for k, w in enumerate(vocabulary.counts))
-        self._base, self._class_of, self.rare = len(vocabulary.counts), vocabulary.class_of, Counter()
+        self._base, self._ending_class, self.rare = len(vocabulary.counts), vocabulary.ending_class, []
 
     def __missing__(self, word: bytes) -> int:
-        self.rare[word] += 1
-        return self._base + self._class_of(word)
+        self.rare.append(word)
+        # words that are classes of their own are frequent
+        return self._base + self._ending_class.get(ending(word), OTHER_CLASS)
 
 
 _ENCODED = (
@@ -223,13 +229,14 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, documents: int) ->
             rare_words, rare_numbers, begins = [], [], [0]
             for text in _texts(batch):
                 words = _split(text)
-                code.rare = rare = Counter()
-                found = np.array(list(map(code.__getitem__, words)), dtype=np.int64)
+                code.rare = []
+                found = np.fromiter(map(code.__getitem__, words), np.int64, len(words))
+                rare = Counter(code.rare)
                 kinds, values = classes[found], logs[found]
                 inside = shared[kinds]
                 rows.append(
                     (
-                        at, len(words) + 1, len(words) - sum(rare.values()) + (documents > 0), float(values.sum()) + end_log,
+                        at, len(words) + 1, len(words) - len(code.rare) + (documents > 0), float(values.sum()) + end_log,
                         float(values[inside].sum() - totals[kinds[inside]].sum()), np.append(kinds, np.uint16(END_CLASS)).astype("<u2").tobytes(),
                     )
                 )
@@ -274,23 +281,22 @@ def train(encoded: DataFrame, vocabulary: Vocabulary) -> LogBilinear:
     sees one model. Between rounds parameters have 16 bits.
     """
     unigram, n = vocabulary.unigram(), vocabulary.classes
-    model = LogBilinear.fresh(unigram, vocabulary.groups())
+    model = LogBilinear.fresh(unigram, vocabulary.groups(), vocabulary.sets())
     width = model.held.shape[1]
     tasks = max(encoded.sparkSession.sparkContext.defaultParallelism, 1)
     sequences = encoded.where(~F.col("held_out")).select("classes").coalesce(tasks)
     for round_ in range(ROUNDS):
-        start, groups = model.held.astype("<f2"), model.groups
+        start, groups, sets = model.held.astype("<f2"), model.groups, model.sets
 
-        def local(batches: Iterator[pd.DataFrame], start=start, groups=groups, round_=round_) -> Iterator[pd.DataFrame]:
+        def local(batches: Iterator[pd.DataFrame], start=start, round_=round_) -> Iterator[pd.DataFrame]:
             begun = start.astype(np.float32)
-            trainer = Trainer(LogBilinear(begun.copy(), groups), unigram, seed=round_)
+            trainer = Trainer(LogBilinear(begun.copy(), groups, sets), unigram, seed=round_)
             for batch in batches:
-                classes, begins = joined(batch["classes"])
-                places = np.stack([*contexts(classes, begins, n), classes])
-                within = np.arange(len(classes)) - np.repeat(begins, np.diff(np.r_[begins, len(classes)]))
-                order = trainer.random.permutation(np.flatnonzero(within % ROUNDS == round_))
-                for s in range(0, len(order), BATCH):
-                    trainer.step(*places[:, order[s : s + BATCH]])
+                classes, places = every(batch["classes"], n, ROUNDS, round_)
+                trainer.random.shuffle(places)
+                for s in range(0, len(places), BATCH):
+                    at = places[s : s + BATCH]
+                    trainer.step(classes.take(at - 1), classes.take(at - 2), classes.take(at))
             moved = (trainer.model.held - begun).astype("<f2")
             for k, begin in enumerate(range(0, len(begun), CHUNK)):
                 hits = trainer.hits[begin : begin + CHUNK].astype("<f4")
@@ -305,17 +311,17 @@ def train(encoded: DataFrame, vocabulary: Vocabulary) -> LogBilinear:
         held = start.astype(np.float32)
         for part in _averaged(parts, "chunk").toLocalIterator():
             held[part.chunk * CHUNK : (part.chunk + 1) * CHUNK] += np.frombuffer(part.moves, dtype="<f2").reshape(-1, width)
-        model = LogBilinear(held, groups)
+        model = LogBilinear(held, groups, sets)
     return model
 
 
 def model_scores(model: LogBilinear):
     """A column function from a document's classes to the log10 probability of the class sequence."""
 
-    sent, groups = model.held.astype("<f2"), model.groups
+    sent, groups, sets = model.held.astype("<f2"), model.groups, model.sets
 
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = LogBilinear(sent.astype(np.float32), groups)
+        model = LogBilinear(sent.astype(np.float32), groups, sets)
         scorer = Scorer(model)
         for batch in batches:
             kinds, begins = joined(batch)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from chronotape.llm import language_model
 from chronotape.llm.language_model import Vocabulary, score_language, tokens
-from chronotape.llm.log_bilinear import LogBilinear, Scorer, Trainer, contexts, joined
+from chronotape.llm.log_bilinear import LogBilinear, Scorer, Trainer, contexts, every, joined
 from tests.llm.conftest import WORDS, sentence
 
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -172,3 +172,68 @@ def test_vocabulary_words_are_the_most_frequent(spark):
     v = language_model.build_vocabulary(counts, 3)
     assert v.word_class[WORDS[-1].encode()] == 2 and v.class_tokens[language_model.END_CLASS] == 3
     assert counts.where(F.col("c") > 0).count() == len(v.counts)
+
+
+def test_scores_below_sets_are_normalised_and_equal_the_naive_ones():
+    groups, sets = np.array([0, 1, 2, 2, 2, 3, 3, 4]), np.array([0, 1, 2, 2, 3])
+    model = LogBilinear.fresh(np.full(8, 1 / 8), groups, sets)
+    model.held[:] = np.random.default_rng(3).normal(0, 0.8, model.held.shape)
+    scorer = Scorer(model)
+    for before, earlier in ((8, 8), (2, 8), (6, 0)):
+        x = model.gates[0] * model.inputs[before] + model.gates[1] * model.inputs[earlier]
+        word, group, top = np.split(model.outputs[:, :-1].astype(float) @ x + model.outputs[:, -1], [8, 13])
+
+        def log_share(scores, k, peers):
+            return scores[k] - math.log(sum(math.exp(scores[p]) for p in peers))
+
+        want = [
+            log_share(top, sets[groups[w]], range(4)) + log_share(group, groups[w], np.flatnonzero(sets == sets[groups[w]]))
+            + log_share(word, w, np.flatnonzero(groups == groups[w]))
+            for w in range(8)
+        ]
+        found = scorer(np.full(8, before), np.full(8, earlier), np.arange(8, dtype=np.uint16))
+        assert found == pytest.approx(want, abs=1e-4) and np.exp(found).sum() == pytest.approx(1, abs=1e-4)
+
+
+def test_normalising_takes_few_scores_a_token():
+    own = {f"{k}".encode(): 2 + k for k in range(language_model.WORD_CLASSES)}
+    v = Vocabulary({}, own, {}, np.ones(len(own) + 2), np.ones(len(own) + 2))
+    groups, sets = v.groups(), v.sets()
+    # every word in a group, every group in a set, and nowhere more than a hundred to choose from (372 groups, and 256 words of a group, before)
+    assert len(groups) == len(own) + 2 and len(sets) == groups.max() + 1
+    assert sets.max() + 1 <= 100 and np.bincount(sets).max() <= 100 and np.bincount(groups).max() <= 100
+    assert v.classes + len(sets) + sets.max() + 1 < 1 << 16
+
+
+def test_rounds_share_out_all_places():
+    texts = [np.array(t, "<u2").tobytes() for t in ([5], [1, 2, 3], [4], [6, 7, 8, 9, 10, 11, 12])]
+    seen = []
+    for round_ in range(3):
+        classes, at = every(texts, 99, 3, round_)
+        seen += zip(classes[at - 2].tolist(), classes[at - 1].tolist(), classes[at].tolist(), strict=True)
+    want = []
+    for t in ([5], [1, 2, 3], [4], [6, 7, 8, 9, 10, 11, 12]):
+        marked = [99, 99, *t]
+        want += zip(marked, marked[1:], t, strict=False)
+    assert sorted(seen) == sorted(want)
+    classes, at = every([], 99, 3, 0)
+    assert len(at) == 0
+
+
+def test_training_below_sets_tells_only_words_that_are_not_alone():
+    random = np.random.default_rng(0)
+    sequence = np.zeros(60_000, dtype=np.uint16)
+    for k in range(1, len(sequence)):
+        sequence[k] = (sequence[k - 1] + 1) % 8 if random.random() < 0.8 else random.integers(8)
+    unigram, groups, sets = np.full(8, 1 / 8), np.array([0, 0, 1, 1, 2, 2, 3, 4]), np.array([0, 0, 1, 2, 3])
+    model = LogBilinear.fresh(unigram, groups, sets)
+    trainer = Trainer(model, unigram, 1)
+    before, earlier = contexts(sequence, np.array([0]), 8)
+    for _ in range(12):
+        for s in range(0, len(sequence), 1_024):
+            trainer.step(before[s : s + 1_024], earlier[s : s + 1_024], sequence[s : s + 1_024])
+    hits = trainer.hits[9:-2]
+    assert (hits[[6, 7, 11, 12]] == 0).all() and (np.delete(hits, [6, 7, 11, 12]) > 0).all()
+    mean = Scorer(model)(before, earlier, sequence).mean()
+    best = 0.825 * math.log(0.825) + 0.175 * math.log(0.025)
+    assert best - 0.1 < mean < best + 0.02
