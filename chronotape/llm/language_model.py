@@ -16,8 +16,9 @@ rows of each kind, 9 MB as sent, whatever the corpus.
 
 from __future__ import annotations
 
+import itertools
 import math
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,8 +40,8 @@ LEAST, SINGLE, GROUP, SET = 4, 62, 64, 27
 ROUNDS = 3
 #: Rows of parameters averaged together, and shares in which they are summed first.
 CHUNK, SHARES = 256, 64
-#: Distinct words counted in a task before partial counts are passed on.
-HELD = 400_000
+#: Distinct words and tokens of documents that are kept together once split.
+PIECE_WORDS, PIECE_TOKENS = 100_000, 1_000_000
 END_CLASS, OTHER_CLASS = 0, 1
 _TRIM = b".,;:!?*$%&#|\"'()"
 
@@ -67,23 +68,49 @@ def held_out() -> Column:
     return crc32_of_id("doc_id") % 7 == 2
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """word (UTF-8 bytes) and c over all rows of ``text``."""
+_PIECES = "doc_id array<string>, held_out array<boolean>, length array<int>, numbers binary, word array<binary>, c array<long>"
 
-    def counted(held: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.binary()), pa.array(held.values(), pa.int64())], ["word", "c"])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+def _one(values: pa.Array) -> pa.ListArray:
+    """All values as the list of one row."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
+def split_documents(docs: DataFrame) -> DataFrame:
+    """Pieces of some documents each, whose texts are split into words once.
+
+    doc_id, held_out and length (words) are those of the documents; numbers are those of their words, one document
+    after the other, in word, where each word occurs once; c has the occurrences in training documents.
+    """
+
+    def piece(documents: list[tuple], words: Iterable[bytes], numbers: list[np.ndarray]) -> pa.RecordBatch:
+        ids, held, lengths = zip(*documents, strict=True)
+        every_number, words = np.concatenate(numbers), pa.array(words, pa.binary())
+        counts = np.bincount(every_number[np.repeat(~np.array(held), lengths)], minlength=len(words))
+        columns = [_one(pa.array(ids, pa.string())), _one(pa.array(held, pa.bool_())), _one(pa.array(lengths, pa.int32())), pa.array([every_number.tobytes()], pa.binary())]
+        return pa.RecordBatch.from_arrays([*columns, _one(words), _one(pa.array(counts, pa.int64()))], ["doc_id", "held_out", "length", "numbers", "word", "c"])
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        documents, numbers, tokens_, number = [], [], 0, defaultdict(itertools.count().__next__)
         for batch in batches:
-            for text in _texts(batch):
-                held.update(_split(text))
-                if len(held) > HELD:
-                    yield counted(held)
-                    held.clear()
-        yield counted(held)
+            for doc_id, held, text in zip(batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist(), _texts(batch), strict=True):
+                words = _split(text)
+                numbers.append(np.fromiter(map(number.__getitem__, words), "<u4", len(words)))
+                documents.append((doc_id, held, len(words)))
+                tokens_ += len(words)
+                if len(number) > PIECE_WORDS or tokens_ > PIECE_TOKENS or len(documents) > PIECE_WORDS:
+                    yield piece(documents, number, numbers)
+                    documents, numbers, tokens_, number = [], [], 0, defaultdict(itertools.count().__next__)
+        if documents:
+            yield piece(documents, number, numbers)
+
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), held_out().alias("held_out"), present(F.col("text")).alias("text"))
+    return rows.mapInArrow(split, _PIECES)
+
 
-    return texts.select("text").mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+def word_counts(pieces: DataFrame) -> DataFrame:
+    """word (UTF-8 bytes) and c over the training documents of all pieces."""
+    return pieces.select(F.inline(F.arrays_zip("word", "c"))).where("c > 0").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 @dataclass
@@ -183,29 +210,18 @@ def build_vocabulary(counts: DataFrame, documents: int) -> Vocabulary:
     return Vocabulary(frequent, own, ending_class, tokens_, words_)
 
 
-class _Codes(dict):
-    """Numbers of frequent words; any other word is listed in ``rare`` and gets its class's number."""
-
-    def __init__(self, vocabulary: Vocabulary) -> None:
-        super().__init__((w, k) for k, w in enumerate(vocabulary.counts))
-        self._base, self._ending_class, self.rare = len(vocabulary.counts), vocabulary.ending_class, []
-
-    def __missing__(self, word: bytes) -> int:
-        self.rare.append(word)
-        # words that are classes of their own are frequent
-        return self._base + self._ending_class.get(ending(word), OTHER_CLASS)
-
-
 _ENCODED = (
     "uid long, doc_id string, held_out boolean, n_tokens long, known long, logs double, within double, classes binary,"
     " rare array<struct<word:binary,n:int>>"
 )
 
 
-_NUMBERS = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary())
+def encode_documents(docs: DataFrame, vocabulary: Vocabulary, documents: int) -> DataFrame:
+    """:func:`encode_pieces` of documents that were not split before."""
+    return encode_pieces(split_documents(docs), vocabulary, documents)
 
 
-def encode_documents(docs: DataFrame, vocabulary: Vocabulary, documents: int) -> DataFrame:
+def encode_pieces(pieces: DataFrame, vocabulary: Vocabulary, documents: int) -> DataFrame:
     """Per document: classes of its tokens, sums over its frequent words, and its rare words with their numbers.
 
     logs sums log10(c + 1) over the end and frequent words; within sums the part of it that belongs to
@@ -214,45 +230,49 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, documents: int) ->
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = TaskContext.get().partitionId() << 33
-        # entry k: a frequent word; the entries after them: any rare word of a class
-        code = _Codes(vocabulary)
-        classes = np.array([vocabulary.class_of(w) for w in code] + list(range(vocabulary.classes)), dtype=np.uint16)
-        logs = np.concatenate([np.log10(np.array(list(vocabulary.counts.values()), dtype=float) + 1.0), np.zeros(vocabulary.classes)])
         totals = vocabulary.within()
         shared = np.ones(vocabulary.classes, dtype=bool)
         shared[: vocabulary.single] = False
         shared[OTHER_CLASS] = True
         end_log = math.log10(documents + 1.0)
         for batch in batches:
-            rows: list[tuple] = []
-            # rare words of all documents one after the other, their numbers, and where each document's begin
-            rare_words, rare_numbers, begins = [], [], [0]
-            for text in _texts(batch):
-                words = _split(text)
-                code.rare = []
-                found = np.fromiter(map(code.__getitem__, words), np.int64, len(words))
-                rare = Counter(code.rare)
-                kinds, values = classes[found], logs[found]
-                inside = shared[kinds]
-                rows.append(
-                    (
-                        at, len(words) + 1, len(words) - len(code.rare) + (documents > 0), float(values.sum()) + end_log,
-                        float(values[inside].sum() - totals[kinds[inside]].sum()), np.append(kinds, np.uint16(END_CLASS)).astype("<u2").tobytes(),
-                    )
-                )
-                rare_words += rare
-                rare_numbers += rare.values()
-                begins.append(len(rare_words))
-                at += 1
-            if not rows:
-                continue
-            uid, length, known, logs, within, kinds = (pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _NUMBERS, strict=True))
-            counted = pa.StructArray.from_arrays([pa.array(rare_words, pa.binary()), pa.array(rare_numbers, pa.int32())], ["word", "n"])
-            columns = [uid, batch.column("doc_id"), batch.column("held_out"), length, known, logs, within, kinds, pa.ListArray.from_arrays(pa.array(begins, pa.int32()), counted)]
-            yield pa.RecordBatch.from_arrays(columns, ["uid", "doc_id", "held_out", "n_tokens", "known", "logs", "within", "classes", "rare"])
-
-    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), held_out().alias("held_out"), present(F.col("text")).alias("text"))
-    return rows.mapInArrow(encode, _ENCODED)
+            for k in range(batch.num_rows):
+                ids, held, lengths, words = (batch.column(c)[k].values for c in ("doc_id", "held_out", "length", "word"))
+                lengths, numbers = lengths.to_numpy(), np.frombuffer(batch.column("numbers")[k].as_py(), dtype="<u4")
+                listed = words.to_pylist()
+                # of each of the piece's words, then of its tokens
+                count = np.fromiter((vocabulary.counts.get(w, -1) for w in listed), np.int64, len(listed))
+                kind = np.fromiter(map(vocabulary.class_of, listed), np.uint16, len(listed))
+                log = np.log10(np.maximum(count, 0) + 1.0)
+                inside = np.where(shared[kind], log - totals[kind], 0.0)
+                ends = np.cumsum(lengths)
+                begins = ends - lengths
+
+                def by_document(values: np.ndarray, begins=begins, ends=ends) -> np.ndarray:
+                    # documents of no words would take another's
+                    some, out = ends > begins, np.zeros(len(ends))
+                    out[some] = np.add.reduceat(values, begins[some]) if some.any() else 0
+                    return out
+
+                owner = np.repeat(np.arange(len(lengths)), lengths)
+                rare = np.flatnonzero((count < 0)[numbers])
+                found, times = np.unique(owner[rare] * len(listed) + numbers[rare], return_counts=True)
+                firsts = np.searchsorted(found, np.arange(len(lengths) + 1) * len(listed))
+                counted = pa.StructArray.from_arrays([words.take(pa.array(found % max(len(listed), 1))), pa.array(times, pa.int32())], ["word", "n"])
+                # the end follows each document
+                classes = np.insert(kind[numbers], ends, END_CLASS).astype("<u2").tobytes()
+                cuts = 2 * (np.r_[0, ends] + np.arange(len(ends) + 1))
+                columns = [
+                    pa.array(at + np.arange(len(ids)), pa.int64()), ids, held, pa.array(lengths + 1, pa.int64()),
+                    pa.array(lengths - np.bincount(owner[rare], minlength=len(lengths)) + (documents > 0), pa.int64()),
+                    pa.array(by_document(log[numbers]) + end_log), pa.array(by_document(inside[numbers])),
+                    pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(cuts.astype("<i4")), pa.py_buffer(classes)]),
+                    pa.ListArray.from_arrays(pa.array(firsts, pa.int32()), counted),
+                ]
+                at += len(ids)
+                yield pa.RecordBatch.from_arrays(columns, ["uid", "doc_id", "held_out", "n_tokens", "known", "logs", "within", "classes", "rare"])
+
+    return pieces.select("doc_id", "held_out", "length", "numbers", "word").mapInArrow(encode, _ENCODED)
 
 
 _PARTS = "chunk long, share int, hits binary, moves binary"
@@ -338,13 +358,13 @@ def score_language(docs: DataFrame) -> DataFrame:
     rows are scored each and count each in training. Without training documents every count is zero. An
     empty table gives an empty result.
     """
-    learned = docs.where(~held_out()).select(present(F.col("text")).alias("text"))
-    counts = stored(word_counts(learned), "lm-counts")
-    documents = learned.count()
+    pieces = stored(split_documents(docs), "lm-pieces")
+    counts = stored(word_counts(pieces), "lm-counts")
+    documents = int(pieces.agg(F.coalesce(F.sum(F.size(F.filter("held_out", lambda held: ~held))), F.lit(0))).first()[0])
     facts = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     train_tokens, distinct = facts.n + documents, facts.v + (documents > 0)
     vocabulary = build_vocabulary(counts, documents)
-    encoded = stored(encode_documents(docs, vocabulary, documents), "lm-documents")
+    encoded = stored(encode_pieces(pieces, vocabulary, documents), "lm-documents")
     model = train(encoded, vocabulary)
 
     rare = encoded.select("uid", F.explode("rare").alias("r")).select("uid", F.col("r.word").alias("word"), F.col("r.n").alias("n"))
