@@ -246,9 +246,9 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, documents: int) ->
                 at += 1
             if not rows:
                 continue
-            uid, length, known, logs, within, kinds = (pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _NUMBERS, strict=True))
+            uid, *numbers = (pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _NUMBERS, strict=True))
             counted = pa.StructArray.from_arrays([pa.array(rare_words, pa.binary()), pa.array(rare_numbers, pa.int32())], ["word", "n"])
-            columns = [uid, batch.column("doc_id"), batch.column("held_out"), length, known, logs, within, kinds, pa.ListArray.from_arrays(pa.array(begins, pa.int32()), counted)]
+            columns = [uid, batch.column("doc_id"), batch.column("held_out"), *numbers, pa.ListArray.from_arrays(pa.array(begins, pa.int32()), counted)]
             yield pa.RecordBatch.from_arrays(columns, ["uid", "doc_id", "held_out", "n_tokens", "known", "logs", "within", "classes", "rare"])
 
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), held_out().alias("held_out"), present(F.col("text")).alias("text"))

@@ -82,6 +82,33 @@ def test_documents_are_encoded_without_python_rows(make_documents):
     assert rows["2"].rare == [] and rows["2"].n_tokens == 1 and rows["2"].logs == pytest.approx(math.log10(5))
 
 
+def test_tasks_encode_any_number_of_batches(spark, make_documents):
+    v = Vocabulary({b"a": 9}, {b"a": 2}, {b"ing": 3}, np.array([4.0, 0, 9, 5]), np.array([1.0, 0, 1, 2]))
+    docs = make_documents([(k, None if k % 5 == 0 else "A zing b " * (k % 4) + f"x{k} a") for k in range(23)]).coalesce(1)
+    found = []
+    for batch in (10_000, 3):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        try:
+            found.append(language_model.encode_documents(docs, v, 4).sort("uid").collect())
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(found[0]) == 23 and found[0] == found[1]
+
+
+def test_scores_do_not_depend_on_batches(spark, make_documents):
+    docs, found = make_documents([(k, sentence(k, 20 + k % 40)) for k in range(90)]).coalesce(1), []
+    for batch in (10_000, 20):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        try:
+            rows = score_language(docs).sort("doc_id").collect()
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert len(rows) == 90 and all(r.score < 0 and math.isfinite(r.score) for r in rows)
+        # training takes each batch's places in an order of its own, so scores may differ
+        found.append([(r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 9)) for r in rows])
+    assert found[0] == found[1]
+
+
 def test_groups_hold_one_frequent_word_or_words_of_like_endings(monkeypatch):
     monkeypatch.setattr(language_model, "SINGLE", 1)
     monkeypatch.setattr(language_model, "GROUP", 2)
